@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from listenlake.registry import gold
+from listenlake.registry import gold, quality
 
-PARTS = (gold,)
+PARTS = (gold, quality)
 
 
 def queries() -> dict:
