@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from listenlake.registry import gold, quality
+from listenlake.registry import gold, history, quality
 
-PARTS = (gold, quality)
+PARTS = (gold, quality, history)
 
 
 def queries() -> dict:
