@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from listenlake.registry import gold, history, quality
+from listenlake.registry import gold, history, ingest, quality
 
-PARTS = (gold, quality, history)
+PARTS = (gold, quality, history, ingest)
 
 
 def queries() -> dict:

@@ -33,13 +33,15 @@ def user_events(spark, sf_dir) -> DataFrame:
         F.to_date("o_orderdate").alias("start_date"),
         F.col("o_orderdate").cast("timestamp").alias("updated_at"),
         "o_orderkey",
+        "o_orderstatus",
     )
 
 
 _USER_EVENTS = f"""{NATIONS},
 user_events AS (
   SELECT o_custkey AS user_id, c_name AS user_name, country, o_orderpriority AS subscription_type,
-         CAST(o_orderdate AS DATE) AS start_date, o_orderdate AS updated_at, o_orderkey
+         CAST(o_orderdate AS DATE) AS start_date, o_orderdate AS updated_at, o_orderkey,
+         o_orderstatus
   FROM orders JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nations ON c_nationkey = n_nationkey)"""
 
@@ -47,7 +49,7 @@ user_events AS (
 def dedup_latest(spark, sf_dir) -> DataFrame:
     return keep_latest(
         user_events(spark, sf_dir), ["user_id"], ["updated_at"], ["o_orderkey"]
-    ).drop("o_orderkey")
+    ).drop("o_orderkey", "o_orderstatus")
 
 
 def dedup_fact(spark, sf_dir) -> DataFrame:
@@ -98,7 +100,7 @@ def _user_history(spark, sf_dir) -> SnapshotTable:
         )
         # the sample breaks ties by order number: settled here, since the table has no such column
         batch = keep_latest(batch, ["user_id", "updated_at"], ["o_orderkey"], [])
-        bronze = batch.drop("o_orderkey").withColumns(
+        bronze = batch.drop("o_orderkey", "o_orderstatus").withColumns(
             {
                 "ingest_timestamp": F.current_timestamp(),
                 "input_file_path": F.lit("orders.parquet"),
@@ -157,24 +159,31 @@ def _line_changes(spark, sf_dir) -> DataFrame:
     return sample.table(spark, sf_dir, "lineitem")
 
 
-_LINE_TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+_LINE_TIES = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_linestatus",
+]
 
 
 def _applied(events: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Two batches cut by order number, so that the later one brings late events."""
-    # even and odd orders: both batches hold every day, and together they are all events
-    first = events.filter(F.col("l_orderkey") % 2 == 0)
-    second = events.filter(F.col("l_orderkey") % 2 != 0)
+    """Open lines first, all others after: both batches span all days, so the second is late."""
+    first = events.filter(F.col("l_linestatus") == "O")
+    second = events.filter(F.col("l_linestatus") != "O")
     target = cdc.apply_latest(None, first, [key], "updated_at", _LINE_TIES)
     return cdc.apply_latest(target, second, [key], "updated_at", _LINE_TIES).select(*cols)
 
 
 def _applied_sql(columns: str, key: str, source: str) -> str:
-    """Newest event per key; on equal times the odd orders, which came later, win."""
+    """Newest event per key; on equal times the later batch wins."""
     return f"""SELECT {columns} FROM {source}
 QUALIFY row_number() OVER (PARTITION BY {key}
-  ORDER BY l_shipdate DESC, l_orderkey % 2 DESC, l_orderkey DESC, l_linenumber DESC,
-           l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1"""
+  ORDER BY l_shipdate DESC, l_linestatus <> 'O' DESC, l_orderkey DESC, l_linenumber DESC,
+           l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_linestatus DESC) = 1"""
 
 
 def cdc_scd1_artist(spark, sf_dir) -> DataFrame:
@@ -236,9 +245,9 @@ def cdc_scd1_fact(spark, sf_dir) -> DataFrame:
 def _user_cdc(hot_rows: int, except_cols):
     def run(spark, sf_dir):
         events = expect_all_or_drop(user_events(spark, sf_dir), quality.USER_EXPECTATIONS)
-        # even orders first, then odd ones: the second batch brings late events
-        first = events.filter(F.col("o_orderkey") % 2 == 0)
-        second = events.filter(F.col("o_orderkey") % 2 != 0)
+        # open orders first, all others after: the second batch brings late events
+        first = events.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
+        second = events.filter(F.col("o_orderstatus") != "O").drop("o_orderstatus")
         state = None
         for batch in (first, second):
             state = cdc.apply_history(
@@ -258,7 +267,7 @@ _CDC2 = f"""{_USER_EVENTS},
 events1 AS (
   SELECT * FROM user_events
   QUALIFY row_number() OVER (PARTITION BY user_id, updated_at
-                             ORDER BY o_orderkey % 2 DESC, o_orderkey DESC) = 1)"""
+                             ORDER BY o_orderstatus <> 'O' DESC, o_orderkey DESC) = 1)"""
 
 _CDC2_COLS = """user_id, user_name, country, subscription_type, updated_at,
   updated_at AS start_at,
@@ -305,7 +314,7 @@ FROM before b FULL JOIN after a USING (stream_id)"""
 
 ORACLES = {
     "dedup_latest": f"""WITH {_USER_EVENTS}
-SELECT * EXCLUDE (o_orderkey) FROM user_events
+SELECT * EXCLUDE (o_orderkey, o_orderstatus) FROM user_events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, o_orderkey DESC) = 1""",
     "dedup_fact": f"WITH {LINES} SELECT {_FACT_COLS} FROM lines {_NEWEST_FACT}",
     "scd1_fact": f"WITH {LINES}, plays AS (SELECT * FROM lines), {SCD1_SQL}",
