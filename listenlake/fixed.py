@@ -1,8 +1,8 @@
 """Labels, thresholds and column lists that results must carry exactly."""
 
-# Play classification. Shares are of the track's duration.
-MEANINGFUL_SHARE = "0.2"
-PARTIAL_SHARE = "0.5"
+# Play classification. Shares of the track's duration: 0.2 and 0.5, as exact fractions.
+MEANINGFUL_SHARE = (1, 5)
+PARTIAL_SHARE = (1, 2)
 ABANDONED = "Abandoned"
 SKIPPED = "Skipped"
 PARTIAL = "partial"

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from listenlake import fixed
 
 
-def _share(duration: Column, share: str) -> Column:
-    # a decimal literal keeps the threshold exact: int * decimal never rounds
-    return duration * F.expr(share)
+def _reaches(listen: Column, duration: Column, share: tuple[int, int]) -> Column:
+    """``listen >= share * duration`` in whole numbers: exact, and cheaper than decimals."""
+    part, whole = (F.lit(n).cast("bigint") for n in share)
+    return listen * whole >= duration * part
 
 
 def is_abandoned(listen: Column) -> Column:
@@ -21,13 +22,13 @@ def is_abandoned(listen: Column) -> Column:
 
 
 def is_skipped(listen: Column, duration: Column) -> Column:
-    below = listen < _share(duration, fixed.MEANINGFUL_SHARE)
+    below = ~_reaches(listen, duration, fixed.MEANINGFUL_SHARE)
     return ~is_abandoned(listen) & F.coalesce(below, F.lit(False))
 
 
 def is_meaningful(listen: Column, duration: Column) -> Column:
     """True when at least a fifth of the track was heard; unknown durations give False."""
-    return F.coalesce(listen >= _share(duration, fixed.MEANINGFUL_SHARE), F.lit(False))
+    return F.coalesce(_reaches(listen, duration, fixed.MEANINGFUL_SHARE), F.lit(False))
 
 
 def is_meaningful_play(listen: Column, duration: Column) -> Column:
@@ -39,7 +40,7 @@ def play_category(listen: Column, duration: Column) -> Column:
     return (
         F.when(is_abandoned(listen), fixed.ABANDONED)
         .when(is_skipped(listen, duration), fixed.SKIPPED)
-        .when(listen < _share(duration, fixed.PARTIAL_SHARE), fixed.PARTIAL)
+        .when(~_reaches(listen, duration, fixed.PARTIAL_SHARE), fixed.PARTIAL)
         .otherwise(fixed.COMPLETED)
     )
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-SALTS = 32
+from pyspark.sql.types import BinaryType, StringType
 
 
 @dataclass(frozen=True)
@@ -51,6 +50,17 @@ def hot_keys(df: DataFrame, cols: Sequence[str], support: float = 0.01) -> dict[
     return {c: [v for v in found[f"{c}_freqItems"] if v is not None] for c in cols}
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows as counted by one distributed pass, not as guessed by the planner.
+
+    Text counts with its real length, every other value with eight bytes.
+    """
+    texts = [f.name for f in df.schema if f.dataType in (StringType(), BinaryType())]
+    text_bytes = [F.sum(F.coalesce(F.octet_length(c), F.lit(0))) for c in texts]
+    rows, *lengths = df.agg(F.count(F.lit(1)), *text_bytes).first()
+    return rows * 8 * len(df.columns) + sum(n or 0 for n in lengths)
+
+
 def left_join_salted(
     fact: DataFrame,
     dim: DataFrame,
@@ -58,17 +68,19 @@ def left_join_salted(
     dim_key: str,
     hot: Iterable,
     spread_by: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join in which each hot key is spread over ``salts`` shuffle keys.
 
-    Only the dimension rows of hot keys are repeated (``len(hot) * salts`` rows for a dimension
+    There are as many salts as shuffle partitions unless told otherwise, so a key with a third of
+    all rows reaches every partition. Only the dimension rows of hot keys are repeated (``len(hot) * salts`` rows for a dimension
     with unique keys); the fact keeps one row per row. The salt is a hash of row values, so a
     retried task deals out the same salts.
     """
     hot = list(hot)
     if not hot:
         return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
+    salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     is_hot = F.coalesce(F.col(fact_key).isin(hot), F.lit(False))
     salted = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
@@ -76,7 +88,3 @@ def left_join_salted(
     repeated = dim.withColumn("_dim_salt", F.explode(F.coalesce(every, F.array(F.lit(0)))))
     on = (salted[fact_key] == repeated[dim_key]) & (salted["_salt"] == repeated["_dim_salt"])
     return salted.join(repeated, on, "left").drop("_salt", "_dim_salt")
-
-
-def salted_from(hot: Mapping[str, Sequence] | None, key: str) -> Sequence:
-    return (hot or {}).get(key, ())

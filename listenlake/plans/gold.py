@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from listenlake.operators.star import hot_keys
 from listenlake.plans.kpi import KPIS, stamp
 from listenlake.plans.star import Star
 
@@ -18,18 +17,11 @@ def write_gold(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def with_hot_keys(star: Star, support: float = 0.01) -> Star:
-    """Look up the users and tracks that hold much of the fact, once for all KPI tables."""
-    hot = hot_keys(star.fact, ["user_id", "track_id"], support)
-    return Star(star.fact, star.user, star.track, star.artist, star.date, hot)
-
-
 def refresh(star: Star, path_of) -> None:
     """Rewrite every KPI table. ``path_of`` maps a table name to its folder.
 
     Each table reads the few fact columns it needs; a stored wide view would be larger than the
-    fact itself.
+    fact itself. The star measures its dimensions and hot keys once, for all tables.
     """
-    ready = with_hot_keys(star)
     for name, build in KPIS.items():
-        write_gold(stamp(build(ready)), path_of(name), PARTITIONED_BY.get(name))
+        write_gold(stamp(build(star)), path_of(name), PARTITIONED_BY.get(name))

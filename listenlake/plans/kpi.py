@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from listenlake import fixed
 from listenlake.functions import measures as m
 from listenlake.functions import plays
-from listenlake.operators.ranking import null_safe, rank_in_group
+from listenlake.operators.ranking import rank_in_group
 from listenlake.plans.star import Star, base_fact, tracks_with_artist
 
 GOLD_TIMESTAMP = "gold_ingest_timestamp"
@@ -122,7 +122,7 @@ def user_engagement_kpi(
         - fixed.ABANDONED_WEIGHT * F.col("abandoned")
     )
     scored = (
-        per_user.join(names, null_safe(per_user, names, [("user_id", "_user_id")]), "left")
+        per_user.join(names, F.col("user_id") == F.col("_user_id"), "left")
         .withColumn("engagement_score", score)
         .withColumn("engagement_tier", plays.tier(F.col("engagement_score"), cuts, floor))
         .select(

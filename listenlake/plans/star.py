@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.functions import plays
-from listenlake.operators.star import left_join_salted, salted_from
+from listenlake.operators.star import hot_keys, left_join_salted, measured_bytes
 
 DIMS = ("user", "track", "artist", "date")
 
+# a dimension measured to be larger is joined by shuffle instead of broadcast
+BROADCAST_BYTES = 64 << 20
 
-@dataclass(frozen=True)
+
+@dataclass(eq=False)
 class Star:
     """Current silver tables. Every dimension holds one row per key, which silver guarantees.
 
-    ``hot`` names key values known to hold a large share of the fact (see ``hot_keys``); joins on
-    these keys are salted.
+    How the fact meets a dimension is decided by measurement, once per star: one that fits
+    ``broadcast_bytes`` is broadcast, so the fact is not moved at all. A larger one is joined by
+    shuffle, with the fact keys that hold more than ``hot_share`` of its rows salted.
     """
 
     fact: DataFrame
@@ -27,17 +31,32 @@ class Star:
     track: DataFrame
     artist: DataFrame
     date: DataFrame
-    hot: Mapping[str, Sequence] = field(default_factory=dict)
+    broadcast_bytes: int = BROADCAST_BYTES
+    hot_share: float = 0.01
+    _fits: dict[str, bool] = field(default_factory=dict)
+    _hot: dict[str, list] = field(default_factory=dict)
+
+    def fits(self, name: str, dim: DataFrame) -> bool:
+        if name not in self._fits:
+            self._fits[name] = measured_bytes(dim) <= self.broadcast_bytes
+        return self._fits[name]
+
+    def hot(self, key: str) -> list:
+        if key not in self._hot:
+            self._hot |= hot_keys(self.fact, [key], self.hot_share)
+        return self._hot[key]
 
 
 def _prefixed(dim: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
     return dim.select(*[F.col(c).alias(prefix + c) for c in cols])
 
 
-def _attach(wide: DataFrame, dim: DataFrame, key: str, dim_key: str, star: Star) -> DataFrame:
-    return left_join_salted(
-        wide, dim, key, dim_key, salted_from(star.hot, key), spread_by=["f_stream_id"]
-    )
+def _attach(
+    star: Star, wide: DataFrame, name: str, dim: DataFrame, key: str, dim_key: str
+) -> DataFrame:
+    if star.fits(name, dim):
+        return wide.join(F.broadcast(dim), F.col(key) == F.col(dim_key), "left")
+    return left_join_salted(wide, dim, key, dim_key, star.hot(key), spread_by=["f_stream_id"])
 
 
 def tracks_with_artist(star: Star) -> DataFrame:
@@ -84,7 +103,7 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
         user = _prefixed(
             star.user, "u_", ["user_sk", "user_id", "user_name", "country", "subscription_type"]
         )
-        wide = _attach(wide, user, "user_id", "u_user_id", star)
+        wide = _attach(star, wide, "user", user, "user_id", "u_user_id")
         out |= {
             "user_sk": F.col("u_user_sk"),
             "user_name": F.col("u_user_name"),
@@ -92,10 +111,15 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
             "subscription_type": F.col("u_subscription_type"),
         }
     if "track" in dims or "artist" in dims:
-        arm = tracks_with_artist(star) if "artist" in dims else _prefixed(
-            star.track, "t_", ["track_id", "track_sk", "track_name", "album_name", "duration_sec"]
+        arm, name = (tracks_with_artist(star), "artist") if "artist" in dims else (
+            _prefixed(
+                star.track,
+                "t_",
+                ["track_id", "track_sk", "track_name", "album_name", "duration_sec"],
+            ),
+            "track",
         )
-        wide = _attach(wide, arm, "track_id", "t_track_id", star)
+        wide = _attach(star, wide, name, arm, "track_id", "t_track_id")
         out |= {
             "track_sk": F.col("t_track_sk"),
             "track_id": F.col("t_track_id"),
@@ -116,6 +140,7 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
     if "date" in dims:
         calendar = ["date_key", "date", "day", "month", "year", "weekday"]
         date = _prefixed(star.date, "d_", calendar)
-        wide = wide.join(date, F.col("f_date_key") == F.col("d_date_key"), "left")
+        # one row per day: a thousand years fit a broadcast many times over
+        wide = wide.join(F.broadcast(date), F.col("f_date_key") == F.col("d_date_key"), "left")
         out |= {c: F.col(f"d_{c}") for c in calendar}
     return wide.select(*[expr.alias(name) for name, expr in out.items()])
