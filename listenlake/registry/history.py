@@ -92,9 +92,10 @@ def _user_history(spark, sf_dir) -> SnapshotTable:
     span = sample.table(spark, sf_dir, "orders").agg(
         F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")
     ).first()
+    events = user_events(spark, sf_dir)
+    when = F.col("updated_at")
     for year in range(span["first"], span["last"] + 1):
-        when = F.col("updated_at")
-        batch = user_events(spark, sf_dir).filter(
+        batch = events.filter(
             (when >= F.lit(f"{year}-01-01").cast("timestamp"))
             & (when < F.lit(f"{year + 1}-01-01").cast("timestamp"))
         )

@@ -55,7 +55,8 @@ class SnapshotTable:
         wanted = head.parts if parts is None else set(parts) & set(head.parts)
         paths = [f"{self.root}/{p}" for part in sorted(wanted) for p in head.parts[part]]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+            return self.spark.range(0).select(*nulls)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def publish(

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from listenlake.sources import fs
 
@@ -39,5 +40,5 @@ class StateLog:
 
     def append(self, fields: dict) -> None:
         number = (self._newest() or 0) + 1
-        entry = self.spark.createDataFrame([(json.dumps(fields),)], "value string")
-        entry.coalesce(1).write.mode("overwrite").text(self._path(number))
+        entry = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(fields)).alias("value"))
+        entry.write.mode("overwrite").text(self._path(number))
