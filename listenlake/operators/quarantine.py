@@ -29,7 +29,7 @@ def to_quarantine(
 
 
 def write_quarantine(log: DataFrame, root: str, batch_id: int) -> None:
-    """Replaying a batch replaces its own rows, so the log never doubles."""
+    """Replaying a batch replaces its own rows, so the log never doubles. No rows write nothing."""
     tables = log.withColumn("batch_id", F.lit(batch_id))
     (
         tables.write.mode("overwrite")

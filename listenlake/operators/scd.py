@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlake.operators.durable import materialise
 from listenlake.operators.keys import assign_sk
 
 START, END, CURRENT = "scd_start_date", "scd_end_date", "is_current"
@@ -93,9 +92,8 @@ def scd2_merge(
     differs = reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in tracked))
     if guard:
         differs &= not_older(F.col(guard), F.col(f"_c_{guard}"))
-    hits = materialise(
-        source.join(seen, keys).select(*keys, differs.alias("_changed")), "scd2-hits"
-    )
+    # an inner join first: unlike an outer one, it can broadcast a small batch to the target
+    hits = source.join(seen, keys).select(*keys, differs.alias("_changed"))
     incoming = source.join(hits, keys, "left").filter(F.coalesce("_changed", F.lit(True)))
     added = assign_sk(incoming, keys, sk, sk_start)
     closing = added.filter(F.col("_changed")).select(*keys, F.col(start).alias("_closed_on"))

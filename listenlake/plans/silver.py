@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from listenlake import fixed
@@ -22,8 +22,8 @@ from listenlake.operators.rules import (
     REASON,
     Rule,
     apply_rules,
+    count_measures,
     expect_or_drop,
-    rule_counts,
     split_valid,
 )
 from listenlake.operators.scd import scd1_merge, scd2_merge
@@ -71,17 +71,19 @@ def persisted(df: DataFrame):
         df.unpersist()
 
 
-@contextmanager
 def _valid_rows(
     batch: DataFrame, batch_id: int, name: str, key: str, rules: Sequence[Rule], quarantine: str
-):
-    """Yield the batch's valid rows and counts, having logged the invalid ones."""
-    with persisted(apply_rules(batch, rules)) as checked:
-        counts = rule_counts(checked).first()
-        valid, invalid = split_valid(checked)
-        if counts.invalid_rows:
-            write_quarantine(to_quarantine(invalid, name, key), quarantine, batch_id)
-        yield valid.drop(REASON), counts
+) -> tuple[DataFrame, dict[str, int]]:
+    """Log the invalid rows; return the valid ones and the row counts.
+
+    The counts are taken while the log is written. The batch is not cached: reading its files a
+    second time is cheaper than keeping a raw copy of them.
+    """
+    checked = apply_rules(batch, rules)
+    counted = Observation()
+    invalid = split_valid(checked.observe(counted, *count_measures()))[1]
+    write_quarantine(to_quarantine(invalid, name, key), quarantine, batch_id)
+    return split_valid(checked)[0].drop(REASON), counted.get
 
 
 def apply_user_batch(
@@ -91,15 +93,14 @@ def apply_user_batch(
     quarantine: str,
     rules: Sequence[Rule] = quality.user_rules(),
     guard: str | None = None,
-) -> Row | None:
+) -> dict[str, int] | None:
     """Check, keep the newest event per user, and merge as type 2."""
     head = users.head()
     if head.batch_id >= batch_id:
         return None
     all_rules = (*rules, quality.USER_START_RULE)
-    with _valid_rows(batch, batch_id, "DimUser", "user_id", all_rules, quarantine) as (valid, counts):
-        if not counts.valid_rows:
-            return counts
+    valid, counts = _valid_rows(batch, batch_id, "DimUser", "user_id", all_rules, quarantine)
+    if counts["valid_rows"]:
         starts = F.coalesce("start_date", F.to_date("updated_at"))
         newest = keep_latest(
             add_silver_audit(valid.withColumn("start_date", starts)),
@@ -127,8 +128,9 @@ def apply_user_batch(
                 batch_id,
                 replaces=[USER_CURRENT],
                 facts={"max_sk": numbered + change.added.count()},
+                head=head,
             )
-        return counts
+    return counts
 
 
 def fact_part(date_key: str = "date_key") -> Column:
@@ -143,7 +145,7 @@ def apply_fact_batch(
     quarantine: str,
     rules: Sequence[Rule] = quality.FACT_RULES,
     guard: str | None = None,
-) -> Row | None:
+) -> dict[str, int] | None:
     """Check, keep the newest event per stream, and upsert as type 1.
 
     A changed date moves a row to another month, so the months rewritten are those of the batch
@@ -152,9 +154,8 @@ def apply_fact_batch(
     head = facts.head()
     if head.batch_id >= batch_id:
         return None
-    with _valid_rows(batch, batch_id, "FactStream", "stream_id", rules, quarantine) as (valid, counts):
-        if not counts.valid_rows:
-            return counts
+    valid, counts = _valid_rows(batch, batch_id, "FactStream", "stream_id", rules, quarantine)
+    if counts["valid_rows"]:
         newest = keep_latest(
             add_silver_audit(valid),
             ["stream_id"],
@@ -170,8 +171,10 @@ def apply_fact_batch(
             merged = scd1_merge(
                 facts.read(touched, head), source, ["stream_id"], fixed.FACT_UPDATE_COLS, guard
             )
-            facts.publish(merged.withColumn(PART, fact_part()), batch_id, replaces=touched)
-        return counts
+            facts.publish(
+                merged.withColumn(PART, fact_part()), batch_id, replaces=touched, head=head
+            )
+    return counts
 
 
 def stage_artists(bronze: DataFrame) -> DataFrame:
@@ -210,4 +213,4 @@ def apply_dimension_batch(
     with persisted(keep_latest(staged, [key], [sequence_by], content)) as newest:
         target = table.read(head=head) if head.version else None
         merged = apply_latest(target, newest, [key], sequence_by, content)
-        table.publish(merged.withColumn(PART, F.lit(WHOLE)), batch_id)
+        table.publish(merged.withColumn(PART, F.lit(WHOLE)), batch_id, head=head)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,30 +11,58 @@ from pyspark.sql import functions as F
 from listenlake.functions import plays
 from listenlake.operators.star import hot_keys, left_join_salted, measured_bytes
 
+Opener = Callable[[], DataFrame]
+
 DIMS = ("user", "track", "artist", "date")
 
 # a dimension measured to be larger is joined by shuffle instead of broadcast
 BROADCAST_BYTES = 64 << 20
 
 
-@dataclass(eq=False)
 class Star:
     """Current silver tables. Every dimension holds one row per key, which silver guarantees.
 
-    How the fact meets a dimension is decided by measurement, once per star: one that fits
-    ``broadcast_bytes`` is broadcast, so the fact is not moved at all. A larger one is joined by
-    shuffle, with the fact keys that hold more than ``hot_share`` of its rows salted.
+    Tables are given as functions and opened when a query first needs them. How the fact meets a
+    dimension is decided by measurement, once per star: one that fits ``broadcast_bytes`` is
+    broadcast, so the fact is not moved at all. A larger one is joined by shuffle, with the fact
+    keys that hold more than ``hot_share`` of its rows salted.
     """
 
-    fact: DataFrame
-    user: DataFrame
-    track: DataFrame
-    artist: DataFrame
-    date: DataFrame
-    broadcast_bytes: int = BROADCAST_BYTES
-    hot_share: float = 0.01
-    _fits: dict[str, bool] = field(default_factory=dict)
-    _hot: dict[str, list] = field(default_factory=dict)
+    def __init__(
+        self,
+        fact: Opener,
+        user: Opener,
+        track: Opener,
+        artist: Opener,
+        date: Opener,
+        broadcast_bytes: int = BROADCAST_BYTES,
+        hot_share: float = 0.01,
+    ):
+        self._open = {"fact": fact, "user": user, "track": track, "artist": artist, "date": date}
+        self.broadcast_bytes = broadcast_bytes
+        self.hot_share = hot_share
+        self._fits: dict[str, bool] = {}
+        self._hot: dict[str, list] = {}
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._open["fact"]()
+
+    @cached_property
+    def user(self) -> DataFrame:
+        return self._open["user"]()
+
+    @cached_property
+    def track(self) -> DataFrame:
+        return self._open["track"]()
+
+    @cached_property
+    def artist(self) -> DataFrame:
+        return self._open["artist"]()
+
+    @cached_property
+    def date(self) -> DataFrame:
+        return self._open["date"]()
 
     def fits(self, name: str, dim: DataFrame) -> bool:
         if name not in self._fits:

@@ -6,6 +6,8 @@ supplier the artist.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,9 +121,5 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     return Star(
-        fact=fact(spark, sf_dir),
-        user=users(spark, sf_dir),
-        track=tracks(spark, sf_dir),
-        artist=artists(spark, sf_dir),
-        date=dates(spark, sf_dir),
+        *(partial(build, spark, sf_dir) for build in (fact, users, tracks, artists, dates))
     )

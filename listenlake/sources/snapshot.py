@@ -65,13 +65,14 @@ class SnapshotTable:
         batch_id: int,
         replaces: Iterable[str] | None = None,
         facts: Mapping[str, int] | None = None,
+        head: Commit | None = None,
     ) -> Commit:
         """Write ``rows``, which carry a ``part`` column, and commit.
 
         Parts in ``replaces`` lose their old folders (all parts if it is None); the other parts
         keep theirs and gain the new rows.
         """
-        head = self.head()
+        head = head or self.head()
         folder = f"data/v={head.version + 1:08d}"
         target = f"{self.root}/{folder}"
         names = [f.name for f in self.schema]

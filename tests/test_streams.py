@@ -55,11 +55,11 @@ def warehouse(spark, tmp_path_factory):
 
 def star_of(layer) -> Star:
     return Star(
-        layer.facts.read(),
-        current_only(layer.users.read()),
-        layer.tracks.read(),
-        layer.artists.read(),
-        layer.dates.read(),
+        layer.facts.read,
+        lambda: current_only(layer.users.read()),
+        layer.tracks.read,
+        layer.artists.read,
+        layer.dates.read,
     )
 
 
