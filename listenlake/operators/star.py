@@ -70,21 +70,23 @@ def left_join_salted(
     spread_by: Sequence[str],
     salts: int | None = None,
 ) -> DataFrame:
-    """Left join in which each hot key is spread over ``salts`` shuffle keys.
+    """Left join in which hot keys and missing keys are spread over ``salts`` shuffle keys.
 
     There are as many salts as shuffle partitions unless told otherwise, so a key with a third of
-    all rows reaches every partition. Only the dimension rows of hot keys are repeated (``len(hot) * salts`` rows for a dimension
-    with unique keys); the fact keeps one row per row. The salt is a hash of row values, so a
-    retried task deals out the same salts.
+    all rows reaches every partition. Only the dimension rows of hot keys are repeated
+    (``len(hot) * salts`` rows for a dimension with unique keys); the fact keeps one row per row.
+    The salt is a hash of row values, so a retried task deals out the same salts.
     """
     hot = list(hot)
-    if not hot:
-        return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
     salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    is_hot = F.coalesce(F.col(fact_key).isin(hot), F.lit(False))
-    salted = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
-    every = F.when(F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = dim.withColumn("_dim_salt", F.explode(F.coalesce(every, F.array(F.lit(0)))))
+    # a missing key matches nothing wherever it goes, but all of them would go to one task
+    spread_out, repeat = F.col(fact_key).isNull(), F.lit(False)
+    if hot:
+        spread_out |= F.col(fact_key).isin(hot)
+        repeat = F.col(dim_key).isin(hot)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    salted = fact.withColumn("_salt", F.when(spread_out, salt).otherwise(0))
+    copies = F.when(repeat, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dim.withColumn("_dim_salt", F.explode(copies))
     on = (salted[fact_key] == repeated[dim_key]) & (salted["_salt"] == repeated["_dim_salt"])
     return salted.join(repeated, on, "left").drop("_salt", "_dim_salt")

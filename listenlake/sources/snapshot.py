@@ -88,3 +88,24 @@ class SnapshotTable:
         commit = Commit(head.version + 1, batch_id, parts, {**head.facts, **(facts or {})})
         self.log.append(json.loads(json.dumps(commit.__dict__)))
         return commit
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete data folders that none of the newest ``keep`` commits names.
+
+        Readers of older versions must be done. Folders of a write in progress have a higher
+        version than any commit and stay.
+        """
+        kept = [Commit(**entry) for entry in self.log.recent(keep)]
+        if not kept:
+            return []
+        named = {path for commit in kept for paths in commit.parts.values() for path in paths}
+        gone = []
+        for version in fs.children(self.spark, f"{self.root}/data"):
+            if int(version.removeprefix("v=")) > kept[0].version:
+                continue
+            for part in fs.children(self.spark, f"{self.root}/data/{version}"):
+                path = f"data/{version}/{part}"
+                if part.startswith(f"{PART}=") and path not in named:
+                    fs.delete(self.spark, f"{self.root}/{path}")
+                    gone.append(path)
+        return gone

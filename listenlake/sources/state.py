@@ -32,6 +32,14 @@ class StateLog:
                 return number
         return None
 
+    def recent(self, count: int) -> list[dict]:
+        """The newest entries, newest first."""
+        done = [
+            n for n in reversed(self._numbers()) if fs.exists(self.spark, f"{self._path(n)}/_SUCCESS")
+        ]
+        texts = (self.spark.read.text(self._path(n), wholetext=True) for n in done[:count])
+        return [json.loads(text.first()[0]) for text in texts]
+
     def latest(self) -> dict | None:
         newest = self._newest()
         if newest is None:

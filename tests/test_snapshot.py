@@ -45,6 +45,17 @@ def test_a_reader_keeps_the_version_it_opened(spark, root):
     assert [r.id for r in before.collect()] == [1]
 
 
+def test_vacuum_keeps_what_recent_commits_name(spark, root):
+    table = SnapshotTable(spark, root, "id long")
+    for i in range(4):
+        pairs = [(i, "current"), (10 + i, "history")]
+        table.publish(rows(spark, pairs), i, replaces=["current"])
+    gone = table.vacuum(keep=2)
+    assert gone == ["data/v=00000001/part=current", "data/v=00000002/part=current"]
+    assert ids(table) == [3, 10, 11, 12, 13]
+    assert table.vacuum(keep=2) == []
+
+
 def test_state_ignores_entries_that_were_not_finished(spark, root):
     log = StateLog(spark, f"{root}/log")
     assert log.latest() is None

@@ -5,11 +5,13 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from listenlake.operators.scd import current_only
-from listenlake.plans import gold, views
+from listenlake.plans import catalog, gold, views
 from listenlake.plans.kpi import KPIS
 from listenlake.plans.star import Star, base_fact
 from listenlake.registry.history import user_events
 from listenlake.sources import sample
+from listenlake.sources.extract import SourceSpec, parquet_source
+from listenlake.streaming import warehouse as warehouse_run
 from listenlake.streaming.bronze import run_bronze
 from listenlake.streaming.layout import Layout
 from listenlake.streaming.silver import SilverLayer
@@ -54,13 +56,7 @@ def warehouse(spark, tmp_path_factory):
 
 
 def star_of(layer) -> Star:
-    return Star(
-        layer.facts.read,
-        lambda: current_only(layer.users.read()),
-        layer.tracks.read,
-        layer.artists.read,
-        layer.dates.read,
-    )
+    return catalog.star_of(layer.users, layer.facts, layer.artists, layer.tracks, layer.dates)
 
 
 def test_valid_and_logged_rows_make_up_the_input(spark, warehouse):
@@ -132,3 +128,29 @@ def test_gold_adds_up_to_the_facts(spark, warehouse):
     assert board.agg(F.max("rank_in_tier")).first()[0] <= 10
     views.genre_rank_in_plan(stored["genre_subscription_kpi"]).collect()
     views.device_rank_in_plan(stored["device_subscription_kpi"]).collect()
+
+
+def test_one_run_takes_sources_to_sql_views(spark, tmp_path):
+    def stored(name, df):
+        df.write.parquet(f"{tmp_path}/source/{name}")
+        return parquet_source(f"{tmp_path}/source/{name}")
+
+    cdc_cols = {"FactStream": "stream_timestamp", "DimDate": "date"}
+    specs = [
+        SourceSpec(name, cdc_cols.get(name, "updated_at"), stored(name, df))
+        for name, df in sources(spark).items()
+    ]
+    layout = Layout(f"{tmp_path}/warehouse")
+    landed = warehouse_run.run(spark, layout, specs, plans=PLANS)
+    assert all(step.rows > 0 for step in landed)
+    facts = spark.sql("SELECT count(*) AS n FROM factstream").first().n
+    assert spark.sql("SELECT count(*) AS n FROM vw_base_fact").first().n == facts > 0
+    top = spark.sql("SELECT max(track_rank) AS r, count(*) AS n FROM cube_top10_tracks").first()
+    assert top.r <= 10 <= top.n
+    lookup = spark.sql("SELECT count(DISTINCT user_id) AS n FROM dimuser WHERE user_id = 20")
+    assert lookup.first().n == 1
+    for name in catalog.REPORTS:
+        assert spark.table(name).count() > 0
+    again = warehouse_run.run(spark, layout, specs, plans=PLANS)
+    assert [step.rows for step in again] == [0] * len(specs)
+    assert spark.sql("SELECT count(*) AS n FROM factstream").first().n == facts
