@@ -10,6 +10,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from listenlake.operators.keys import hash_sk
 from listenlake.plans.star import Star
@@ -18,8 +19,15 @@ from listenlake.plans.star import Star
 FACT_TIEBREAK = ("track_id", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The footer of a table is looked up once per session; its files do not change."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def date_key(ts: str) -> Column:
