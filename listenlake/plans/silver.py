@@ -123,11 +123,12 @@ def apply_user_batch(
             rows = change.current.withColumn(PART, F.lit(USER_CURRENT)).unionByName(
                 change.closed.withColumn(PART, F.lit(USER_HISTORY))
             )
+            written = Observation()
             users.publish(
-                rows,
+                rows.observe(written, F.max("user_sk").alias("max_sk")),
                 batch_id,
                 replaces=[USER_CURRENT],
-                facts={"max_sk": numbered + change.added.count()},
+                facts=lambda: {"max_sk": max(numbered, written.get["max_sk"] or 0)},
                 head=head,
             )
     return counts

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def _rounded(expr: str, digits: int) -> str:
-    # through a decimal: half-up on the printed value, as Spark rounds doubles
-    return f"CAST(round(CAST({expr} AS DECIMAL(30,12)), {digits}) AS DOUBLE)"
+    # half-up on the digits a double is printed with, as Spark rounds doubles
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def r2(expr: str) -> str:

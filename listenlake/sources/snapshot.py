@@ -9,7 +9,7 @@ part, and a commit replaces only the parts it rewrote.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,13 +64,14 @@ class SnapshotTable:
         rows: DataFrame,
         batch_id: int,
         replaces: Iterable[str] | None = None,
-        facts: Mapping[str, int] | None = None,
+        facts: Callable[[], Mapping[str, int]] = dict,
         head: Commit | None = None,
     ) -> Commit:
         """Write ``rows``, which carry a ``part`` column, and commit.
 
         Parts in ``replaces`` lose their old folders (all parts if it is None); the other parts
-        keep theirs and gain the new rows.
+        keep theirs and gain the new rows. ``facts`` is asked once the rows are written; what it
+        gives is kept with this commit and later ones.
         """
         head = head or self.head()
         folder = f"data/v={head.version + 1:08d}"
@@ -85,7 +86,7 @@ class SnapshotTable:
         for name in fs.children(self.spark, target):
             if name.startswith(prefix):
                 parts.setdefault(name[len(prefix) :], []).append(f"{folder}/{name}")
-        commit = Commit(head.version + 1, batch_id, parts, {**head.facts, **(facts or {})})
+        commit = Commit(head.version + 1, batch_id, parts, {**head.facts, **facts()})
         self.log.append(json.loads(json.dumps(commit.__dict__)))
         return commit
 
