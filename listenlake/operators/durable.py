@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from listenlake.sources import fs
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -24,9 +26,17 @@ def scratch_root(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/listenlake/{spark.conf.get('spark.app.id', 'app')}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{scratch_root(spark)}/listenlake/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has materialised, once nothing reads it any more."""
+    fs.delete(spark, _own_folder(spark))
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

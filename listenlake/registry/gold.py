@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.functions import plays
-from listenlake.operators.durable import materialise
+from listenlake.operators.durable import materialise, scratch_path
 from listenlake.operators.star import JoinSpec, star_join
-from listenlake.plans import kpi, views
+from listenlake.plans import gold, kpi, views
 from listenlake.plans.star import base_fact
 from listenlake.registry.sql import STAR, r2, r3
 from listenlake.sources import sample
@@ -90,6 +92,24 @@ def top10_tracks(spark, sf_dir) -> DataFrame:
     return _view(views.top_tracks, kpi.top_tracks_kpi)(spark, sf_dir)
 
 
+def gold_refresh(spark, sf_dir) -> DataFrame:
+    """All KPI tables rewritten twice and read back: how many rows, over how many plays."""
+    root = scratch_path(spark, "gold")
+    star = sample.star(spark, sf_dir)
+    for _ in range(2):
+        gold.refresh(star, lambda name: f"{root}/{name}")
+    parts = [
+        spark.read.parquet(f"{root}/{name}").agg(
+            F.lit(name).alias("kpi"),
+            F.count("*").alias("kpi_rows"),
+            F.sum("total_streams").alias("plays"),
+            F.count("gold_ingest_timestamp").alias("stamped"),
+        )
+        for name in kpi.KPIS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
     "base_fact": base_fact_view,
     "base_fact_salted": base_fact_salted,
@@ -107,6 +127,7 @@ QUERIES = {
     "monthly_growth": _view(views.monthly_growth, kpi.monthly_trend_kpi),
     "device_rank_in_plan": _view(views.device_rank_in_plan, kpi.device_subscription_kpi),
     "user_leaderboard": _view(views.user_leaderboard, kpi.user_engagement_kpi),
+    "gold_refresh": gold_refresh,
 }
 
 _GENRE = f"""genre_kpi AS (
@@ -233,4 +254,22 @@ FROM part""",
                          meaningful_plays, engagement_score, rank_in_tier
                   FROM users_kpi WHERE rank_in_tier <= 10""",
     ),
+    "gold_refresh": _over(
+        _GENRE,
+        _TRACKS,
+        _DEVICE,
+        _MONTHLY,
+        _USERS,
+        select=" UNION ALL ".join(
+            f"""SELECT '{name}' AS kpi, count(*) AS kpi_rows,
+                       CAST(sum(total_streams) AS BIGINT) AS plays, count(*) AS stamped FROM {cte}"""
+            for name, cte in (
+                ("genre_subscription_kpi", "genre_kpi"),
+                ("top_tracks_kpi", "tracks_kpi"),
+                ("device_subscription_kpi", "device_kpi"),
+                ("monthly_trend_kpi", "monthly_kpi"),
+                ("user_engagement_kpi", "users_kpi"),
+            )
+        ),
+    ),
 }

@@ -19,6 +19,8 @@ from listenlake.sources.extract import (
     parquet_source,
     read_watermark,
 )
+from listenlake.sources.landing import read_landing_stream, stored_schema
+from listenlake.sources.state import StateLog
 from listenlake.streaming.bronze import run_bronze, write_bronze
 from listenlake.streaming.layout import Layout
 from listenlake.streaming.silver import SilverLayer
@@ -79,14 +81,14 @@ def incr_all_tables(spark, sf_dir) -> DataFrame:
 def bronze_ingest(spark, sf_dir) -> DataFrame:
     """All events through the bronze stream, run twice: the second run adds nothing."""
     target, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
-    schema = sample.table(spark, sf_dir, "events").schema
+    store = StateLog(spark, scratch_path(spark, "schema"))
+    # a file stream watches a folder; the name picks the table's file in it
+    named = {"pathGlobFilter": "events.parquet"}
     for _ in range(2):
-        # a file stream watches a folder; the name picks the table's file in it
-        files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-        stream = files.parquet(sf_dir)
+        stream = read_landing_stream(spark, sf_dir, store, options=named)
         write_bronze(add_bronze_audit(stream), target, checkpoint).awaitTermination()
     return spark.read.parquet(target).select(
-        *schema.names,
+        *stored_schema(store).names,
         F.element_at(F.split("input_file_path", "/"), -1).alias("file_name"),
         (F.to_date("ingest_timestamp") == F.col("ingest_date")).alias("dated"),
     )

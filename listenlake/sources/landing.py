@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -55,14 +56,17 @@ def stored_schema(store: StateLog) -> StructType | None:
     return StructType.fromJson(entry["schema"]) if entry else None
 
 
-def landing_schema(spark: SparkSession, path: str, store: StateLog) -> StructType:
+def landing_schema(
+    spark: SparkSession, path: str, store: StateLog, options: Mapping[str, str] | None = None
+) -> StructType:
     """The remembered schema, widened by files that came since it was last looked up.
 
     Only the footers of new files are read, in a Spark job.
     """
     entry = store.latest() or {}
     now = dt.datetime.now(dt.timezone.utc)
-    reader = spark.read.option("mergeSchema", "true").option("timeZone", "UTC")
+    reader = spark.read.options(**(options or {})).option("mergeSchema", "true")
+    reader = reader.option("timeZone", "UTC")
     if entry:
         reader = reader.option("modifiedAfter", entry["looked_up"])
     try:
@@ -81,10 +85,18 @@ def landing_schema(spark: SparkSession, path: str, store: StateLog) -> StructTyp
 
 
 def read_landing_stream(
-    spark: SparkSession, path: str, store: StateLog, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    store: StateLog,
+    max_files: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """New files of the folder as a stream. ``max_files`` bounds what one micro-batch takes."""
-    reader = spark.readStream.schema(landing_schema(spark, path, store))
+    """New files of the folder as a stream. ``max_files`` bounds what one micro-batch takes.
+
+    ``options`` are Spark's file-source options, such as ``pathGlobFilter``.
+    """
+    schema = landing_schema(spark, path, store, options)
+    reader = spark.readStream.schema(schema).options(**(options or {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

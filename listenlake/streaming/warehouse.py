@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import SparkSession
 
 from listenlake import fixed
+from listenlake.operators.durable import clear_scratch
 from listenlake.plans import catalog, gold
 from listenlake.sources.extract import Landed, SourceSpec, ingest_all
 from listenlake.streaming.bronze import run_bronze
@@ -21,7 +22,10 @@ def run(
     plans: Sequence[str] = fixed.PLANS,
     max_files: int | None = None,
 ) -> list[Landed]:
-    """Extract what is new, take it through bronze and silver, refresh gold, offer it to SQL."""
+    """Extract what is new, take it through bronze and silver, refresh gold, offer it to SQL.
+
+    Meant to have the application for itself: it deletes the application's scratch files at the end.
+    """
     specs = list(specs)
     landed = ingest_all(spark, specs, f"{layout.root}/landing", layout.marks())
     run_bronze(spark, layout, [spec.name for spec in specs], max_files)
@@ -32,4 +36,6 @@ def run(
     )
     gold.refresh(star, layout.gold)
     catalog.register_gold(spark, layout.gold)
+    # every result is in a table by now
+    clear_scratch(spark)
     return landed
