@@ -33,3 +33,6 @@ USER_TRACKED_COLS = ("user_name", "country", "subscription_type")
 
 # Rows kept by the top-track and leaderboard views.
 TOP_N = 10
+
+# Files one micro-batch takes at most.
+MAX_FILES = 1000

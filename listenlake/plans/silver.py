@@ -93,8 +93,13 @@ def apply_user_batch(
     quarantine: str,
     rules: Sequence[Rule] = quality.user_rules(),
     guard: str | None = None,
+    tiebreak: Sequence[str] = (),
 ) -> dict[str, int] | None:
-    """Check, keep the newest event per user, and merge as type 2."""
+    """Check, keep the newest event per user, and merge as type 2.
+
+    ``tiebreak`` names batch columns that settle which of two events of one time is the newer;
+    after them the content decides.
+    """
     head = users.head()
     if head.batch_id >= batch_id:
         return None
@@ -106,7 +111,7 @@ def apply_user_batch(
             add_silver_audit(valid.withColumn("start_date", starts)),
             ["user_id"],
             ["updated_at"],
-            ["start_date", *fixed.USER_TRACKED_COLS],
+            [*tiebreak, "start_date", *fixed.USER_TRACKED_COLS],
         )
         with persisted(newest) as source:
             numbered = head.facts.get("max_sk", 0)
@@ -134,9 +139,15 @@ def apply_user_batch(
     return counts
 
 
-def fact_part(date_key: str = "date_key") -> Column:
-    """Facts are stored by month: days would make too many small parts."""
-    return F.coalesce(F.floor(F.col(date_key) / 100).cast("string"), F.lit("none"))
+# digits of a date key that name the part its fact is stored in
+GRAINS = {"day": 8, "month": 6, "year": 4}
+
+
+def fact_part(grain: str) -> Column:
+    """A batch rewrites the parts it touches. Months suit small facts, where days would make
+    thousands of tiny folders; take days once a day holds gigabytes."""
+    part = F.substring(F.col("date_key").cast("string"), 1, GRAINS[grain])
+    return F.coalesce(part, F.lit("none"))
 
 
 def apply_fact_batch(
@@ -146,11 +157,14 @@ def apply_fact_batch(
     quarantine: str,
     rules: Sequence[Rule] = quality.FACT_RULES,
     guard: str | None = None,
+    tiebreak: Sequence[str] = (),
+    grain: str = "month",
 ) -> dict[str, int] | None:
     """Check, keep the newest event per stream, and upsert as type 1.
 
-    A changed date moves a row to another month, so the months rewritten are those of the batch
-    and those in which the batch's keys lie now. Other months are not read beyond key and date.
+    A changed date moves a row to another part, so the parts rewritten are those of the batch and
+    those in which the batch's keys lie now. Other parts are not read beyond key and date.
+    ``grain`` must stay the same for the life of the table.
     """
     head = facts.head()
     if head.batch_id >= batch_id:
@@ -161,19 +175,22 @@ def apply_fact_batch(
             add_silver_audit(valid),
             ["stream_id"],
             ["stream_timestamp"],
-            ["user_id", "track_id", *fixed.FACT_UPDATE_COLS],
+            [*tiebreak, "user_id", "track_id", *fixed.FACT_UPDATE_COLS],
         )
         with persisted(newest) as source:
             lying = facts.read(head=head).join(source.select("stream_id"), "stream_id", "left_semi")
-            months = source.select(fact_part().alias(PART)).union(
-                lying.select(fact_part().alias(PART))
-            )
-            touched = [row[PART] for row in months.distinct().collect()]
+            part = fact_part(grain)
+            hit = source.select(part.alias(PART)).union(lying.select(part.alias(PART)))
+            touched = [row[PART] for row in hit.distinct().collect()]
             merged = scd1_merge(
                 facts.read(touched, head), source, ["stream_id"], fixed.FACT_UPDATE_COLS, guard
             )
             facts.publish(
-                merged.withColumn(PART, fact_part()), batch_id, replaces=touched, head=head
+                merged.withColumn(PART, part),
+                batch_id,
+                replaces=touched,
+                head=head,
+                rebalance=True,
             )
     return counts
 

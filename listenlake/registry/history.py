@@ -99,15 +99,13 @@ def _user_history(spark, sf_dir) -> SnapshotTable:
             (when >= F.lit(f"{year}-01-01").cast("timestamp"))
             & (when < F.lit(f"{year + 1}-01-01").cast("timestamp"))
         )
-        # the sample breaks ties by order number: settled here, since the table has no such column
-        batch = keep_latest(batch, ["user_id", "updated_at"], ["o_orderkey"], [])
-        bronze = batch.drop("o_orderkey", "o_orderstatus").withColumns(
+        bronze = batch.withColumns(
             {
                 "ingest_timestamp": F.current_timestamp(),
                 "input_file_path": F.lit("orders.parquet"),
             }
         )
-        silver.apply_user_batch(bronze, year, users, quarantine)
+        silver.apply_user_batch(bronze, year, users, quarantine, tiebreak=["o_orderkey"])
     return users
 
 

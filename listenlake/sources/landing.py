@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from listenlake import fixed
 from listenlake.sources.state import StateLog
 
 # file times and our clock may disagree by this much
@@ -88,7 +89,7 @@ def read_landing_stream(
     spark: SparkSession,
     path: str,
     store: StateLog,
-    max_files: int | None = None,
+    max_files: int = fixed.MAX_FILES,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """New files of the folder as a stream. ``max_files`` bounds what one micro-batch takes.
@@ -97,19 +98,15 @@ def read_landing_stream(
     """
     schema = landing_schema(spark, path, store, options)
     reader = spark.readStream.schema(schema).options(**(options or {}))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def read_bronze_stream(
-    spark: SparkSession, path: str, store: StateLog, max_files: int | None = None
+    spark: SparkSession, path: str, store: StateLog, max_files: int = fixed.MAX_FILES
 ) -> DataFrame:
     """A bronze table as a stream: the landing schema remembered at ingestion, plus audit columns."""
     landed = stored_schema(store)
     if landed is None:
         raise FileNotFoundError(f"{path} has not been ingested yet")
     reader = spark.readStream.schema(StructType([*landed, *AUDIT_FIELDS]))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path)

@@ -66,19 +66,22 @@ class SnapshotTable:
         replaces: Iterable[str] | None = None,
         facts: Callable[[], Mapping[str, int]] = dict,
         head: Commit | None = None,
+        rebalance: bool = False,
     ) -> Commit:
         """Write ``rows``, which carry a ``part`` column, and commit.
 
         Parts in ``replaces`` lose their old folders (all parts if it is None); the other parts
         keep theirs and gain the new rows. ``facts`` is asked once the rows are written; what it
-        gives is kept with this commit and later ones.
+        gives is kept with this commit and later ones. ``rebalance`` is for many parts: it costs
+        a shuffle, which gathers small parts into few files and splits parts that are too large.
         """
         head = head or self.head()
         folder = f"data/v={head.version + 1:08d}"
         target = f"{self.root}/{folder}"
         names = [f.name for f in self.schema]
-        # rebalancing sizes the files: small parts are gathered, a part too large is split
-        sized = rows.select(*names, PART).hint("rebalance", F.col(PART))
+        sized = rows.select(*names, PART)
+        if rebalance:
+            sized = sized.hint("rebalance", F.col(PART))
         sized.write.mode("overwrite").partitionBy(PART).parquet(target)
         dropped = set(head.parts) if replaces is None else {str(p) for p in replaces}
         parts = {p: list(paths) for p, paths in head.parts.items() if p not in dropped}

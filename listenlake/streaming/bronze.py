@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from listenlake import fixed
 from listenlake.functions.audit import add_bronze_audit
 from listenlake.sources.landing import read_landing_stream
 from listenlake.sources.state import StateLog
@@ -25,7 +26,7 @@ def write_bronze(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def run_bronze(
-    spark: SparkSession, layout: Layout, names: Iterable[str], max_files: int | None = None
+    spark: SparkSession, layout: Layout, names: Iterable[str], max_files: int = fixed.MAX_FILES
 ) -> None:
     """All tables at once, one streaming query each; returns when every one has caught up."""
     queries = []

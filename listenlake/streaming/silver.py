@@ -36,7 +36,8 @@ class SilverLayer:
         spark: SparkSession,
         layout: Layout,
         plans: Sequence[str] = fixed.PLANS,
-        max_files: int | None = None,
+        max_files: int = fixed.MAX_FILES,
+        fact_grain: str = "month",
     ):
         self.spark = spark
         self.layout = layout
@@ -54,7 +55,9 @@ class SilverLayer:
                 quarantine=log,
                 rules=quality.user_rules(plans),
             ),
-            "FactStream": partial(silver.apply_fact_batch, facts=self.facts, quarantine=log),
+            "FactStream": partial(
+                silver.apply_fact_batch, facts=self.facts, quarantine=log, grain=fact_grain
+            ),
             "DimArtist": partial(
                 silver.apply_dimension_batch,
                 table=self.artists,

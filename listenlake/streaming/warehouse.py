@@ -20,7 +20,8 @@ def run(
     layout: Layout,
     specs: Iterable[SourceSpec],
     plans: Sequence[str] = fixed.PLANS,
-    max_files: int | None = None,
+    max_files: int = fixed.MAX_FILES,
+    fact_grain: str = "month",
 ) -> list[Landed]:
     """Extract what is new, take it through bronze and silver, refresh gold, offer it to SQL.
 
@@ -29,7 +30,7 @@ def run(
     specs = list(specs)
     landed = ingest_all(spark, specs, f"{layout.root}/landing", layout.marks())
     run_bronze(spark, layout, [spec.name for spec in specs], max_files)
-    layer = SilverLayer(spark, layout, plans, max_files)
+    layer = SilverLayer(spark, layout, plans, max_files, fact_grain)
     layer.run()
     star = catalog.register_silver(
         spark, layer.users, layer.facts, layer.artists, layer.tracks, layer.dates

@@ -195,6 +195,16 @@ def test_untouched_months_keep_their_folders(spark, root):
     assert parts["202402"] == ["data/v=00000002/part=202402"]
 
 
+def test_facts_stored_by_day(spark, root):
+    table = SnapshotTable(spark, f"{root}/facts", silver.FACT_DDL)
+    for i, (key, listen) in enumerate([(20240105, 5), (20240106, 6)]):
+        rows = spark.createDataFrame([play(1, key, listen), play(2 + i, 20240105, 9)], PLAY)
+        silver.apply_fact_batch(rows, i, table, f"{root}/log", grain="day")
+    assert sorted(table.head().parts) == ["20240105", "20240106"]
+    got = sorted((r.stream_id, r.date_key, r.listen_duration) for r in table.read().collect())
+    assert got == [(1, 20240106, 6), (2, 20240105, 9), (3, 20240105, 9)]
+
+
 def test_keep_latest_before_merge_gives_unique_keys(spark):
     df = facts(spark, [(1, 1, 1, 1, "a", n) for n in range(5)])
     assert keep_latest(df, ["stream_id"], ["at"], []).count() == 1
