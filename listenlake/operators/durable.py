@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,11 @@ from listenlake.sources import fs
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="listenlake-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -21,8 +27,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not folder:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="listenlake-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 

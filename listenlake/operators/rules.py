@@ -25,10 +25,6 @@ class Rule:
     hard: bool = True
 
 
-def missing(col: str) -> Rule:
-    return Rule(f"Missing {col}", f"{col} IS NULL")
-
-
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the validity flag and the reason: the first failing rule in list order, soft or hard.
 

@@ -5,27 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from listenlake import fixed
-from listenlake.operators.rules import Rule, missing
+from listenlake.operators.rules import Rule
 
-# Reason texts are read by downstream reports.
+# Reason texts and their order are read by downstream reports.
 
 FACT_RULES = (
-    *[
-        missing(c)
-        for c in (
-            "stream_id",
-            "user_id",
-            "track_id",
-            "stream_timestamp",
-            "device_type",
-            "listen_duration",
-        )
-    ],
+    Rule("Missing stream_id", "stream_id IS NULL"),
+    Rule("Missing user_id", "user_id IS NULL"),
+    Rule("Missing track_id", "track_id IS NULL"),
+    Rule("Missing stream_timestamp", "stream_timestamp IS NULL"),
+    Rule("Missing device_type", "device_type IS NULL"),
+    Rule("Missing listen_duration", "listen_duration IS NULL"),
     Rule("Invalid listen_duration", "listen_duration <= 0"),
 )
 
-ARTIST_RULES = tuple(
-    Rule(f"{c} is null", f"{c} IS NULL") for c in ("artist_id", "artist_name", "genre", "country")
+ARTIST_RULES = (
+    Rule("artist_id is null", "artist_id IS NULL"),
+    Rule("artist_name is null", "artist_name IS NULL"),
+    Rule("genre is null", "genre IS NULL"),
+    Rule("country is null", "country IS NULL"),
 )
 
 ARTIST_EXPECTATION = ("valid_artist_name", f"length(artist_name) >= {fixed.ARTIST_NAME_MIN}")
@@ -42,10 +40,10 @@ def user_rules(plans: Sequence[str] = fixed.PLANS) -> tuple[Rule, ...]:
     """Short names and unknown plans are named as reasons but let the row pass."""
     known = ", ".join(f"'{p}'" for p in plans)
     return (
-        missing("user_id"),
-        missing("user_name"),
+        Rule("Missing user_id", "user_id IS NULL"),
+        Rule("Missing user_name", "user_name IS NULL"),
         Rule("Invalid user_name", f"length(user_name) <= {fixed.SHORT_NAME_UPTO}", hard=False),
-        missing("country"),
-        missing("subscription_type"),
+        Rule("Missing country", "country IS NULL"),
+        Rule("Missing subscription_type", "subscription_type IS NULL"),
         Rule("Invalid subscription_type", f"subscription_type NOT IN ({known})", hard=False),
     )

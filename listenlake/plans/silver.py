@@ -64,8 +64,11 @@ WHOLE = "all"
 
 @contextmanager
 def persisted(df: DataFrame):
+    """The frame computed once. Counting it first lets Spark plan by its true size: a small batch
+    is then broadcast to the target, which would otherwise be shuffled to meet it."""
     df = df.persist()
     try:
+        df.count()
         yield df
     finally:
         df.unpersist()
