@@ -77,11 +77,13 @@ def scd2_merge(
     sk: str,
     sk_start: int = 0,
     guard: str | None = None,
+    gap_free: bool = True,
 ) -> Scd2Change:
     """Close current rows whose tracked columns changed; add new versions and new keys.
 
     Intervals are half open: a closed row ends at the start of its successor. The change test is
-    null safe. Only rows that are added get a surrogate number, so numbers are gap free.
+    null safe. Surrogate numbers are dealt in key order to the rows that are added; without
+    ``gap_free`` they are dealt to all source rows, and those of unchanged rows are lost.
     ``source`` is read more than once; pass a persisted or stored frame.
     """
     keys = list(keys)
@@ -94,8 +96,12 @@ def scd2_merge(
         differs &= not_older(F.col(guard), F.col(f"_c_{guard}"))
     # an inner join first: unlike an outer one, it can broadcast a small batch to the target
     hits = source.join(seen, keys).select(*keys, differs.alias("_changed"))
-    incoming = source.join(hits, keys, "left").filter(F.coalesce("_changed", F.lit(True)))
-    added = assign_sk(incoming, keys, sk, sk_start)
+    judged = source.join(hits, keys, "left")
+    is_added = F.coalesce("_changed", F.lit(True))
+    if gap_free:
+        added = assign_sk(judged.filter(is_added), keys, sk, sk_start)
+    else:
+        added = assign_sk(judged, keys, sk, sk_start).filter(is_added)
     closing = added.filter(F.col("_changed")).select(*keys, F.col(start).alias("_closed_on"))
     added = (
         added.drop("_changed")

@@ -97,6 +97,7 @@ def apply_user_batch(
     rules: Sequence[Rule] = quality.user_rules(),
     guard: str | None = None,
     tiebreak: Sequence[str] = (),
+    gap_free: bool = True,
 ) -> dict[str, int] | None:
     """Check, keep the newest event per user, and merge as type 2.
 
@@ -127,6 +128,7 @@ def apply_user_batch(
                 sk="user_sk",
                 sk_start=numbered,
                 guard=guard,
+                gap_free=gap_free,
             )
             rows = change.current.withColumn(PART, F.lit(USER_CURRENT)).unionByName(
                 change.closed.withColumn(PART, F.lit(USER_HISTORY))

@@ -129,6 +129,20 @@ def test_only_the_newest_version_of_a_batch_survives(spark, root):
     assert [s[2:] for s in state(users)] == [("Family", day(2), None)]
 
 
+def test_numbers_with_gaps_on_request(spark, root):
+    batches = [
+        [user(1, "Free", 0), user(2, "Free", 0), user(3, "Free", 0)],
+        [user(1, "Free", 5), user(2, "Family", 5), user(3, "Free", 5)],
+        [user(4, "Free", 6)],
+    ]
+    gaps = load(spark, f"{root}/a", batches, gap_free=False)
+    assert [s[:3] for s in state(gaps)] == [
+        (1, 1, "Free"), (2, 2, "Free"), (3, 3, "Free"), (5, 2, "Family"), (6, 4, "Free")
+    ]
+    dense = load(spark, f"{root}/b", batches)
+    assert [s[0] for s in state(dense)] == [1, 2, 3, 4, 5]
+
+
 def test_a_missing_start_falls_back_to_the_update_day(spark, root):
     users = load(spark, root, [[user(1, "Free", 0)], [user(1, "Premium", 4, start=False)]])
     assert [s[2:] for s in state(users)] == [
