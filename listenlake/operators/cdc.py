@@ -25,16 +25,18 @@ def apply_latest(
     keys: Sequence[str],
     sequence_by: str,
     tiebreak: Sequence[str],
+    small: bool = False,
 ) -> DataFrame:
     """Type 1: one row per key, from the event with the highest sequence.
 
     On equal sequences the source beats the target, and ``tiebreak`` decides inside the source.
+    ``small`` as in ``scd1_merge``.
     """
     newest = keep_latest(source, keys, [sequence_by], tiebreak)
     if target is None:
         return newest
     rest = [c for c in target.columns if c not in keys]
-    return scd1_merge(target, newest, keys, rest, guard=sequence_by)
+    return scd1_merge(target, newest, keys, rest, guard=sequence_by, small=small)
 
 
 def apply_history(

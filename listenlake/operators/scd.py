@@ -1,8 +1,8 @@
 """Slowly changing dimensions as DataFrame merges.
 
 Sources hold one row per key (see ``keep_latest``), as do type 1 targets and the current rows of
-type 2 targets. Joins are one to one, so no key is hot. All joins put the target on the streamed
-side: for a batch small enough, Spark broadcasts the batch and never shuffles the target.
+type 2 targets. Joins are one to one, so no key is hot. ``small`` says that the source has been
+measured to fit a broadcast (see ``fits_broadcast``): the target is then never shuffled.
 """
 
 from __future__ import annotations
@@ -24,47 +24,59 @@ def not_older(source_seq: Column, target_seq: Column) -> Column:
     return target_seq.isNull() | F.coalesce(source_seq >= target_seq, F.lit(False))
 
 
+def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def scd1_merge(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str],
     guard: str | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Upsert: matched rows take ``update_cols`` from the source, unmatched source rows are added.
 
     Without ``guard`` a later batch always overwrites. With it, only events whose ``guard``
-    column is not older than the target's do.
+    column is not older than the target's do. Each side is read once, but for a small source,
+    which is read three times to read the target in place.
     """
     keys = list(keys)
+    rest = [c for c in target.columns if c not in keys]
     changes = source.select(
-        *keys,
-        *[F.col(c).alias(f"_s_{c}") for c in dict.fromkeys([*update_cols, *([guard] if guard else [])])],
-        F.lit(True).alias("_hit"),
+        *keys, *[F.col(c).alias(f"_s_{c}") for c in rest], F.lit(True).alias("_hit")
     )
-    take = F.col("_hit").isNotNull()
+    old = target.withColumn("_old", F.lit(True))
+    merged = old.join(_maybe_broadcast(changes, small), keys, "left" if small else "full")
+    overwrites = F.col("_hit").isNotNull()
     if guard:
-        take &= not_older(F.col(f"_s_{guard}"), F.col(guard))
-    merged = target.join(changes, keys, "left").select(
-        *[
-            F.when(take, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else c
-            for c in target.columns
-        ]
-    )
-    known = target.join(source.select(*keys), keys, "left_semi").select(*keys)
+        overwrites &= not_older(F.col(f"_s_{guard}"), F.col(guard))
+    is_new = F.col("_old").isNull()
+    values = {
+        c: F.when(is_new | overwrites if c in update_cols else is_new, F.col(f"_s_{c}"))
+        .otherwise(F.col(c))
+        .alias(c)
+        for c in rest
+    }
+    merged = merged.select(*[values.get(c, c) for c in target.columns])
+    if not small:
+        return merged
+    wanted = F.broadcast(source.select(*keys))
+    known = target.join(wanted, keys, "left_semi").select(*keys)
     added = source.join(known, keys, "left_anti").select(*target.columns)
     return merged.unionByName(added)
 
 
 @dataclass(frozen=True)
 class Scd2Change:
-    """Outcome of a type 2 merge: all current rows, the rows just closed, and the rows just added.
+    """Outcome of a type 2 merge.
 
-    Closed rows belong to history, which only grows.
+    ``rows`` holds what was current before, closed where it changed, and what was added;
+    ``added`` the latter alone. Closed rows belong to history, which only grows.
     """
 
-    current: DataFrame
-    closed: DataFrame
+    rows: DataFrame
     added: DataFrame
 
 
@@ -78,24 +90,25 @@ def scd2_merge(
     sk_start: int = 0,
     guard: str | None = None,
     gap_free: bool = True,
+    small: bool = False,
 ) -> Scd2Change:
     """Close current rows whose tracked columns changed; add new versions and new keys.
 
     Intervals are half open: a closed row ends at the start of its successor. The change test is
     null safe. Surrogate numbers are dealt in key order to the rows that are added; without
     ``gap_free`` they are dealt to all source rows, and those of unchanged rows are lost.
-    ``source`` is read more than once; pass a persisted or stored frame.
+    ``source`` is read twice; pass a persisted or stored frame.
     """
     keys = list(keys)
-    seen = current.select(
-        *keys,
-        *[F.col(c).alias(f"_c_{c}") for c in dict.fromkeys([*tracked, *([guard] if guard else [])])],
-    )
+    compared = dict.fromkeys([*tracked, *([guard] if guard else [])])
+    seen = current.select(*keys, *[F.col(c).alias(f"_c_{c}") for c in compared])
     differs = reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in tracked))
     if guard:
         differs &= not_older(F.col(guard), F.col(f"_c_{guard}"))
-    # an inner join first: unlike an outer one, it can broadcast a small batch to the target
-    hits = source.join(seen, keys).select(*keys, differs.alias("_changed"))
+    # an inner join, as an outer one could not broadcast the source to the target
+    hits = seen.join(_maybe_broadcast(source, small), keys).select(
+        *keys, differs.alias("_changed")
+    )
     judged = source.join(hits, keys, "left")
     is_added = F.coalesce("_changed", F.lit(True))
     if gap_free:
@@ -104,16 +117,18 @@ def scd2_merge(
         added = assign_sk(judged, keys, sk, sk_start).filter(is_added)
     closing = added.filter(F.col("_changed")).select(*keys, F.col(start).alias("_closed_on"))
     added = (
-        added.drop("_changed")
-        .withColumnRenamed(start, START)
+        added.withColumnRenamed(start, START)
         .withColumns({END: F.lit(None).cast("date"), CURRENT: F.lit(True)})
         .select(*current.columns)
     )
-    closed = current.join(closing, keys).withColumns(
-        {END: F.col("_closed_on"), CURRENT: F.lit(False)}
-    ).select(*current.columns)
-    kept = current.join(closing.select(*keys), keys, "left_anti").select(*current.columns)
-    return Scd2Change(kept.unionByName(added), closed, added)
+    closing = closing.withColumn("_closes", F.lit(True))
+    closes = F.col("_closes").isNotNull()
+    before = (
+        current.join(_maybe_broadcast(closing, small), keys, "left")
+        .withColumns({END: F.when(closes, F.col("_closed_on")), CURRENT: ~closes})
+        .select(*current.columns)
+    )
+    return Scd2Change(before.unionByName(added), added)
 
 
 def current_only(df: DataFrame) -> DataFrame:

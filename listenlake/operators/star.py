@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
 
 
 @dataclass(frozen=True)
@@ -50,17 +49,6 @@ def hot_keys(df: DataFrame, cols: Sequence[str], support: float = 0.01) -> dict[
     return {c: [v for v in found[f"{c}_freqItems"] if v is not None] for c in cols}
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as counted by one distributed pass, not as guessed by the planner.
-
-    Text counts with its real length, every other value with eight bytes.
-    """
-    texts = [f.name for f in df.schema if f.dataType in (StringType(), BinaryType())]
-    text_bytes = [F.sum(F.coalesce(F.octet_length(c), F.lit(0))) for c in texts]
-    rows, *lengths = df.agg(F.count(F.lit(1)), *text_bytes).first()
-    return rows * 8 * len(df.columns) + sum(n or 0 for n in lengths)
-
-
 def left_join_salted(
     fact: DataFrame,
     dim: DataFrame,

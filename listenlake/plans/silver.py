@@ -26,7 +26,8 @@ from listenlake.operators.rules import (
     expect_or_drop,
     split_valid,
 )
-from listenlake.operators.scd import scd1_merge, scd2_merge
+from listenlake.operators.scd import CURRENT, scd1_merge, scd2_merge
+from listenlake.operators.sizes import fits_broadcast
 from listenlake.plans import quality
 from listenlake.sources.snapshot import PART, SnapshotTable
 
@@ -64,11 +65,9 @@ WHOLE = "all"
 
 @contextmanager
 def persisted(df: DataFrame):
-    """The frame computed once. Counting it first lets Spark plan by its true size: a small batch
-    is then broadcast to the target, which would otherwise be shuffled to meet it."""
+    """The frame computed once, for the joins of one merge."""
     df = df.persist()
     try:
-        df.count()
         yield df
     finally:
         df.unpersist()
@@ -129,10 +128,10 @@ def apply_user_batch(
                 sk_start=numbered,
                 guard=guard,
                 gap_free=gap_free,
+                small=fits_broadcast(source),
             )
-            rows = change.current.withColumn(PART, F.lit(USER_CURRENT)).unionByName(
-                change.closed.withColumn(PART, F.lit(USER_HISTORY))
-            )
+            part = F.when(F.col(CURRENT), USER_CURRENT).otherwise(USER_HISTORY)
+            rows = change.rows.withColumn(PART, part)
             written = Observation()
             users.publish(
                 rows.observe(written, F.max("user_sk").alias("max_sk")),
@@ -183,12 +182,20 @@ def apply_fact_batch(
             [*tiebreak, "user_id", "track_id", *fixed.FACT_UPDATE_COLS],
         )
         with persisted(newest) as source:
-            lying = facts.read(head=head).join(source.select("stream_id"), "stream_id", "left_semi")
+            small = fits_broadcast(source)
+            wanted = source.select("stream_id")
+            wanted = F.broadcast(wanted) if small else wanted
+            lying = facts.read(head=head).join(wanted, "stream_id", "left_semi")
             part = fact_part(grain)
             hit = source.select(part.alias(PART)).union(lying.select(part.alias(PART)))
             touched = [row[PART] for row in hit.distinct().collect()]
             merged = scd1_merge(
-                facts.read(touched, head), source, ["stream_id"], fixed.FACT_UPDATE_COLS, guard
+                facts.read(touched, head),
+                source,
+                ["stream_id"],
+                fixed.FACT_UPDATE_COLS,
+                guard,
+                small,
             )
             facts.publish(
                 merged.withColumn(PART, part),
@@ -235,5 +242,6 @@ def apply_dimension_batch(
     content = [c for c in names if c not in (key, sequence_by, *stamps)]
     with persisted(keep_latest(staged, [key], [sequence_by], content)) as newest:
         target = table.read(head=head) if head.version else None
-        merged = apply_latest(target, newest, [key], sequence_by, content)
+        small = target is not None and fits_broadcast(newest)
+        merged = apply_latest(target, newest, [key], sequence_by, content, small)
         table.publish(merged.withColumn(PART, F.lit(WHOLE)), batch_id, head=head)

@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.functions import plays
-from listenlake.operators.star import hot_keys, left_join_salted, measured_bytes
+from listenlake.operators.sizes import BROADCAST_BYTES, fits_broadcast
+from listenlake.operators.star import hot_keys, left_join_salted
 
 Opener = Callable[[], DataFrame]
 
 DIMS = ("user", "track", "artist", "date")
 
-# a dimension measured to be larger is joined by shuffle instead of broadcast
-BROADCAST_BYTES = 64 << 20
-
 
 class Star:
     """Current silver tables. Every dimension holds one row per key, which silver guarantees.
@@ -66,7 +64,7 @@ class Star:
 
     def fits(self, name: str, dim: DataFrame) -> bool:
         if name not in self._fits:
-            self._fits[name] = measured_bytes(dim) <= self.broadcast_bytes
+            self._fits[name] = fits_broadcast(dim, self.broadcast_bytes)
         return self._fits[name]
 
     def hot(self, key: str) -> list:

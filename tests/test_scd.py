@@ -19,22 +19,45 @@ def facts(spark, rows):
 def test_scd1_updates_some_columns_and_adds_rows(spark):
     target = facts(spark, [(1, 10, 20240101, 5, "web", 1), (2, 20, 20240101, 6, "web", 1)])
     source = facts(spark, [(2, 99, 20240301, None, "tv", 3), (3, 30, 20240302, 8, "tv", 3)])
-    got = sorted(tuple(r) for r in scd1_merge(target, source, ["stream_id"], UPDATES).collect())
-    assert got == [
-        (1, 10, 20240101, 5, "web", 1),
-        (2, 20, 20240301, None, "tv", 1),
-        (3, 30, 20240302, 8, "tv", 3),
-    ]
-    again = scd1_merge(scd1_merge(target, source, ["stream_id"], UPDATES), source, ["stream_id"], UPDATES)
-    assert sorted(tuple(r) for r in again.collect()) == got
-
-
+    for small in (False, True):
+        merged = scd1_merge(target, source, ["stream_id"], UPDATES, small=small)
+        assert merged.columns == target.columns
+        got = sorted(tuple(r) for r in merged.collect())
+        assert got == [
+            (1, 10, 20240101, 5, "web", 1),
+            (2, 20, 20240301, None, "tv", 1),
+            (3, 30, 20240302, 8, "tv", 3),
+        ]
+        again = scd1_merge(merged, source, ["stream_id"], UPDATES, small=small)
+        assert sorted(tuple(r) for r in again.collect()) == got
+
+
+def test_a_small_source_does_not_shuffle_the_target(spark):
+    target = facts(spark, [(1, 10, 20240101, 5, "web", 1)])
+    source = facts(spark, [(2, 99, 20240301, None, "tv", 3)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {
+            small: scd1_merge(target, source, ["stream_id"], UPDATES, small=small)
+            ._jdf.queryExecution()
+            .executedPlan()
+            .toString()
+            for small in (False, True)
+        }
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "FullOuter" in plans[False] and "BroadcastHashJoin" not in plans[False]
+    assert plans[True].count("BroadcastHashJoin") == 2
+
+
+@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("target_at, wins", [(5, False), (3, True), (1, True), (None, True)])
-def test_scd1_guard_refuses_older_events(spark, target_at, wins):
+def test_scd1_guard_refuses_older_events(spark, target_at, wins, small):
     target = facts(spark, [(1, 10, 1, 5, "web", target_at)])
-    source = facts(spark, [(1, 10, 2, 6, "tv", 3)])
-    row = scd1_merge(target, source, ["stream_id"], UPDATES, guard="at").first()
-    assert (row.device_type == "tv") == wins
+    source = facts(spark, [(1, 10, 2, 6, "tv", 3), (2, 20, 2, 6, "tv", None)])
+    merged = scd1_merge(target, source, ["stream_id"], UPDATES, "at", small).orderBy("stream_id")
+    old, new = merged.collect()
+    assert (old.device_type == "tv") == wins and new.user_id == 20
 
 
 USER = (
@@ -73,6 +96,12 @@ def simulate(batches):
     return sorted((t["sk"], t["id"], t["plan"], t["start"], t["end"]) for t in table)
 
 
+@pytest.fixture(params=["broadcast", "shuffled"])
+def source_size(request, monkeypatch):
+    if request.param == "shuffled":
+        monkeypatch.setattr(silver, "fits_broadcast", lambda df: False)
+
+
 def load(spark, root, batches, **kwargs):
     users = SnapshotTable(spark, f"{root}/users", silver.USER_DDL)
     for i, batch in enumerate(batches):
@@ -89,7 +118,7 @@ def state(users):
     )
 
 
-def test_scd2_equals_a_simulation_and_keeps_its_invariants(spark, root):
+def test_scd2_equals_a_simulation_and_keeps_its_invariants(spark, root, source_size):
     rng = random.Random(3)
     batches = []
     for b in range(3):
@@ -181,7 +210,7 @@ def play(sid, date_key, listen, device="web", hour=0):
     return (sid, 1, 1, date_key, listen, device, at, at, "f.parquet")
 
 
-def test_fact_batches_move_rows_between_months(spark, root):
+def test_fact_batches_move_rows_between_months(spark, root, source_size):
     facts_table = SnapshotTable(spark, f"{root}/facts", silver.FACT_DDL)
     batches = [
         [play(1, 20240105, 5), play(2, 20240106, 6), play(3, 20240210, 7), play(4, 20240301, 0)],

@@ -4,11 +4,11 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from listenlake.operators.sizes import measured_bytes
 from listenlake.operators.star import (
     JoinSpec,
     hot_keys,
     left_join_salted,
-    measured_bytes,
     star_join,
 )
 from listenlake.plans.star import base_fact
