@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # 2**12 neighbouring integer scores form one band
 BAND_BITS = 12
+# shuffle keys over which the rows of one score are spread when they fetch their rank
+SPREAD = 16
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -35,6 +37,8 @@ def rank_in_group(df: DataFrame, by: Sequence[str], score: str, name: str) -> Da
     score (combined on the map side), and the counts are summed in two levels: inside bands of
     4,096 neighbouring scores, and over bands. So no window ever holds more than one band or one
     row per band, and the group itself, which may be a third of all users, is never sorted.
+    The ranks, few beside the rows, are repeated so that rows of one common score can fetch
+    theirs in several tasks.
     """
     counts = (
         df.groupBy(*by, score)
@@ -54,8 +58,12 @@ def rank_in_group(df: DataFrame, by: Sequence[str], score: str, name: str) -> Da
         *[F.col(c).alias(f"_r_{c}") for c in [*by, score]],
         (F.col("_in_higher_bands") + F.col("_in_band_above") + 1).cast("int").alias(name),
     )
-    on = null_safe(df, ranks, [(c, f"_r_{c}") for c in [*by, score]])
-    return df.join(ranks, on).select(*[df[c] for c in df.columns], ranks[name])
+    ranks = ranks.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int")
+    spread = df.withColumn("_salt", salt)
+    on = null_safe(spread, ranks, [(c, f"_r_{c}") for c in [*by, score]])
+    on &= spread["_salt"] == ranks["_copy"]
+    return spread.join(ranks, on).select(*[spread[c] for c in df.columns], ranks[name])
 
 
 def top_with_ties(df: DataFrame, n: int, order: str, name: str) -> DataFrame:
