@@ -7,16 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 from listenlake.llm import sql
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
+from listenlake.llm.quality import quality_rules
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES = {
     "op1_exact_dedup": sql.EXACT,
+    "op8_quality_rules": sql.QUALITY,
 }

@@ -12,3 +12,44 @@ r AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256
 FROM r
 """
+
+QUALITY = r"""
+WITH t AS (
+  SELECT doc_id, source AS host, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+w AS (
+  SELECT doc_id, i, list_slice(words, i, i + 7) AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM t)),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM w) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM again) GROUP BY doc_id),
+c AS (
+  SELECT t.doc_id, host, len(words)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM t LEFT JOIN covered USING (doc_id)),
+f AS (
+  SELECT *, n_words < 20 AS few_words, 100 * n_repeat_words > 30 * n_words AS repeats,
+         100 * n_symbols > 20 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_lines AS dup_lines
+  FROM c),
+long AS (
+  SELECT host, rule, count(*) AS n, sum(bad::INT) AS bad
+  FROM (SELECT host, unnest(['few_words', 'repeats', 'symbols', 'dup_lines']) AS rule,
+               unnest([few_words, repeats, symbols, dup_lines]) AS bad FROM f)
+  GROUP BY host, rule),
+prior AS (SELECT rule, avg(bad / n) AS m, var_pop(bad / n) AS v, sum(n) AS rows FROM long GROUP BY rule),
+weighed AS (
+  SELECT *, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 0) ELSE rows END AS weight FROM prior),
+verdict AS (
+  SELECT host, max((bad + m * weight) / (n + weight)) <= 0.5 AS host_kept FROM long JOIN weighed USING (rule) GROUP BY host)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       few_words OR repeats AS base_failed, NOT (few_words OR repeats) AND host_kept AS kept, f.host, host_kept
+FROM f JOIN verdict ON f.host IS NOT DISTINCT FROM verdict.host
+"""
