@@ -8,18 +8,24 @@ from listenlake.llm import sql
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
 from listenlake.llm.quality import quality_rules
+from listenlake.llm.toxicity import toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
 }
 
