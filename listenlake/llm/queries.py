@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from listenlake.llm import sql
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
+from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
 from listenlake.llm.toxicity import toxicity
 
@@ -23,10 +24,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES = {
