@@ -105,6 +105,7 @@ def _grouped(docs: DataFrame, block: int, key: str) -> DataFrame:
     known = materialise(digest.join(named, "row"), "exact")
     rank = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id", "row")
     groups = known.groupBy("level", "name").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialise(groups, "exact-groups")  # apart from the join, which can then split a large group
     return known.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

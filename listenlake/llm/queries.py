@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from listenlake.llm import sql
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
+from listenlake.llm.jaccard import near_groups
 from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
 from listenlake.llm.toxicity import toxicity
@@ -16,6 +17,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,6 +35,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -37,5 +43,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": sql.EXACT,
+    "op3_ngram_jaccard_join": sql.JACCARD,
     "op8_quality_rules": sql.QUALITY,
 }

@@ -53,3 +53,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        few_words OR repeats AS base_failed, NOT (few_words OR repeats) AND host_kept AS kept, f.host, host_kept
 FROM f JOIN verdict ON f.host IS NOT DISTINCT FROM verdict.host
 """
+
+JACCARD = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM t WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+       JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM t UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id
+FROM t JOIN reach ON reach.a = t.doc_id LEFT JOIN n ON n.doc_id = t.doc_id
+GROUP BY t.doc_id, n.n
+"""
