@@ -10,6 +10,7 @@ from listenlake.llm.exact import exact_groups
 from listenlake.llm.jaccard import near_groups
 from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
+from listenlake.llm.tokens import document_tokens
 from listenlake.llm.toxicity import toxicity
 
 
@@ -17,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -35,6 +40,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
