@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from listenlake.llm.components import components
 from listenlake.llm.columns import text_of
+from listenlake.llm.memory import Memory
 from listenlake.operators.durable import materialise
 
 SHINGLE = 5
@@ -48,15 +49,7 @@ REMEMBERED = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-HASHES = Hashes()
+HASHES = Memory(xxhash.xxh3_64_intdigest, REMEMBERED)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

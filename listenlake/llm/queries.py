@@ -12,6 +12,7 @@ from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
 from listenlake.llm.tokens import document_tokens
 from listenlake.llm.toxicity import toxicity
+from listenlake.llm.warc import archived_pages
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_toxicity": op4_toxicity,
+    "op6_warc": op6_warc,
     "op8_quality_rules": op8_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }

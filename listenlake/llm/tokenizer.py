@@ -13,12 +13,14 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 
+from listenlake.llm.memory import Memory
+
 # Fixed value: the text that the vocabulary keeps as one id.
 END_OF_TEXT, END_OF_TEXT_ID = "<|endoftext|>", 50256
-REMEMBERED, LONGEST = 600_000, 48
+REMEMBERED = 500_000
 
 
-class Encoder(dict):
+class Encoder:
     """Ids, as little-endian unsigned 32-bit numbers, of a blank and the word after it.
 
     ``byte_bpe_50k.tiktoken`` holds the vocabulary of ``byte_bpe_50k.json``; both give the same ids, this
@@ -27,25 +29,17 @@ class Encoder(dict):
     """
 
     def __init__(self, ranks_path: str, special: bool = True):
-        super().__init__()
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         marks = {END_OF_TEXT: END_OF_TEXT_ID}
         bpe = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
         allowed = set(marks) if special else set()
         self._ids = lambda text: bpe.encode(text, allowed_special=allowed, disallowed_special=())
+        self._words = Memory(lambda word: self._packed(" " + word), REMEMBERED)
 
     def _packed(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        found = self._packed(" " + word)
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
-
     def encode(self, text: str) -> bytes:
         """The ids of the whole text, packed."""
         first, *words = text.split(" ")
@@ -60,7 +54,7 @@ class Encoder(dict):
                     joined.append(" ".join(parts))
                     parts = [word]
             first, *words = [*joined, " ".join(parts)]
-        return b"".join([self._packed(first), *map(self.__getitem__, words)])
+        return b"".join([self._packed(first), *map(self._words.__getitem__, words)])
 
 
 @lru_cache(maxsize=2)

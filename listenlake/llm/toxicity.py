@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from listenlake.llm.columns import text_of
+from listenlake.llm.memory import Memory
 
 OPENING = b" the of and to  the of and to "
 PUNCTUATION = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
@@ -35,7 +36,7 @@ COMMON_BYTES, TOXIC_BYTES = 4096, 4096
 MOST_SAVED = 8
 SHARES = (0.25, 0.4, 0.55, 0.7)
 CLASSES = (MOST_SAVED + 1) * (len(SHARES) + 1)
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 @dataclass(frozen=True)
@@ -54,32 +55,29 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-class Windows(dict):
-    """Class of each word by the lengths of its window; what was seen is remembered up to a bound."""
+class Windows(Memory):
+    """Class of each word by the lengths of its window."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.compress = [
+        super().__init__(self.classed, REMEMBERED)
+        self.compressors = [
             zstandard.ZstdCompressor(
                 level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             ).compress
             for d in (model.ordinary, model.toxic)
         ]
-        self.opening = len(self.compress[0](OPENING))
+        self.opening = len(self.compressors[0](OPENING))
         # a window without four bytes in a row of any toxic segment can't be explained by one
         self.parts = {model.segments[i : i + 4] for i in range(len(model.segments) - 3)}
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
+    def classed(self, word: bytes) -> int:
         window, found = b" " + word.strip(PUNCTUATION) + b" ", 0
         parts = self.parts
         if any(window[i : i + 4] in parts for i in range(len(window) - 3)):
-            ordinary, toxic = (len(f(OPENING + window)) for f in self.compress)
+            ordinary, toxic = (len(f(OPENING + window)) for f in self.compressors)
             saved = min(max(ordinary - toxic, 0), MOST_SAVED)
             share = (ordinary - toxic) / max(ordinary - self.opening, 1)
             found = saved * (len(SHARES) + 1) + sum(share >= s for s in SHARES) * (saved >= 2)
-        self[word] = found
         return found
 
 
