@@ -10,6 +10,7 @@ from listenlake.llm.exact import exact_groups
 from listenlake.llm.jaccard import near_groups
 from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
+from listenlake.llm.secrets import secrets
 from listenlake.llm.tokens import document_tokens
 from listenlake.llm.toxicity import toxicity
 from listenlake.llm.warc import archived_pages
@@ -31,6 +32,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_toxicity": op4_toxicity,
+    "op5_secret_scans": op5_secret_scans,
     "op6_warc": op6_warc,
     "op8_quality_rules": op8_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
