@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from listenlake.llm import sql
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
+from listenlake.llm.html import main_text
 from listenlake.llm.jaccard import near_groups
 from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
@@ -40,6 +41,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_secret_scans": op5_secret_scans,
     "op6_warc": op6_warc,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quality_rules": op8_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
