@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listenlake.llm import sql
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
 from listenlake.llm.html import main_text
 from listenlake.llm.jaccard import near_groups
+from listenlake.llm.mixing import mixing_rates
 from listenlake.llm.packing import packed
 from listenlake.llm.quality import quality_rules
 from listenlake.llm.secrets import secrets
@@ -49,6 +51,25 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+# Share of the tokens that each domain, a language and a quality class, is to have.
+MIX = {
+    f"{lang}/{quality}": share * part
+    for lang, share in (("en", 0.4), ("de", 0.2), ("fr", 0.2), ("es", 0.2))
+    for quality, part in ((1, 0.85), (0, 0.15))
+}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of labelled documents: language and quality class."""
+    known = labels.select("doc_id", "quality")
+    return docs.select("doc_id", "lang").join(known, "doc_id").select("doc_id", F.concat_ws("/", "lang", "quality").alias("domain"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing_rates(docs, labelled_domains(docs, labels), MIX)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -62,6 +83,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_html_extraction": op7_html_extraction,
     "op8_quality_rules": op8_quality_rules,
+    "op9_mixing": op9_mixing,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
