@@ -124,22 +124,28 @@ def class_of(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def _tag() -> Column:
+    """What a row is known by again: a hash of its id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_of("text"))
+
+
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, class, sketch) per row; class and sketch are null for texts without words."""
+    """(doc_id, tag, n, class, sketch) per row; class and sketch are null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(x.as_py()) for x in batch.column(1)]
             columns = [
                 batch.column(0),
+                batch.column(2),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([sketch_of(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "class", "sketch"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "n", "class", "sketch"])
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n long, class long, sketch array<long>")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"), _tag().alias("tag"))
+    return plain.mapInArrow(run, "doc_id long, tag long, n long, class long, sketch array<long>")
 
 
 class Seen(set):
@@ -318,14 +324,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return _components(links.unionByName(verified(docs, left)), classes)
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """Components of similar documents: doc_id, n_shingles, component_id per row of ``docs``.
-
-    Needs ``doc_id`` and ``text``; other columns, whatever their names, are ignored. ``component_id`` is the
-    smallest id of the component; null ids never are it unless all are null. Texts without words (null,
-    empty, white space) have no shingles and are linked with nothing; texts under five words are one
-    shingle. Repeated rows are in one component. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, n, component_id) per row, and ``root`` for texts with words."""
     rows = materialise(document_sets(docs), "sets-of-rows")
     classes = rows.where("n > 0").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
@@ -333,7 +333,32 @@ def near_groups(docs: DataFrame) -> DataFrame:
     classes = materialise(classes, "classes")
     roots = linked_classes(docs, classes)
     least = classes.join(roots, "class").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = materialise(roots.join(least, "root").select("class", "component_id"), "named")
-    full = rows.where("n > 0").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = materialise(roots.join(least, "root").select("class", "root", "component_id"), "named")
+    full = rows.where("n > 0").join(named, "class").select("doc_id", "tag", "n", "component_id", "root")
+    none = rows.where("n = 0").select("doc_id", "tag", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"))
     return full.unionByName(none)
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """Components of similar documents: doc_id, n_shingles, component_id per row of ``docs``.
+
+    Needs ``doc_id`` and ``text``; other columns, whatever their names, are ignored. ``component_id`` is the
+    smallest id of the component; null ids never are it unless all are null. Texts without words (null,
+    empty, white space) have no shingles and are linked with nothing; texts under five words are one
+    shingle. Repeated rows are in one component. An empty table gives no rows.
+    """
+    return _grouped(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def drop_near(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: the one with the smallest id.
+
+    A row without an id stays only if its whole component has none. Texts without words are no one's
+    duplicates and stay, but of rows that agree in id and text one stays.
+    """
+    known = _grouped(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag")
+    first = known.where("n > 0").groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.tag").alias("_tag"))
+    stay = materialise(first.unionByName(known.where("n = 0").select(F.col("tag").alias("_tag"))).distinct(), "kept")
+    tagged = docs.withColumn("_tag", _tag())
+    return tagged.join(stay, "_tag", "left_semi").dropDuplicates(["_tag"]).select(docs.columns)
