@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from listenlake.llm.components import components
 from listenlake.llm.columns import text_of
-from listenlake.llm.memory import Memory
 from listenlake.operators.durable import materialise
 
 SHINGLE = 5
@@ -46,10 +45,32 @@ PERCENT = 75  # similarity from which two documents link
 BAND = 4  # the largest size of a band over its smallest
 PER_PART = 2.2  # shingles a part holds on average at the upper end of a band
 REMEMBERED = 400_000
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-HASHES = Memory(xxhash.xxh3_64_intdigest, REMEMBERED)
+# One random number a byte, and an odd base whose powers tell places apart: the hash of a word is the sum of
+# its bytes' numbers times the powers of the base, so all words of a text are hashed by one running sum.
+OF_BYTE = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 64, 256, np.uint64)
+WHITE_BYTE = np.zeros(256, bool)
+WHITE_BYTE[[32, *range(9, 14)]] = True
+BASE = 0x9E3779B97F4A7C15
+
+
+class Powers:
+    """Powers of the base and of its inverse, as many as the longest text has asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size, inverse = 2 * n, pow(BASE, -1, 1 << 64)
+            self.up, self.down = (
+                np.multiply.accumulate(np.append(np.uint64(1), np.full(size - 1, np.uint64(x)))) for x in (BASE, inverse)
+            )
+        return self.up[:n], self.down[:n]
+
+
+POWERS = Powers()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -59,17 +80,41 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """A number for each word, letters A-Z in lower case."""
+    data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
+    inside = ~WHITE_BYTE[data]
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
+    start, end = edges[0::2], edges[1::2]
+    if not len(start):
+        return np.empty(0, np.uint64)
+    up, down = POWERS(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(OF_BYTE[data] * up[:-1], out=sums[1:])
+    return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+# odd numbers that tell the places in a shingle apart
+PLACES = np.random.Generator(np.random.PCG64(21)).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles; of the whole sequence if it is shorter."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(text)
+    if not len(h):
+        return h
     k = min(k, len(h))
-    out = np.full(len(h) - k + 1, k, np.uint64)
+    n = len(h) - k + 1
+    out = np.full(n, k, np.uint64)
     for i in range(k):
-        out = mixed((out + MIX) * MIX ^ h[i : len(h) - k + 1 + i])
-    return np.unique(out)
+        out += h[i : i + n] * PLACES[i]
+    out = mixed(out)
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
+
+
+def salted(n: int, place: int) -> np.uint64:
+    return np.uint64(n * int(PLACES[place]) % (1 << 64))
 
 
 def most_differences(n: int, other: int | None = None, percent: int = PERCENT) -> int:
@@ -93,16 +138,18 @@ def keys_of(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     for top in bands(n, percent):
         need = most_differences(n, percent=percent) + 1
         parts = max(-(-top * 5 // int(PER_PART * 5)), min(top, 64))
-        part = (s >> np.uint64(20)) % np.uint64(parts)
+        part = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint64)
         order = np.argsort(part, kind="stable")
-        first = np.flatnonzero(np.diff(part[order], prepend=np.uint64(parts)))
-        content = np.bitwise_xor.reduceat(mixed(s[order] + MIX), first)
-        key = mixed(content ^ mixed(part[order][first] + (np.uint64(parts) << np.uint64(32))))
-        out.append(key[:need])
+        part = part[order]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[:need]
+        stop = int(np.searchsorted(part, part[first[-1]], "right"))
+        content = np.bitwise_xor.reduceat(s[order[:stop]], first)
+        key = mixed(content + part[first].astype(np.uint64) * PLACES[0] + salted(parts, 1))
+        out.append(key)
         if len(key) < need:  # too few parts to promise that one stays untouched
             shared = -(-percent * n // 100)
-            out.append(mixed(s[: n - shared + 1] ^ MIX))
-    return np.unique(np.concatenate(out))
+            out.append(mixed(s[: n - shared + 1] + salted(top, 2)))
+    return np.concatenate(out)
 
 
 def sketch_of(s: np.ndarray) -> np.ndarray:
@@ -111,13 +158,9 @@ def sketch_of(s: np.ndarray) -> np.ndarray:
     Its length is that of the band, so sketches of neighbouring bands differ in length; the longer one
     folds onto the shorter by exclusive or, as bits are taken from the low end of the hash.
     """
-    words = max(1, bands(len(s))[0] // 64)
-    at = mixed(s ^ (MIX << np.uint64(1))) % np.uint64(64 * words)
-    bits, odd = np.unique(at, return_counts=True)
-    bits = bits[odd % 2 == 1]
-    out = np.zeros(words, np.uint64)
-    np.bitwise_or.at(out, (bits // np.uint64(64)).astype(int), np.uint64(1) << (bits % np.uint64(64)))
-    return out.view(np.int64)
+    bits = max(64, bands(len(s))[0])  # a power of two
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
 def class_of(s: np.ndarray) -> int:
@@ -129,25 +172,6 @@ def _tag() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), text_of("text"))
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, n, class, sketch) per row; class and sketch are null for texts without words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(x.as_py()) for x in batch.column(1)]
-            columns = [
-                batch.column(0),
-                batch.column(2),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([sketch_of(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "n", "class", "sketch"])
-
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"), _tag().alias("tag"))
-    return plain.mapInArrow(run, "doc_id long, tag long, n long, class long, sketch array<long>")
-
-
 class Seen(set):
     """Classes that a task has given already; forgets all at a bound, which only repeats work."""
 
@@ -160,53 +184,75 @@ class Seen(set):
         return True
 
 
-def class_keys(docs: DataFrame) -> DataFrame:
-    """(key, class, near): members of keys.
+WIDE = "doc_id long, tag long, n long, sketch array<long>, class long, key long, near long"
+
+
+def sets_and_keys(docs: DataFrame) -> DataFrame:
+    """One pass over the texts that gives two kinds of rows.
 
-    A task gives the keys of a class once. Of the classes that one batch holds under a key, the first goes on
-    as the batch's only row with a null ``near``; if there are several, all of them come as rows with the first
-    as ``near`` too. So a hot key sends one row a batch to where all rows of the key meet.
+    A row of every document: doc_id, tag, n, sketch, class (the last two null for texts without words). And
+    members of keys: key, class, near. A task gives the keys of a class once. Of the classes that one
+    batch holds under a key, the first goes on as the batch's only row with a null ``near``; if there are several,
+    all of them come as rows with the first as ``near`` too. So a hot key sends one row a batch to
+    where all rows of the key meet.
     """
+    names = [x.split()[0] for x in WIDE.split(", ")]
+
+    def members(key, member, near):
+        for i in range(0, len(key), 50_000):
+            at = slice(i, i + 50_000)
+            none = pa.nulls(len(key[at]), pa.int64())
+            last = none if near is None else pa.array(near[at])
+            sketch = pa.nulls(len(key[at]), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([none, none, none, sketch, pa.array(member[at]), pa.array(key[at]), last], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in batches:
-            keys, classes = [], []
-            for text in batch.column(0):
+            counts, sketches, ids, keys, classes = [], [], [], [], []
+            for text in batch.column(2):
                 s = shingles(text.as_py())
-                if len(s) and seen.new(c := class_of(s)):
+                counts.append(len(s))
+                sketches.append(sketch_of(s) if len(s) else None)
+                ids.append(class_of(s) if len(s) else None)
+                if len(s) and seen.new(ids[-1]):
                     keys.append(keys_of(s))
-                    classes.append(np.full(len(keys[-1]), c, np.int64))
+                    classes.append(np.full(len(keys[-1]), ids[-1], np.int64))
+            none = pa.nulls(len(batch), pa.int64())
+            columns = [
+                batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
+                pa.array(ids, pa.int64()), none, none,
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
             if not keys:
                 continue
             key, member = np.concatenate(keys), np.concatenate(classes)
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             key, member = key[order].view(np.int64), member[order]
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             size = np.diff(np.append(start, len(key)))
             several = np.repeat(size > 1, size)
             near = np.repeat(member[start], size)[several]
-            yield from _batches(key[start], member[start], None)
-            yield from _batches(key[several], member[several], near)
+            yield from members(key[start], member[start], None)
+            yield from members(key[several], member[several], near)
 
-    def _batches(key, member, near):
-        for i in range(0, len(key), 50_000):
-            at = slice(i, i + 50_000)
-            last = pa.array(near[at]) if near is not None else pa.nulls(len(key[at]), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(member[at]), last], ["key", "class", "near"])
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"), text_of("text").alias("text"))
+    return plain.mapInArrow(run, WIDE)
 
-    return docs.select(text_of("text").alias("text")).mapInArrow(run, "key long, class long, near long")
 
+def rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, tag, n, sketch, class) per row of ``docs``; and (key, class, near) of all keys with several classes.
 
-def members_of_shared_keys(docs: DataFrame) -> DataFrame:
-    """(key, class, near) of all keys with several classes; ``near`` is a class of the same key."""
-    # rows with a near are dealt over more partitions, as they need not meet
-    salt = F.when(F.col("near").isNull(), 0).otherwise(1 + F.pmod("class", F.lit(64)))
-    same_key = Window.partitionBy("key", "salt")
-    wide = class_keys(docs).withColumn("salt", salt.cast("int"))
-    wide = wide.withColumns({"low": F.min("class").over(same_key), "high": F.max("class").over(same_key)})
-    kept = wide.where(F.col("near").isNotNull() | (F.col("low") < F.col("high")))
-    return kept.select("key", "class", F.coalesce("near", "low").alias("near"))
+    ``near`` is a class of the same key: the smallest that goes to where the key's rows meet, or the batch's first.
+    """
+    # only rows of keys without a near need meet; the others are dealt at random
+    lot = F.coalesce("tag", F.when(F.col("near").isNotNull(), F.col("class")), F.lit(0).cast("long"))
+    wide = sets_and_keys(docs).withColumn("lot", lot)
+    meet = Window.partitionBy("key", "lot")
+    wide = wide.withColumns({"low": F.min("class").over(meet), "high": F.max("class").over(meet)})
+    kept = wide.where(F.col("n").isNotNull() | F.col("near").isNotNull() | (F.col("low") < F.col("high")))
+    kept = materialise(kept.withColumn("near", F.coalesce("near", "low")).drop("lot", "low", "high"), "rows-and-members")
+    return kept.where("n IS NOT NULL").select("doc_id", "tag", "n", "sketch", "class"), kept.where("n IS NULL").select("key", "class", "near")
 
 
 FILTER_WORDS = 1 << 18  # of 64 bits: two megabytes, whatever the data
@@ -294,9 +340,8 @@ def _components(links: DataFrame, classes: DataFrame) -> DataFrame:
     return materialise(classes.select("class").join(roots, "class", "left").select("class", F.coalesce("root", "class").alias("root")), "roots")
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def linked_classes(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
     """(class, root): components of the classes under all links."""
-    members = materialise(members_of_shared_keys(docs), "members")
     near = members.where(F.col("class") != F.col("near")).groupBy("class", "near").agg(F.count(F.lit(1)).alias("shared"))
     near = materialise(near, "near")
     # first one link for each class, with the representative that it shares most keys with
@@ -326,12 +371,12 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, n, component_id) per row, and ``root`` for texts with words."""
-    rows = materialise(document_sets(docs), "sets-of-rows")
+    rows, members = rows_and_members(docs)
     classes = rows.where("n > 0").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     classes = materialise(classes, "classes")
-    roots = linked_classes(docs, classes)
+    roots = linked_classes(docs, classes, members)
     least = classes.join(roots, "class").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = materialise(roots.join(least, "root").select("class", "root", "component_id"), "named")
     full = rows.where("n > 0").join(named, "class").select("doc_id", "tag", "n", "component_id", "root")
