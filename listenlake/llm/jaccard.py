@@ -20,7 +20,9 @@ and sizes a and b differ in at most (1 - t) / (1 + t) * (a + b) shingles. Both f
 Documents with equal sets form a class, which is compared once. Copies that differ never meet as all
 pairs: within a key each class is first compared with two representatives; links join components;
 and only classes of one key that are still in different components are compared with each other. So
-every link between components is looked for, and a large group costs its size, not its square.
+every link between components is looked for, and a large group costs its size, not its square. Keys that very
+many classes share, as passages do that stand in texts of all kinds, are mostly left out of this: a class
+gives more keys than it needs, and may then leave out its most common ones.
 
 Shingles, sets and parts are told apart by 64-bit hashes: two texts of a hundred billion would be
 taken for one set with a probability of about one in a few, two texts of a billion with one in 37.
@@ -43,6 +45,7 @@ from listenlake.operators.durable import materialise
 SHINGLE = 5
 PERCENT = 75  # similarity from which two documents link
 BAND = 4  # the largest size of a band over its smallest
+SHORT, SPARE = 256, 10  # a set gives keys of all its parts if it is short, else a tenth more than it needs
 PER_PART = 2.2  # shingles a part holds on average at the upper end of a band
 REMEMBERED = 400_000
 
@@ -132,8 +135,12 @@ def bands(n: int, percent: int = PERCENT) -> list[int]:
     return [top, top * BAND] if 100 * n // percent > top else [top]
 
 
-def keys_of(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys under which the set meets all similar ones."""
+def keys_of(s: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, np.ndarray]]:
+    """(kind, spare, keys): keys under which the set meets all similar ones.
+
+    Similar sets share one key more than the ``spare`` of one of them, among keys of one kind. So each may leave
+    out as many keys as it has to spare, as long as two sets are compared where either of them didn't.
+    """
     n, out = len(s), []
     for top in bands(n, percent):
         need = most_differences(n, percent=percent) + 1
@@ -141,15 +148,16 @@ def keys_of(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         part = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint64)
         order = np.argsort(part, kind="stable")
         part = part[order]
-        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[:need]
+        most = n if n <= SHORT else need + n // SPARE
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[:most]
         stop = int(np.searchsorted(part, part[first[-1]], "right"))
         content = np.bitwise_xor.reduceat(s[order[:stop]], first)
         key = mixed(content + part[first].astype(np.uint64) * PLACES[0] + salted(parts, 1))
-        out.append(key)
+        out.append((top, max(len(key) - need, 0), key))
         if len(key) < need:  # too few parts to promise that one stays untouched
             shared = -(-percent * n // 100)
-            out.append(mixed(s[: n - shared + 1] + salted(top, 2)))
-    return np.concatenate(out)
+            out.append((-top, 0, mixed(s[: n - shared + 1] + salted(top, 2))))
+    return out
 
 
 def sketch_of(s: np.ndarray) -> np.ndarray:
@@ -184,7 +192,7 @@ class Seen(set):
         return True
 
 
-WIDE = "doc_id long, tag long, n long, sketch array<long>, class long, key long, near long"
+WIDE = "doc_id long, tag long, n long, sketch array<long>, class long, key long, near long, kind int, spare int"
 
 
 def sets_and_keys(docs: DataFrame) -> DataFrame:
@@ -198,50 +206,54 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
     """
     names = [x.split()[0] for x in WIDE.split(", ")]
 
-    def members(key, member, near):
+    def members(key, member, kind, spare, near):
         for i in range(0, len(key), 50_000):
             at = slice(i, i + 50_000)
             none = pa.nulls(len(key[at]), pa.int64())
             last = none if near is None else pa.array(near[at])
             sketch = pa.nulls(len(key[at]), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([none, none, none, sketch, pa.array(member[at]), pa.array(key[at]), last], names)
+            found = [none, none, none, sketch, pa.array(member[at]), pa.array(key[at]), last, pa.array(kind[at]), pa.array(spare[at])]
+            yield pa.RecordBatch.from_arrays(found, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in batches:
-            counts, sketches, ids, keys, classes = [], [], [], [], []
+            counts, sketches, ids, keys, given = [], [], [], [], []
             for text in batch.column(2):
                 s = shingles(text.as_py())
                 counts.append(len(s))
                 sketches.append(sketch_of(s) if len(s) else None)
                 ids.append(class_of(s) if len(s) else None)
                 if len(s) and seen.new(ids[-1]):
-                    keys.append(keys_of(s))
-                    classes.append(np.full(len(keys[-1]), ids[-1], np.int64))
-            none = pa.nulls(len(batch), pa.int64())
+                    for kind, spare, found in keys_of(s):
+                        keys.append(found)
+                        given.append((len(found), ids[-1], kind, spare))
+            none, no = pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.int32())
             columns = [
                 batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
-                pa.array(ids, pa.int64()), none, none,
+                pa.array(ids, pa.int64()), none, none, no, no,
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
             if not keys:
                 continue
-            key, member = np.concatenate(keys), np.concatenate(classes)
+            key = np.concatenate(keys)
             order = np.argsort(key)
-            key, member = key[order].view(np.int64), member[order]
+            row = np.repeat(np.arange(len(given)), [g[0] for g in given])[order]
+            key, member = key[order].view(np.int64), np.array([g[1] for g in given])[row]
+            kind, spare = (np.array([g[k] for g in given], np.int32)[row] for k in (2, 3))
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             size = np.diff(np.append(start, len(key)))
             several = np.repeat(size > 1, size)
             near = np.repeat(member[start], size)[several]
-            yield from members(key[start], member[start], None)
-            yield from members(key[several], member[several], near)
+            yield from members(key[start], member[start], kind[start], spare[start], None)
+            yield from members(key[several], member[several], kind[several], spare[several], near)
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"), text_of("text").alias("text"))
     return plain.mapInArrow(run, WIDE)
 
 
 def rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, tag, n, sketch, class) per row of ``docs``; and (key, class, near) of all keys with several classes.
+    """(doc_id, tag, n, sketch, class) per row of ``docs``; and (key, class, near, kind, spare) of all keys with several classes.
 
     ``near`` is a class of the same key: the smallest that goes to where the key's rows meet, or the batch's first.
     """
@@ -252,7 +264,9 @@ def rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wide = wide.withColumns({"low": F.min("class").over(meet), "high": F.max("class").over(meet)})
     kept = wide.where(F.col("n").isNotNull() | F.col("near").isNotNull() | (F.col("low") < F.col("high")))
     kept = materialise(kept.withColumn("near", F.coalesce("near", "low")).drop("lot", "low", "high"), "rows-and-members")
-    return kept.where("n IS NOT NULL").select("doc_id", "tag", "n", "sketch", "class"), kept.where("n IS NULL").select("key", "class", "near")
+    return kept.where("n IS NOT NULL").select("doc_id", "tag", "n", "sketch", "class"), kept.where("n IS NULL").select(
+        "key", "class", "near", "kind", "spare"
+    )
 
 
 FILTER_WORDS = 1 << 18  # of 64 bits: two megabytes, whatever the data
@@ -316,7 +330,10 @@ def may_be_similar(percent: int = PERCENT) -> Column:
             x = x.bitwiseXOR(F.coalesce(F.get(long, i + k * m), F.lit(0).cast("long")))
         return F.bit_count(x)
 
-    distance = F.aggregate(F.transform(short, word), F.lit(0), lambda a, x: a + x)
+    folded = F.aggregate(F.transform(short, word), F.lit(0), lambda a, x: a + x)
+    # most pairs have short sketches of one length, for which plain expressions are much faster
+    plain = sum((F.bit_count(F.coalesce(F.get("sketch", i).bitwiseXOR(F.get("near_sketch", i)), F.lit(0).cast("long"))) for i in range(16)), F.lit(0))
+    distance = F.when((F.size("sketch") == F.size("near_sketch")) & (m <= 16), plain).otherwise(folded)
     return sizes & (distance * (100 + percent) <= (100 - percent) * (c("n") + c("near_n")))
 
 
@@ -352,18 +369,20 @@ def linked_classes(docs: DataFrame, classes: DataFrame, members: DataFrame) -> D
     # keys whose classes are not all in one component yet: these classes are compared with each other
     apart = _with_sides(near.select("class", "near"), roots, ["root"]).where("root != near_root").select("class", "near")
     keys = members.join(materialise(apart, "apart"), ["class", "near"], "left_semi").select("key").distinct()
-    open_ = members.join(keys, "key", "left_semi").select("key", "class").unionByName(
-        members.join(keys, "key", "left_semi").select("key", F.col("near").alias("class"))
-    )
-    open_ = open_.distinct().join(roots, "class").join(classes.select("class", "n", "sketch"), "class")
+    open_ = members.join(keys, "key", "left_semi").groupBy("key", "class").agg(F.max("kind").alias("kind"), F.max("spare").alias("spare"))
     open_ = materialise(open_, "open")
-    other = open_.select("key", *[F.col(c).alias("near" if c == "class" else f"near_{c}") for c in ("class", "root", "n", "sketch")])
-    left = materialise(
-        open_.join(other, (open_.key == other.key) & (F.col("class") > F.col("near")) & (F.col("root") != F.col("near_root")) & may_be_similar())
-        .select("class", "near")
-        .distinct(),
-        "left",
-    )
+    # a class leaves out its most common keys, as many as it has to spare: what many texts share by the way
+    often = open_.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("class", "kind").orderBy(F.desc("often"), "key"))
+    open_ = open_.join(often, "key").withColumn("kept", rank > F.col("spare")).select("key", "class", "kept")
+    open_ = open_.join(roots, "class").join(classes.select("class", "n", "sketch"), "class")
+    open_ = materialise(open_, "open-sets")
+    other = open_.select("key", *[F.col(c).alias("near" if c == "class" else f"near_{c}") for c in ("class", "root", "n", "sketch", "kept")])
+    # of two that keep the key the larger is the class; else the one that keeps it
+    once = ~F.col("near_kept") | (F.col("class") > F.col("near"))
+    pairs = open_.where("kept").join(other, (open_.key == other.key) & once & (F.col("root") != F.col("near_root")) & may_be_similar())
+    pairs = pairs.select(F.greatest("class", "near").alias("class"), F.least("class", "near").alias("near")).distinct()
+    left = materialise(pairs, "left")
     if left.isEmpty():
         return roots
     return _components(links.unionByName(verified(docs, left)), classes)
