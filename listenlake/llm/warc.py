@@ -299,6 +299,6 @@ def archived_pages(pages: DataFrame, least: int = 0) -> DataFrame:
     """
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
-    keep_only(folder, write_pages(pages, folder, least))
+    keep_only(folder, write_pages(pages, folder, least, compress=True))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return read_warc(spark, folder, columns).select(columns)
