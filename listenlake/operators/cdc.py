@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from listenlake.functions.audit import BRONZE_AUDIT, SILVER_AUDIT
 from listenlake.operators.dedup import keep_latest
 from listenlake.operators.durable import materialise
-from listenlake.operators.scd import scd1_merge
+from listenlake.operators.scd import join_on_keys, scd1_merge
 
 START_AT, END_AT, OPENS = "start_at", "end_at", "opens_version"
 AUDIT = tuple(dict.fromkeys([*BRONZE_AUDIT, *SILVER_AUDIT]))
@@ -47,6 +47,7 @@ def apply_history(
     tiebreak: Sequence[str],
     except_cols: Sequence[str] = AUDIT,
     hot_rows: int = HOT_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Type 2: every event, with the validity interval of the version it opens.
 
@@ -55,29 +56,38 @@ def apply_history(
     no interval), because a late event may still come to lie before them; so the result is the
     same however the events are cut into batches. ``versions`` gives the versions alone.
 
-    Only keys named by the source are rebuilt.
+    Of two events of one key and time the source beats the target. With ``settled``, ``tiebreak``
+    decides between them too, so that the cut into batches doesn't matter for ties either.
+
+    Missing keys are one key. Only keys named by the source are rebuilt.
     """
     keys = list(keys)
     events = keep_latest(source, [*keys, sequence_by], [], tiebreak)
     untouched = None
     if target is not None:
         touched = source.select(*keys).distinct()
-        known = target.join(touched, keys, "left_semi").select(*source.columns)
-        untouched = target.join(touched, keys, "left_anti")
+        known = join_on_keys(target, touched, keys, "left_semi").select(*source.columns)
+        untouched = join_on_keys(target, touched, keys, "left_anti")
         events = keep_latest(
             events.withColumn("_is_new", F.lit(1)).unionByName(
                 known.withColumn("_is_new", F.lit(0))
             ),
             [*keys, sequence_by],
-            ["_is_new"],
-            [],
+            [] if settled else ["_is_new"],
+            tiebreak if settled else [],
         ).drop("_is_new")
     events = materialise(events, "cdc-events")
     tracked = [c for c in source.columns if c not in keys and c not in except_cols]
     per_key = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    most = per_key.agg(F.max("_rows")).first()[0] or 0
-    build = _by_key if most <= hot_rows else _by_segment
-    rebuilt = build(events, keys, sequence_by, tracked)
+    hot = materialise(per_key.filter(F.col("_rows") > hot_rows).select(*keys), "hot-keys")
+    if hot.isEmpty():
+        rebuilt = _by_key(events, keys, sequence_by, tracked)
+    else:  # only the keys with many events take the longer way
+        large = join_on_keys(events, hot, keys, "left_semi")
+        rest = join_on_keys(events, hot, keys, "left_anti")
+        rebuilt = _by_key(rest, keys, sequence_by, tracked).unionByName(
+            _by_segment(large, keys, sequence_by, tracked), allowMissingColumns=True
+        )
     rebuilt = rebuilt.select(*source.columns, START_AT, END_AT, OPENS)
     return rebuilt if untouched is None else untouched.unionByName(rebuilt)
 
@@ -155,5 +165,6 @@ def _by_segment(
     ahead = marked.join(F.broadcast(after), "_segment").withColumn(
         "_next", F.coalesce(F.last(opening, ignorenulls=True).over(later), F.col("_carried"))
     )
-    same_key = reduce(lambda a, b: a & b, (F.col(f"_next.{k}") == F.col(k) for k in keys))
+    same_key = reduce(lambda a, b: a & b, (F.col(f"_next.{k}").eqNullSafe(F.col(k)) for k in keys))
+    same_key &= F.col("_next").isNotNull()
     return _interval(ahead, sequence_by, F.when(same_key, F.col(f"_next.{sequence_by}")))

@@ -19,9 +19,29 @@ from listenlake.operators.keys import assign_sk
 START, END, CURRENT = "scd_start_date", "scd_end_date", "is_current"
 
 
-def not_older(source_seq: Column, target_seq: Column) -> Column:
-    """A source event may overwrite: it is as new as the target, or the target has no time."""
-    return target_seq.isNull() | F.coalesce(source_seq >= target_seq, F.lit(False))
+def not_older(source_seq: Column, target_seq: Column, ties: Sequence[tuple[Column, Column]] = ()) -> Column:
+    """A source event may overwrite: it is as new as the target, or the target has no time.
+
+    Of two events of one time the one with the higher ``ties`` is the newer, as in ``keep_latest``;
+    without ties the source is.
+    """
+    newer = F.coalesce(source_seq >= target_seq, F.lit(False))
+    if ties:
+        ours, theirs = (F.struct(*side) for side in zip(*ties))
+        newer &= F.coalesce(source_seq > target_seq, F.lit(False)) | (ours >= theirs)
+    return target_seq.isNull() | newer
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Like a join on column names, but missing keys are equal: rows without a key are one key's rows."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys))
+    joined = left.join(named, on, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_right_{k}") for k in keys})
+    return joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
@@ -35,11 +55,13 @@ def scd1_merge(
     update_cols: Sequence[str],
     guard: str | None = None,
     small: bool = False,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Upsert: matched rows take ``update_cols`` from the source, unmatched source rows are added.
 
     Without ``guard`` a later batch always overwrites. With it, only events whose ``guard``
-    column is not older than the target's do. Each side is read once, but for a small source,
+    column is not older than the target's do, ``ties`` settling equal ones. Missing keys are equal to
+    each other. Each side is read once, but for a small source,
     which is read three times to read the target in place.
     """
     keys = list(keys)
@@ -48,10 +70,11 @@ def scd1_merge(
         *keys, *[F.col(c).alias(f"_s_{c}") for c in rest], F.lit(True).alias("_hit")
     )
     old = target.withColumn("_old", F.lit(True))
-    merged = old.join(_maybe_broadcast(changes, small), keys, "left" if small else "full")
+    merged = join_on_keys(old, _maybe_broadcast(changes, small), keys, "left" if small else "full")
     overwrites = F.col("_hit").isNotNull()
     if guard:
-        overwrites &= not_older(F.col(f"_s_{guard}"), F.col(guard))
+        pairs = [(F.col(f"_s_{c}"), F.col(c)) for c in ties]
+        overwrites &= not_older(F.col(f"_s_{guard}"), F.col(guard), pairs)
     is_new = F.col("_old").isNull()
     values = {
         c: F.when(is_new | overwrites if c in update_cols else is_new, F.col(f"_s_{c}"))
@@ -63,8 +86,8 @@ def scd1_merge(
     if not small:
         return merged
     wanted = F.broadcast(source.select(*keys))
-    known = target.join(wanted, keys, "left_semi").select(*keys)
-    added = source.join(known, keys, "left_anti").select(*target.columns)
+    known = join_on_keys(target, wanted, keys, "left_semi").select(*keys)
+    added = join_on_keys(source, known, keys, "left_anti").select(*target.columns)
     return merged.unionByName(added)
 
 
@@ -106,10 +129,10 @@ def scd2_merge(
     if guard:
         differs &= not_older(F.col(guard), F.col(f"_c_{guard}"))
     # an inner join, as an outer one could not broadcast the source to the target
-    hits = seen.join(_maybe_broadcast(source, small), keys).select(
+    hits = join_on_keys(seen, _maybe_broadcast(source, small), keys, "inner").select(
         *keys, differs.alias("_changed")
     )
-    judged = source.join(hits, keys, "left")
+    judged = join_on_keys(source, hits, keys, "left")
     is_added = F.coalesce("_changed", F.lit(True))
     if gap_free:
         added = assign_sk(judged.filter(is_added), keys, sk, sk_start)
@@ -124,7 +147,7 @@ def scd2_merge(
     closing = closing.withColumn("_closes", F.lit(True))
     closes = F.col("_closes").isNotNull()
     before = (
-        current.join(_maybe_broadcast(closing, small), keys, "left")
+        join_on_keys(current, _maybe_broadcast(closing, small), keys, "left")
         .withColumns({END: F.when(closes, F.col("_closed_on")), CURRENT: ~closes})
         .select(*current.columns)
     )

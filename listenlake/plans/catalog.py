@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from listenlake.operators.scd import current_only
-from listenlake.plans import views
+from listenlake.plans import gold, views
 from listenlake.plans.kpi import KPIS
 from listenlake.plans.star import Star, base_fact
 
@@ -54,7 +54,7 @@ def register_silver(spark: SparkSession, users, facts, artists, tracks, dates) -
 
 def register_gold(spark: SparkSession, path_of: Callable[[str], str]) -> None:
     """Temporary views over the stored KPI tables and the reports on them."""
-    stored = {name: spark.read.parquet(path_of(name)) for name in KPIS}
+    stored = {name: gold.read_gold(spark, path_of(name)) for name in KPIS}
     for name, df in stored.items():
         df.createOrReplaceTempView(name)
     for name, (build, kpi) in REPORTS.items():

@@ -35,6 +35,9 @@ FACT_EXPECTATIONS = {"rule_1": "stream_id IS NOT NULL"}
 # no validity interval can start without a date, so this one is hard
 USER_START_RULE = Rule("Missing start_date", "start_date IS NULL AND updated_at IS NULL")
 
+# events without a time have no place in a sequence
+USER_SEQUENCE_RULE = Rule("Missing updated_at", "updated_at IS NULL")
+
 
 def user_rules(plans: Sequence[str] = fixed.PLANS) -> tuple[Rule, ...]:
     """Short names and unknown plans are named as reasons but let the row pass."""

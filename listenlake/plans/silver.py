@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from listenlake import fixed
 from listenlake.functions.audit import add_silver_audit
-from listenlake.operators.cdc import apply_latest
+from listenlake.operators.cdc import AUDIT, END_AT, OPENS, START_AT, apply_history, apply_latest
 from listenlake.operators.dedup import keep_latest
 from listenlake.operators.keys import hash_sk
 from listenlake.operators.quarantine import to_quarantine, write_quarantine
@@ -35,6 +35,11 @@ AUDIT_DDL = """
     silver_ingest_timestamp timestamp, bronze_ingest_timestamp timestamp, input_file_path string
 """
 
+USER_HISTORY_DDL = f"""
+    user_id bigint, user_name string, country string, subscription_type string, updated_at timestamp,
+    start_at timestamp, end_at timestamp, opens_version boolean, {AUDIT_DDL}
+"""
+
 USER_DDL = f"""
     user_sk bigint, user_id bigint, user_name string, country string, subscription_type string,
     scd_start_date date, scd_end_date date, is_current boolean, updated_at timestamp,
@@ -97,6 +102,7 @@ def apply_user_batch(
     guard: str | None = None,
     tiebreak: Sequence[str] = (),
     gap_free: bool = True,
+    stream: str | None = None,
 ) -> dict[str, int] | None:
     """Check, keep the newest event per user, and merge as type 2.
 
@@ -104,7 +110,7 @@ def apply_user_batch(
     after them the content decides.
     """
     head = users.head()
-    if head.batch_id >= batch_id:
+    if users.applied(head, batch_id, stream):
         return None
     all_rules = (*rules, quality.USER_START_RULE)
     valid, counts = _valid_rows(batch, batch_id, "DimUser", "user_id", all_rules, quarantine)
@@ -139,19 +145,61 @@ def apply_user_batch(
                 replaces=[USER_CURRENT],
                 facts=lambda: {"max_sk": max(numbered, written.get["max_sk"] or 0)},
                 head=head,
+                stream=stream,
             )
     return counts
 
 
+# parts of a table that is stored by a hash of its key
+BUCKETS = 64
+
+
+def apply_user_history_batch(
+    batch: DataFrame,
+    batch_id: int,
+    table: SnapshotTable,
+    rules: Sequence[Rule] = quality.user_rules(),
+    stream: str | None = None,
+) -> None:
+    """Apply valid user events as a sequenced type 2 history, whatever order they come in.
+
+    The result does not depend on how events are cut into batches. Users are stored by a hash of
+    their id, so a batch reads and rewrites only the buckets of its users; the list of these is
+    bounded by their number.
+    """
+    head = table.head()
+    if table.applied(head, batch_id, stream):
+        return
+    valid = split_valid(apply_rules(batch, (*rules, quality.USER_SEQUENCE_RULE)))[0]
+    names = [f.name for f in table.schema if f.name not in (START_AT, END_AT, OPENS)]
+    events = add_silver_audit(valid).select(*names)
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).cast("string")
+    touched = [row[PART] for row in events.select(bucket.alias(PART)).distinct().collect()]
+    if not touched:
+        return
+    known = table.read(touched, head) if head.version else None
+    history = apply_history(
+        known, events, ["user_id"], "updated_at", fixed.USER_TRACKED_COLS, settled=True,
+        except_cols=(*AUDIT, "updated_at"),
+    )
+    table.publish(history.withColumn(PART, bucket), batch_id, replaces=touched, head=head, stream=stream)
+
+
 # digits of a date key that name the part its fact is stored in
 GRAINS = {"day": 8, "month": 6, "year": 4}
 
 
+PART_YEARS = (1900, 2199)
+
+
 def fact_part(grain: str) -> Column:
     """A batch rewrites the parts it touches. Months suit small facts, where days would make
-    thousands of tiny folders; take days once a day holds gigabytes."""
-    part = F.substring(F.col("date_key").cast("string"), 1, GRAINS[grain])
-    return F.coalesce(part, F.lit("none"))
+    thousands of tiny folders; take days once a day holds gigabytes. Keys that are no day of the
+    years below lie in one part, so the number of parts has a bound."""
+    key = F.col("date_key").cast("string")
+    day = F.try_to_date(key, "yyyyMMdd")
+    real = F.year(day).between(*PART_YEARS) & (F.length(key) == 8)
+    return F.when(real, F.substring(key, 1, GRAINS[grain])).otherwise("none")
 
 
 def apply_fact_batch(
@@ -163,15 +211,21 @@ def apply_fact_batch(
     guard: str | None = None,
     tiebreak: Sequence[str] = (),
     grain: str = "month",
+    sequenced: bool = False,
+    stream: str | None = None,
 ) -> dict[str, int] | None:
     """Check, keep the newest event per stream, and upsert as type 1.
 
     A changed date moves a row to another part, so the parts rewritten are those of the batch and
     those in which the batch's keys lie now. Other parts are not read beyond key and date.
     ``grain`` must stay the same for the life of the table.
+
+    A later batch overwrites the columns that may change, unless ``guard`` refuses older events.
+    ``sequenced`` takes whole rows instead, each from the newest event of its stream, so that the
+    result does not depend on how events are cut into batches.
     """
     head = facts.head()
-    if head.batch_id >= batch_id:
+    if facts.applied(head, batch_id, stream):
         return None
     valid, counts = _valid_rows(batch, batch_id, "FactStream", "stream_id", rules, quarantine)
     if counts["valid_rows"]:
@@ -193,9 +247,10 @@ def apply_fact_batch(
                 facts.read(touched, head),
                 source,
                 ["stream_id"],
-                fixed.FACT_UPDATE_COLS,
-                guard,
+                list(source.columns) if sequenced else fixed.FACT_UPDATE_COLS,
+                "stream_timestamp" if sequenced else guard,
                 small,
+                ("user_id", "track_id", *fixed.FACT_UPDATE_COLS) if sequenced else (),
             )
             facts.publish(
                 merged.withColumn(PART, part),
@@ -203,6 +258,7 @@ def apply_fact_batch(
                 replaces=touched,
                 head=head,
                 rebalance=True,
+                stream=stream,
             )
     return counts
 
@@ -231,10 +287,11 @@ def apply_dimension_batch(
     stage: Callable[[DataFrame], DataFrame],
     key: str,
     sequence_by: str,
+    stream: str | None = None,
 ) -> None:
     """Sequenced type 1 application of one staged batch."""
     head = table.head()
-    if head.batch_id >= batch_id:
+    if table.applied(head, batch_id, stream):
         return
     names = [f.name for f in table.schema]
     staged = stage(batch).select(*names)
@@ -244,4 +301,4 @@ def apply_dimension_batch(
         target = table.read(head=head) if head.version else None
         small = target is not None and fits_broadcast(newest)
         merged = apply_latest(target, newest, [key], sequence_by, content, small)
-        table.publish(merged.withColumn(PART, F.lit(WHOLE)), batch_id, head=head)
+        table.publish(merged.withColumn(PART, F.lit(WHOLE)), batch_id, head=head, stream=stream)

@@ -16,6 +16,14 @@ Opener = Callable[[], DataFrame]
 
 DIMS = ("user", "track", "artist", "date")
 
+# The columns of the wide view in the order that its readers rely on.
+WIDE_COLS = (
+    "stream_id", "user_sk", "track_sk", "artist_sk", "user_id", "track_id", "artist_id", "listen_duration",
+    "duration_sec", "is_meaningful_play", "play_category", "user_name", "user_country", "subscription_type",
+    "device_type", "track_name", "album_name", "artist_name", "genre", "artist_country", "date_key", "date", "day",
+    "month", "year", "weekday",
+)
+
 
 class Star:
     """Current silver tables. Every dimension holds one row per key, which silver guarantees.
@@ -23,7 +31,8 @@ class Star:
     Tables are given as functions and opened when a query first needs them. How the fact meets a
     dimension is decided by measurement, once per star: one that fits ``broadcast_bytes`` is
     broadcast, so the fact is not moved at all. A larger one is joined by shuffle, with the fact
-    keys that hold more than ``hot_share`` of its rows salted.
+    keys that hold more than ``hot_share`` of its rows salted: by default those that hold more
+    than the mean shuffle partition, but no more than a hundred thousand keys.
     """
 
     def __init__(
@@ -34,7 +43,7 @@ class Star:
         artist: Opener,
         date: Opener,
         broadcast_bytes: int = BROADCAST_BYTES,
-        hot_share: float = 0.01,
+        hot_share: float | None = None,
     ):
         self._open = {"fact": fact, "user": user, "track": track, "artist": artist, "date": date}
         self.broadcast_bytes = broadcast_bytes
@@ -67,9 +76,16 @@ class Star:
             self._fits[name] = fits_broadcast(dim, self.broadcast_bytes)
         return self._fits[name]
 
+    def _share(self) -> float:
+        if self.hot_share is not None:
+            return self.hot_share
+        parts = int(self.fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return min(max(1 / parts, 1e-5), 0.01)
+
     def hot(self, key: str) -> list:
         if key not in self._hot:
-            self._hot |= hot_keys(self.fact, [key], self.hot_share)
+            renamed = {"f_date_key": "date_key"}.get(key, key)
+            self._hot |= {key: hot_keys(self.fact, [renamed], self._share())[renamed]}
         return self._hot[key]
 
 
@@ -119,12 +135,11 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
     listen, duration = F.col("f_listen_duration"), F.col("t_duration_sec")
     out = {
         "stream_id": F.col("f_stream_id"),
-        "user_id": F.col("f_user_id"),
+        "user_id": F.col("user_id"),
         "listen_duration": listen,
         "device_type": F.col("f_device_type"),
     }
     wide = facts.withColumnsRenamed({"f_user_id": "user_id", "f_track_id": "track_id"})
-    out["user_id"] = F.col("user_id")
     if "user" in dims:
         user = _prefixed(
             star.user, "u_", ["user_sk", "user_id", "user_name", "country", "subscription_type"]
@@ -166,7 +181,6 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
     if "date" in dims:
         calendar = ["date_key", "date", "day", "month", "year", "weekday"]
         date = _prefixed(star.date, "d_", calendar)
-        # one row per day: a thousand years fit a broadcast many times over
-        wide = wide.join(F.broadcast(date), F.col("f_date_key") == F.col("d_date_key"), "left")
+        wide = _attach(star, wide, "date", date, "f_date_key", "d_date_key")
         out |= {c: F.col(f"d_{c}") for c in calendar}
-    return wide.select(*[expr.alias(name) for name, expr in out.items()])
+    return wide.select(*[out[name].alias(name) for name in WIDE_COLS if name in out])

@@ -99,7 +99,7 @@ def gold_refresh(spark, sf_dir) -> DataFrame:
     for _ in range(2):
         gold.refresh(star, lambda name: f"{root}/{name}")
     parts = [
-        spark.read.parquet(f"{root}/{name}").agg(
+        gold.read_gold(spark, f"{root}/{name}").agg(
             F.lit(name).alias("kpi"),
             F.count("*").alias("kpi_rows"),
             F.sum("total_streams").alias("plays"),

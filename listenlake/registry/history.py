@@ -37,7 +37,7 @@ def user_events(spark, sf_dir) -> DataFrame:
     )
 
 
-_USER_EVENTS = f"""{NATIONS},
+USER_EVENTS = f"""{NATIONS},
 user_events AS (
   SELECT o_custkey AS user_id, c_name AS user_name, country, o_orderpriority AS subscription_type,
          CAST(o_orderdate AS DATE) AS start_date, o_orderdate AS updated_at, o_orderkey,
@@ -130,7 +130,7 @@ def scd2_current(spark, sf_dir) -> DataFrame:
     return current_only(_user_history(spark, sf_dir).read()).select(*_USER_COLS)
 
 
-_SCD2 = f"""{_USER_EVENTS},
+_SCD2 = f"""{USER_EVENTS},
 yearly AS (
   SELECT *, year(updated_at) AS batch FROM user_events
   QUALIFY row_number() OVER (PARTITION BY user_id, year(updated_at)
@@ -262,7 +262,7 @@ def _user_cdc(hot_rows: int, except_cols):
 
 _NOT_TRACKED = ("start_date", "updated_at", "o_orderkey")
 
-_CDC2 = f"""{_USER_EVENTS},
+_CDC2 = f"""{USER_EVENTS},
 events1 AS (
   SELECT * FROM user_events
   QUALIFY row_number() OVER (PARTITION BY user_id, updated_at
@@ -297,13 +297,20 @@ QUERIES = {
 }
 
 _FACT_COLS = ", ".join(sample.FACT_COLS)
-_NEWEST_FACT = """QUALIFY row_number() OVER (PARTITION BY stream_id
-    ORDER BY stream_timestamp DESC, track_id DESC, l_suppkey DESC, l_quantity DESC,
-             l_extendedprice DESC) = 1"""
+def _newest_fact(ties: str) -> str:
+    return f"""QUALIFY row_number() OVER (PARTITION BY stream_id ORDER BY stream_timestamp DESC, {ties}) = 1"""
 
-SCD1_SQL = f"""
-before AS (SELECT * FROM plays WHERE stream_timestamp < TIMESTAMP '{CUT}' {_NEWEST_FACT}),
-after AS (SELECT * FROM plays WHERE stream_timestamp >= TIMESTAMP '{CUT}' {_NEWEST_FACT})
+
+_LINE_ORDER = "track_id DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC"
+_NEWEST_FACT = _newest_fact(_LINE_ORDER)
+
+
+def scd1_sql(ties: str) -> str:
+    """Plays of the later batch merged into those of the earlier one; ``ties`` orders plays of one time."""
+    newest = _newest_fact(ties)
+    return f"""
+before AS (SELECT * FROM plays WHERE stream_timestamp < TIMESTAMP '{CUT}' {newest}),
+after AS (SELECT * FROM plays WHERE stream_timestamp >= TIMESTAMP '{CUT}' {newest})
 SELECT stream_id, coalesce(b.user_id, a.user_id) AS user_id,
        coalesce(b.track_id, a.track_id) AS track_id, coalesce(a.date_key, b.date_key) AS date_key,
        coalesce(a.listen_duration, b.listen_duration) AS listen_duration,
@@ -311,12 +318,13 @@ SELECT stream_id, coalesce(b.user_id, a.user_id) AS user_id,
        coalesce(b.stream_timestamp, a.stream_timestamp) AS stream_timestamp
 FROM before b FULL JOIN after a USING (stream_id)"""
 
+
 ORACLES = {
-    "dedup_latest": f"""WITH {_USER_EVENTS}
+    "dedup_latest": f"""WITH {USER_EVENTS}
 SELECT * EXCLUDE (o_orderkey, o_orderstatus) FROM user_events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, o_orderkey DESC) = 1""",
     "dedup_fact": f"WITH {LINES} SELECT {_FACT_COLS} FROM lines {_NEWEST_FACT}",
-    "scd1_fact": f"WITH {LINES}, plays AS (SELECT * FROM lines), {SCD1_SQL}",
+    "scd1_fact": f"WITH {LINES}, plays AS (SELECT * FROM lines), {scd1_sql(_LINE_ORDER)}",
     "scd2_user": f"WITH {_SCD2} SELECT * FROM scd2",
     "scd2_current": f"WITH {_SCD2} SELECT * FROM scd2 WHERE is_current",
     "surrogate_key": """SELECT o_orderkey, o_custkey,

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listenlake import fixed
 from listenlake.functions.audit import add_bronze_audit
 from listenlake.operators.durable import scratch_path
-from listenlake.registry.history import CUT, SCD1_SQL
-from listenlake.registry.sql import LINES
+from listenlake.operators.cdc import versions
+from listenlake.registry.history import CUT, USER_EVENTS, scd1_sql, user_events
+from listenlake.registry.sql import LINES, STAR
 from listenlake.sources import sample
 from listenlake.sources.extract import (
     SourceSpec,
@@ -23,7 +25,7 @@ from listenlake.sources.landing import read_landing_stream, stored_schema
 from listenlake.sources.state import StateLog
 from listenlake.streaming.bronze import run_bronze, write_bronze
 from listenlake.streaming.layout import Layout
-from listenlake.streaming.silver import SilverLayer
+from listenlake.streaming.silver import SOURCES, SilverLayer
 
 LAST = "1997-06-15 00:00:00"
 BACKFILL = "1995-01-01"
@@ -86,7 +88,7 @@ def bronze_ingest(spark, sf_dir) -> DataFrame:
     named = {"pathGlobFilter": "events.parquet"}
     for _ in range(2):
         stream = read_landing_stream(spark, sf_dir, store, options=named)
-        write_bronze(add_bronze_audit(stream), target, checkpoint).awaitTermination()
+        write_bronze(add_bronze_audit(stream), target, checkpoint, store).awaitTermination()
     return spark.read.parquet(target).select(
         *stored_schema(store).names,
         F.element_at(F.split("input_file_path", "/"), -1).alias("file_name"),
@@ -100,7 +102,7 @@ def silver_stream(spark, sf_dir) -> DataFrame:
     plays = sample.fact(spark, sf_dir).select(*sample.FACT_COLS).withColumn(
         "stream_timestamp", F.col("stream_timestamp").cast("timestamp")
     )
-    layer = SilverLayer(spark, layout)
+    layer = SilverLayer(spark, layout, sequenced=False)
     earlier = F.col("stream_timestamp") < F.lit(CUT).cast("timestamp")
     for step in (plays.filter(earlier), plays.filter(~earlier)):
         step.write.mode("append").parquet(layout.landing("FactStream"))
@@ -109,6 +111,69 @@ def silver_stream(spark, sf_dir) -> DataFrame:
     return layer.facts.read().select(*sample.FACT_COLS)
 
 
+SCRAMBLED_FILES = 5
+CUTS = (1, 1000)
+
+
+def _cut(spark, name: str, events: DataFrame, plans, read) -> DataFrame:
+    """The same landing, its events in no order over its files, taken in by one file at a time and all at once."""
+    found = []
+    for files in CUTS:
+        layout = Layout(scratch_path(spark, "warehouse"))
+        events.repartition(SCRAMBLED_FILES, F.xxhash64(*events.columns)).write.parquet(layout.landing(SOURCES.get(name, name)))
+        run_bronze(spark, layout, [SOURCES.get(name, name)], max_files=files)
+        layer = SilverLayer(spark, layout, plans, max_files=files)
+        layer.run([name])
+        found.append(read(layer).withColumn("max_files", F.lit(files)))
+    return found[0].unionByName(found[1])
+
+
+def silver_facts_cut(spark, sf_dir) -> DataFrame:
+    """Facts however their files are cut into micro-batches: the newest event of each stream."""
+    plays = sample.fact(spark, sf_dir).select(*sample.FACT_COLS).withColumn(
+        "stream_timestamp", F.col("stream_timestamp").cast("timestamp")
+    )
+    return _cut(spark, "FactStream", plays, fixed.PLANS, lambda layer: layer.facts.read().select(*sample.FACT_COLS))
+
+
+def silver_users_cut(spark, sf_dir) -> DataFrame:
+    """User versions however their files are cut into micro-batches: an interval for each change."""
+    events = user_events(spark, sf_dir).drop("o_orderkey", "o_orderstatus")
+    cols = ["user_id", *fixed.USER_TRACKED_COLS, "start_at", "end_at"]
+    plans = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
+    return _cut(spark, "DimUserHistory", events, plans, lambda layer: versions(layer.user_history.read()).select(*cols))
+
+
+def silver_dims(spark, sf_dir) -> DataFrame:
+    """Artists, tracks and days through the streams, keys and audit columns added on the way."""
+    layout = Layout(scratch_path(spark, "warehouse"))
+    at = F.lit("2024-01-01").cast("timestamp")
+    landed = {
+        "DimArtist": sample.artists(spark, sf_dir).drop("artist_sk").withColumn("updated_at", at),
+        "DimTrack": sample.tracks(spark, sf_dir).drop("track_sk").withColumn("updated_at", at),
+        "DimDate": sample.dates(spark, sf_dir),
+    }
+    for name, df in landed.items():
+        df.write.parquet(layout.landing(name))
+    run_bronze(spark, layout, list(landed))
+    layer = SilverLayer(spark, layout)
+    layer.run(list(landed))
+    audited = F.col("silver_ingest_timestamp").isNotNull() & F.col("input_file_path").isNotNull()
+    rows = [
+        (layer.artists.read(), "artist", "artist_id", "artist_sk", "artist_name", audited),
+        (layer.tracks.read(), "track", "track_id", "track_sk", "track_name", audited),
+        (layer.dates.read(), "date", "date_key", "date_key", "weekday", F.lit(True)),
+    ]
+    parts = [
+        df.select(
+            F.lit(kind).alias("dimension"), F.col(key).cast("bigint").alias("key"), F.col(sk).cast("bigint").alias("number"),
+            F.col(name).alias("name"), seen.alias("audited"),
+        )
+        for df, kind, key, sk, name, seen in rows
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 QUERIES = {
     "incr_extract": incr_extract,
     "incr_backfill": incr_backfill,
@@ -116,6 +181,9 @@ QUERIES = {
     "incr_all_tables": incr_all_tables,
     "bronze_ingest": bronze_ingest,
     "silver_stream": silver_stream,
+    "silver_facts_cut": silver_facts_cut,
+    "silver_users_cut": silver_users_cut,
+    "silver_dims": silver_dims,
 }
 
 
@@ -124,6 +192,8 @@ def _landed(name: str, col: str, text: str) -> str:
        true AS kept, CAST(0 AS BIGINT) AS second_run_rows FROM {name}"""
 
 
+FACT_TIES = "user_id DESC, track_id DESC, date_key DESC, listen_duration DESC, device_type DESC"
+
 _DAY = "strftime(max({}), '%Y-%m-%d %H:%M:%S')"
 
 ORACLES = {
@@ -139,10 +209,28 @@ ORACLES = {
         ]
     ),
     "bronze_ingest": "SELECT *, 'events.parquet' AS file_name, true AS dated FROM events",
-    # ties are settled by the fact's own columns here
+    # ties are settled by the fact's own columns in these two
     "silver_stream": f"""WITH {LINES}, plays AS (SELECT * FROM lines WHERE listen_duration > 0),
-{SCD1_SQL}""".replace(
-        "l_suppkey DESC, l_quantity DESC,\n             l_extendedprice DESC",
-        "date_key DESC, listen_duration DESC, device_type DESC",
-    ).replace("track_id DESC", "user_id DESC, track_id DESC"),
+{scd1_sql(FACT_TIES)}""",
+    "silver_facts_cut": f"""WITH {LINES}
+SELECT stream_id, user_id, track_id, date_key, listen_duration, device_type, stream_timestamp, max_files
+FROM lines, (VALUES (1), (1000)) AS cuts(max_files) WHERE listen_duration > 0
+QUALIFY row_number() OVER (PARTITION BY stream_id, max_files ORDER BY stream_timestamp DESC, {FACT_TIES}) = 1""",
+    "silver_users_cut": f"""WITH {USER_EVENTS},
+newest AS (
+  SELECT * FROM user_events
+  WHERE length(user_name) > 0 AND country IS NOT NULL AND subscription_type IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY user_id, updated_at
+    ORDER BY user_name DESC, country DESC, subscription_type DESC) = 1),
+marked AS (
+  SELECT *, lag((user_name, country, subscription_type)) OVER (PARTITION BY user_id ORDER BY updated_at) AS before
+  FROM newest),
+opened AS (SELECT * FROM marked WHERE before IS NULL OR before IS DISTINCT FROM (user_name, country, subscription_type))
+SELECT user_id, user_name, country, subscription_type, updated_at AS start_at,
+       lead(updated_at) OVER (PARTITION BY user_id, max_files ORDER BY updated_at) AS end_at, max_files
+FROM opened, (VALUES (1), (1000)) AS cuts(max_files)""",
+    "silver_dims": f"""WITH {STAR}
+SELECT 'artist' AS dimension, artist_id AS key, artist_sk::BIGINT AS number, artist_name AS name, true AS audited FROM artists
+UNION ALL SELECT 'track', track_id, track_sk, track_name, true FROM tracks
+UNION ALL SELECT 'date', date_key, date_key, weekday, true FROM dates""",
 }

@@ -23,6 +23,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop))
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder to a name that doesn't exist yet; one step on file systems that have folders."""
+    fs, hadoop = _open(spark, path)
+    into = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(into.getParent())
+    if not fs.rename(hadoop, into):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop = _open(spark, path)
     fs.delete(hadoop, True)

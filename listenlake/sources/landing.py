@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 from collections.abc import Mapping
 
@@ -17,13 +16,17 @@ from pyspark.sql.types import (
 )
 
 from listenlake import fixed
+from listenlake.sources import fs
 from listenlake.sources.state import StateLog
 
-# file times and our clock may disagree by this much
-CLOCK_SLACK = dt.timedelta(minutes=10)
+# files count as new however old their times say they are: a copy keeps the time of its original
+ANY_AGE = "36500d"
 
 NO_FILES = ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")
 
+# names the folders of a bronze table, one for each micro-batch
+BATCH = "batch"
+
 AUDIT_FIELDS = (
     StructField("input_file_path", StringType()),
     StructField("ingest_timestamp", TimestampType()),
@@ -60,31 +63,45 @@ def stored_schema(store: StateLog) -> StructType | None:
 def landing_schema(
     spark: SparkSession, path: str, store: StateLog, options: Mapping[str, str] | None = None
 ) -> StructType:
-    """The remembered schema, widened by files that came since it was last looked up.
+    """The remembered schema, widened by all files that are there.
 
-    Only the footers of new files are read, in a Spark job.
+    Footers are read in a Spark job.
     """
-    entry = store.latest() or {}
-    now = dt.datetime.now(dt.timezone.utc)
+    if not fs.children(spark, path):
+        raise FileNotFoundError(f"nothing has landed in {path} yet")
     reader = spark.read.options(**(options or {})).option("mergeSchema", "true")
-    reader = reader.option("timeZone", "UTC")
-    if entry:
-        reader = reader.option("modifiedAfter", entry["looked_up"])
     try:
         found = reader.parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() not in NO_FILES:
             raise
-        found = None
-    known = StructType.fromJson(entry["schema"]) if entry else None
+        raise FileNotFoundError(f"nothing has landed in {path} yet") from None
+    return remember(store, found)
+
+
+def remember(store: StateLog, found: StructType) -> StructType:
+    """The remembered schema widened by ``found``, and remembered."""
+    known = stored_schema(store)
     schema = widen(known, found)
-    if schema is None:
-        raise FileNotFoundError(f"nothing has landed in {path} yet")
-    looked_up = (now - CLOCK_SLACK).strftime("%Y-%m-%dT%H:%M:%S")
-    store.append({"schema": json.loads(schema.json()), "looked_up": looked_up})
+    if schema != known:
+        store.append({"schema": json.loads(schema.json())})
     return schema
 
 
+def files_with_all_columns(batch: DataFrame, store: StateLog) -> DataFrame:
+    """The rows of the files that a micro-batch was read from, read anew with every column they have.
+
+    The stream's schema was fixed when it began; these files may have come later and hold more. The
+    list of files is bounded by ``max_files``.
+    """
+    spark = batch.sparkSession
+    files = [row[0] for row in batch.select("input_file_path").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], stored_schema(store))
+    found = spark.read.option("mergeSchema", "true").parquet(*files).schema
+    return spark.read.schema(remember(store, found)).parquet(*files)
+
+
 def read_landing_stream(
     spark: SparkSession,
     path: str,
@@ -96,8 +113,8 @@ def read_landing_stream(
 
     ``options`` are Spark's file-source options, such as ``pathGlobFilter``.
     """
-    schema = landing_schema(spark, path, store, options)
-    reader = spark.readStream.schema(schema).options(**(options or {}))
+    schema = stored_schema(store) or landing_schema(spark, path, store, options)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE).options(**(options or {}))
     return reader.option("maxFilesPerTrigger", max_files).parquet(path)
 
 
@@ -108,5 +125,5 @@ def read_bronze_stream(
     landed = stored_schema(store)
     if landed is None:
         raise FileNotFoundError(f"{path} has not been ingested yet")
-    reader = spark.readStream.schema(StructType([*landed, *AUDIT_FIELDS]))
-    return reader.option("maxFilesPerTrigger", max_files).parquet(path)
+    reader = spark.readStream.schema(StructType([*landed, *AUDIT_FIELDS])).option("maxFileAge", ANY_AGE)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path).drop(BATCH)

@@ -9,6 +9,7 @@ part, and a commit replaces only the parts it rewrote.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -28,15 +29,20 @@ class Commit:
     batch_id: int
     parts: Mapping[str, list[str]]
     facts: Mapping[str, int] = field(default_factory=dict)
+    stream: str | None = None
+
+
+class OtherStream(RuntimeError):
+    """A batch of a stream with another checkpoint than the one that fed the table so far."""
 
 
 NOTHING = Commit(version=0, batch_id=-1, parts={})
 
 
 class SnapshotTable:
-    """``schema`` leaves out the part column, which only names folders."""
+    """``schema`` leaves out the part column, which only names folders; without one, files tell it."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType | str):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType | str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -46,14 +52,27 @@ class SnapshotTable:
         entry = self.log.latest()
         return Commit(**entry) if entry else NOTHING
 
+    def applied(self, head: Commit, batch_id: int, stream: str | None = None) -> bool:
+        """Whether ``head`` holds the batch already.
+
+        Batch numbers begin anew with every checkpoint, so they are compared only for one ``stream``.
+        """
+        if stream and head.stream and stream != head.stream:
+            raise OtherStream(f"{self.root} is fed by stream {head.stream}; batch {batch_id} is of {stream}")
+        return head.batch_id >= batch_id
+
     def done(self, batch_id: int) -> bool:
-        return self.head().batch_id >= batch_id
+        return self.applied(self.head(), batch_id)
 
     def read(self, parts: Iterable[str] | None = None, head: Commit | None = None) -> DataFrame:
         """The table as committed, or some parts of it."""
         head = head or self.head()
         wanted = head.parts if parts is None else set(parts) & set(head.parts)
         paths = [f"{self.root}/{p}" for part in sorted(wanted) for p in head.parts[part]]
+        if self.schema is None:
+            if not paths:
+                raise FileNotFoundError(f"{self.root} has no version yet")
+            return self.spark.read.parquet(*paths)
         if not paths:
             nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
             return self.spark.range(0).select(*nulls)
@@ -67,6 +86,7 @@ class SnapshotTable:
         facts: Callable[[], Mapping[str, int]] = dict,
         head: Commit | None = None,
         rebalance: bool = False,
+        stream: str | None = None,
     ) -> Commit:
         """Write ``rows``, which carry a ``part`` column, and commit.
 
@@ -76,7 +96,9 @@ class SnapshotTable:
         a shuffle, which gathers small parts into few files and splits parts that are too large.
         """
         head = head or self.head()
-        folder = f"data/v={head.version + 1:08d}"
+        # a folder of its own: two writers that start from one head don't touch each other's rows,
+        # and only the first one's commit is taken
+        folder = f"data/v={head.version + 1:08d}-{uuid.uuid4().hex[:12]}"
         target = f"{self.root}/{folder}"
         names = [f.name for f in self.schema]
         sized = rows.select(*names, PART)
@@ -89,8 +111,8 @@ class SnapshotTable:
         for name in fs.children(self.spark, target):
             if name.startswith(prefix):
                 parts.setdefault(name[len(prefix) :], []).append(f"{folder}/{name}")
-        commit = Commit(head.version + 1, batch_id, parts, {**head.facts, **facts()})
-        self.log.append(json.loads(json.dumps(commit.__dict__)))
+        commit = Commit(head.version + 1, batch_id, parts, {**head.facts, **facts()}, stream or head.stream)
+        self.log.append(json.loads(json.dumps(commit.__dict__)), commit.version)
         return commit
 
     def vacuum(self, keep: int = 2) -> list[str]:
@@ -105,7 +127,7 @@ class SnapshotTable:
         named = {path for commit in kept for paths in commit.parts.values() for path in paths}
         gone = []
         for version in fs.children(self.spark, f"{self.root}/data"):
-            if int(version.removeprefix("v=")) > kept[0].version:
+            if int(version.removeprefix("v=").partition("-")[0]) > kept[0].version:
                 continue
             for part in fs.children(self.spark, f"{self.root}/data/{version}"):
                 path = f"data/{version}/{part}"

@@ -8,6 +8,7 @@ the entry before it in force.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from listenlake.sources import fs
 
 
+class Conflict(RuntimeError):
+    """Another writer has taken the number that this one was to write."""
+
+
 class StateLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -46,7 +51,18 @@ class StateLog:
             return None
         return json.loads(self.spark.read.text(self._path(newest), wholetext=True).first()[0])
 
-    def append(self, fields: dict) -> None:
-        number = (self._newest() or 0) + 1
+    def append(self, fields: dict, number: int | None = None) -> None:
+        """Write the next entry, or entry ``number``; a finished entry is never written over."""
+        number = number or (self._newest() or 0) + 1
+        if fs.exists(self.spark, f"{self._path(number)}/_SUCCESS"):
+            raise Conflict(f"{self._path(number)} has been written already")
         entry = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(fields)).alias("value"))
         entry.write.mode("overwrite").text(self._path(number))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream a checkpoint belongs to: new with a new checkpoint, then the same for good."""
+    log = StateLog(spark, f"{checkpoint}/stream-id")
+    if log.latest() is None:
+        log.append({"id": uuid.uuid4().hex})
+    return log.latest()["id"]

@@ -9,20 +9,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from listenlake import fixed
 from listenlake.functions.audit import add_bronze_audit
-from listenlake.sources.landing import read_landing_stream
-from listenlake.sources.state import StateLog
+from listenlake.sources import fs
+from listenlake.sources.landing import BATCH, files_with_all_columns, read_landing_stream
+from listenlake.sources.state import StateLog, stream_id
 from listenlake.streaming.layout import Layout
 
 
-def write_bronze(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append-only and exactly once: the checkpoint knows the files taken in."""
-    return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+def write_bronze(df: DataFrame, path: str, checkpoint: str, store: StateLog | None = None) -> StreamingQuery:
+    """Append-only and exactly once: the checkpoint knows the files taken in.
+
+    With ``store`` every micro-batch is read with all columns that its own files have, and new ones are
+    remembered there, so a file that came after the stream's schema was looked up loses nothing.
+    A batch is written aside and then named in one step; one that is there already is done.
+    """
+    writer = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if store is None:
+        return writer.format("parquet").outputMode("append").start(path)
+    spark, name = df.sparkSession, stream_id(df.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        target = f"{path}/{BATCH}={batch_id:012d}-{name[:12]}"
+        if fs.exists(spark, target):
+            return
+        staged = f"{path}/_staged/{name}-{batch_id}"
+        add_bronze_audit(files_with_all_columns(batch, store)).write.mode("overwrite").parquet(staged)
+        fs.rename(spark, staged, target)
+
+    return writer.foreachBatch(write).start()
 
 
 def run_bronze(
@@ -34,7 +47,9 @@ def run_bronze(
         store = StateLog(spark, layout.schema(name))
         stream = read_landing_stream(spark, layout.landing(name), store, max_files)
         queries.append(
-            write_bronze(add_bronze_audit(stream), layout.bronze(name), layout.checkpoint("bronze", name))
+            write_bronze(
+                add_bronze_audit(stream), layout.bronze(name), layout.checkpoint("bronze", name), store
+            )
         )
     for query in queries:
         query.awaitTermination()

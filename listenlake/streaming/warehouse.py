@@ -22,10 +22,11 @@ def run(
     plans: Sequence[str] = fixed.PLANS,
     max_files: int = fixed.MAX_FILES,
     fact_grain: str = "month",
+    keep: int = 2,
 ) -> list[Landed]:
     """Extract what is new, take it through bronze and silver, refresh gold, offer it to SQL.
 
-    Meant to have the application for itself: it deletes the application's scratch files at the end.
+    ``keep`` versions of every silver table stay on disk. Meant to have the application for itself: it deletes the application's scratch files at the end.
     """
     specs = list(specs)
     landed = ingest_all(spark, specs, f"{layout.root}/landing", layout.marks())
@@ -37,6 +38,7 @@ def run(
     )
     gold.refresh(star, layout.gold)
     catalog.register_gold(spark, layout.gold)
+    layer.vacuum(keep)
     # every result is in a table by now
     clear_scratch(spark)
     return landed

@@ -110,7 +110,7 @@ def test_gold_adds_up_to_the_facts(spark, warehouse):
     layout, layer = warehouse
     star = star_of(layer)
     gold.refresh(star, layout.gold)
-    stored = {name: spark.read.parquet(layout.gold(name)) for name in KPIS}
+    stored = {name: gold.read_gold(spark, layout.gold(name)) for name in KPIS}
     assert all("gold_ingest_timestamp" in df.columns for df in stored.values())
     facts = layer.facts.read().count()
     for name in KPIS:
