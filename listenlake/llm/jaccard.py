@@ -14,8 +14,8 @@ and sizes a and b differ in at most (1 - t) / (1 + t) * (a + b) shingles. Both f
 * A document of few shingles may fill fewer than D + 1 parts, all of which it gives as keys. It meets every
   document that fills enough. For two that both don't, single shingles are the keys: the first so many in
   hash order that similar sets must share one.
-* Bound. Pairs are dropped by their sizes and by the distance of sketches of about one bit a shingle
-  before any set is read, then verified on the sets.
+* Bound. Pairs are dropped by their sizes and by the distance of sketches of 1,024 bits before any set
+  is read, then verified on the sets.
 
 Documents with equal sets form a class, which is compared once. Copies that differ never meet as all
 pairs: within a key each class is first compared with two representatives; links join components;
@@ -45,7 +45,7 @@ from listenlake.operators.durable import materialise
 SHINGLE = 5
 PERCENT = 75  # similarity from which two documents link
 BAND = 4  # the largest size of a band over its smallest
-SHORT, SPARE = 256, 10  # a set gives keys of all its parts if it is short, else a tenth more than it needs
+SHORT, SPARE = 64, 10  # a set gives keys of all its parts if it is short, else a tenth more than it needs
 PER_PART = 2.2  # shingles a part holds on average at the upper end of a band
 REMEMBERED = 400_000
 
@@ -135,6 +135,9 @@ def bands(n: int, percent: int = PERCENT) -> list[int]:
     return [top, top * BAND] if 100 * n // percent > top else [top]
 
 
+KINDS = 32  # keys carry their kind in their lowest bits
+
+
 def keys_of(s: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, np.ndarray]]:
     """(kind, spare, keys): keys under which the set meets all similar ones.
 
@@ -153,21 +156,21 @@ def keys_of(s: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, np.nd
         stop = int(np.searchsorted(part, part[first[-1]], "right"))
         content = np.bitwise_xor.reduceat(s[order[:stop]], first)
         key = mixed(content + part[first].astype(np.uint64) * PLACES[0] + salted(parts, 1))
-        out.append((top, max(len(key) - need, 0), key))
+        kind = top.bit_length() // 2
+        out.append((kind, max(len(key) - need, 0), key))
         if len(key) < need:  # too few parts to promise that one stays untouched
             shared = -(-percent * n // 100)
-            out.append((-top, 0, mixed(s[: n - shared + 1] + salted(top, 2))))
-    return out
+            out.append((KINDS // 2 + kind, 0, mixed(s[: n - shared + 1] + salted(top, 2))))
+    low = np.uint64(KINDS - 1)
+    return [(kind, spare, key & ~low | np.uint64(kind)) for kind, spare, key in out]
 
 
-def sketch_of(s: np.ndarray) -> np.ndarray:
-    """Parity sketch in 64-bit words, about one bit for a shingle of the upper end of the set's band.
+SKETCH_BITS = 1024
 
-    Its length is that of the band, so sketches of neighbouring bands differ in length; the longer one
-    folds onto the shorter by exclusive or, as bits are taken from the low end of the hash.
-    """
-    bits = max(64, bands(len(s))[0])  # a power of two
-    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """Parity sketch as 64-bit words: the bit of every hash that an odd number of shingles fall on is set."""
+    odd = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
@@ -192,81 +195,87 @@ class Seen(set):
         return True
 
 
-WIDE = "doc_id long, tag long, n long, sketch array<long>, class long, key long, near long, kind int, spare int"
+WIDE = (
+    "class long, key long, near long,"
+    " doc struct<doc_id: long, tag: long, n: long, sketch: array<long>, spare: array<int>>"
+)
 
 
 def sets_and_keys(docs: DataFrame) -> DataFrame:
     """One pass over the texts that gives two kinds of rows.
 
-    A row of every document: doc_id, tag, n, sketch, class (the last two null for texts without words). And
-    members of keys: key, class, near. A task gives the keys of a class once. Of the classes that one
-    batch holds under a key, the first goes on as the batch's only row with a null ``near``; if there are several,
-    all of them come as rows with the first as ``near`` too. So a hot key sends one row a batch to
-    where all rows of the key meet.
+    A row of every document: its class and ``doc``, in which sketch and class are null for texts without
+    words and ``spare`` counts, by kind, the keys that its class may leave out. And members of keys: class,
+    key, near. A task gives the keys of a class once. Of the classes that one batch holds under a key, the
+    first goes on as the batch's only row with a null ``near``; if there are several, all of them come as rows with the
+    first as ``near`` too. So a hot key sends one row a batch to where all rows of the key meet.
     """
-    names = [x.split()[0] for x in WIDE.split(", ")]
+    names = ["class", "key", "near", "doc"]
+    fields = [
+        pa.field("doc_id", pa.int64()), pa.field("tag", pa.int64()), pa.field("n", pa.int64()),
+        pa.field("sketch", pa.list_(pa.int64())), pa.field("spare", pa.list_(pa.int32())),
+    ]
 
-    def members(key, member, kind, spare, near):
+    def members(key, member, near):
         for i in range(0, len(key), 50_000):
             at = slice(i, i + 50_000)
-            none = pa.nulls(len(key[at]), pa.int64())
-            last = none if near is None else pa.array(near[at])
-            sketch = pa.nulls(len(key[at]), pa.list_(pa.int64()))
-            found = [none, none, none, sketch, pa.array(member[at]), pa.array(key[at]), last, pa.array(kind[at]), pa.array(spare[at])]
+            last = pa.nulls(len(key[at]), pa.int64()) if near is None else pa.array(near[at])
+            found = [pa.array(member[at]), pa.array(key[at]), last, pa.nulls(len(key[at]), pa.struct(fields))]
             yield pa.RecordBatch.from_arrays(found, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in batches:
-            counts, sketches, ids, keys, given = [], [], [], [], []
+            counts, sketches, ids, spares, keys, given = [], [], [], [], [], []
             for text in batch.column(2):
                 s = shingles(text.as_py())
                 counts.append(len(s))
                 sketches.append(sketch_of(s) if len(s) else None)
                 ids.append(class_of(s) if len(s) else None)
+                found = keys_of(s) if len(s) else []
+                spare = np.zeros(KINDS, np.int32)
+                for kind, n, _ in found:
+                    spare[kind] = n
+                spares.append(spare[: KINDS // 2])
                 if len(s) and seen.new(ids[-1]):
-                    for kind, spare, found in keys_of(s):
-                        keys.append(found)
-                        given.append((len(found), ids[-1], kind, spare))
-            none, no = pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.int32())
+                    keys += [k for _, _, k in found]
+                    given += [(len(k), ids[-1]) for _, _, k in found]
             columns = [
                 batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
-                pa.array(ids, pa.int64()), none, none, no, no,
+                pa.array(spares, pa.list_(pa.int32())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            # rows of documents meet no other rows under their key
+            own = [pa.array(ids, pa.int64()), batch.column(1), pa.array([0] * len(batch), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*own, pa.StructArray.from_arrays(columns, fields=fields)], names)
             if not keys:
                 continue
             key = np.concatenate(keys)
             order = np.argsort(key)
-            row = np.repeat(np.arange(len(given)), [g[0] for g in given])[order]
-            key, member = key[order].view(np.int64), np.array([g[1] for g in given])[row]
-            kind, spare = (np.array([g[k] for g in given], np.int32)[row] for k in (2, 3))
+            key = key[order].view(np.int64)
+            member = np.repeat(np.array([c for _, c in given]), [n for n, _ in given])[order]
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             size = np.diff(np.append(start, len(key)))
             several = np.repeat(size > 1, size)
             near = np.repeat(member[start], size)[several]
-            yield from members(key[start], member[start], kind[start], spare[start], None)
-            yield from members(key[several], member[several], kind[several], spare[several], near)
+            yield from members(key[start], member[start], None)
+            yield from members(key[several], member[several], near)
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"), text_of("text").alias("text"))
     return plain.mapInArrow(run, WIDE)
 
 
 def rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, tag, n, sketch, class) per row of ``docs``; and (key, class, near, kind, spare) of all keys with several classes.
+    """(doc_id, tag, n, sketch, spare, class) per row of ``docs``; and (key, class, near) of all keys with several classes.
 
-    ``near`` is a class of the same key: the smallest that goes to where the key's rows meet, or the batch's first.
+    ``near`` is a class of the same key: the smallest of those that go to where the key's rows meet, or
+    the batch's first.
     """
-    # only rows of keys without a near need meet; the others are dealt at random
-    lot = F.coalesce("tag", F.when(F.col("near").isNotNull(), F.col("class")), F.lit(0).cast("long"))
-    wide = sets_and_keys(docs).withColumn("lot", lot)
-    meet = Window.partitionBy("key", "lot")
-    wide = wide.withColumns({"low": F.min("class").over(meet), "high": F.max("class").over(meet)})
-    kept = wide.where(F.col("n").isNotNull() | F.col("near").isNotNull() | (F.col("low") < F.col("high")))
-    kept = materialise(kept.withColumn("near", F.coalesce("near", "low")).drop("lot", "low", "high"), "rows-and-members")
-    return kept.where("n IS NOT NULL").select("doc_id", "tag", "n", "sketch", "class"), kept.where("n IS NULL").select(
-        "key", "class", "near", "kind", "spare"
-    )
+    meet = Window.partitionBy("key", "near")
+    wide = sets_and_keys(docs).withColumns({"low": F.min("class").over(meet), "high": F.max("class").over(meet)})
+    kept = wide.where(F.col("near").isNotNull() | (F.col("low") < F.col("high")))
+    kept = kept.select("class", "key", F.coalesce("near", "low").alias("near"), "doc")
+    kept = materialise(kept, "rows-and-members")
+    return kept.where("doc IS NOT NULL").select("doc.*", "class"), kept.where("doc IS NULL").select("key", "class", "near")
 
 
 FILTER_WORDS = 1 << 18  # of 64 bits: two megabytes, whatever the data
@@ -317,23 +326,12 @@ def similar(percent: int = PERCENT) -> Column:
 def may_be_similar(percent: int = PERCENT) -> Column:
     """By sizes and sketches alone, for columns n and sketch, near_n and near_sketch; false only if no link.
 
-    A sketch of the next band is four times as long and folds onto the shorter one.
+    Sketches of one length for all sets keep this a plain expression. They tell sets of up to about
+    1,800 shingles apart; larger ones that share a key go on to be verified.
     """
     c = F.col
     sizes = percent * F.greatest("n", "near_n") <= 100 * F.least("n", "near_n")
-    swap = F.size("sketch") > F.size("near_sketch")
-    short, long = F.when(swap, c("near_sketch")).otherwise(c("sketch")), F.when(swap, c("sketch")).otherwise(c("near_sketch"))
-    m = F.least(F.size("sketch"), F.size("near_sketch"))
-
-    def word(x: Column, i: Column) -> Column:
-        for k in range(BAND):
-            x = x.bitwiseXOR(F.coalesce(F.get(long, i + k * m), F.lit(0).cast("long")))
-        return F.bit_count(x)
-
-    folded = F.aggregate(F.transform(short, word), F.lit(0), lambda a, x: a + x)
-    # most pairs have short sketches of one length, for which plain expressions are much faster
-    plain = sum((F.bit_count(F.coalesce(F.get("sketch", i).bitwiseXOR(F.get("near_sketch", i)), F.lit(0).cast("long"))) for i in range(16)), F.lit(0))
-    distance = F.when((F.size("sketch") == F.size("near_sketch")) & (m <= 16), plain).otherwise(folded)
+    distance = sum((F.bit_count(c("sketch")[i].bitwiseXOR(c("near_sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     return sizes & (distance * (100 + percent) <= (100 - percent) * (c("n") + c("near_n")))
 
 
@@ -369,14 +367,18 @@ def linked_classes(docs: DataFrame, classes: DataFrame, members: DataFrame) -> D
     # keys whose classes are not all in one component yet: these classes are compared with each other
     apart = _with_sides(near.select("class", "near"), roots, ["root"]).where("root != near_root").select("class", "near")
     keys = members.join(materialise(apart, "apart"), ["class", "near"], "left_semi").select("key").distinct()
-    open_ = members.join(keys, "key", "left_semi").groupBy("key", "class").agg(F.max("kind").alias("kind"), F.max("spare").alias("spare"))
+    open_ = members.join(keys, "key", "left_semi").select("key", "class").distinct()
     open_ = materialise(open_, "open")
     # a class leaves out its most common keys, as many as it has to spare: what many texts share by the way
     often = open_.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
-    rank = F.row_number().over(Window.partitionBy("class", "kind").orderBy(F.desc("often"), "key"))
-    open_ = open_.join(often, "key").withColumn("kept", rank > F.col("spare")).select("key", "class", "kept")
-    open_ = open_.join(roots, "class").join(classes.select("class", "n", "sketch"), "class")
-    open_ = materialise(open_, "open-sets")
+    kind = F.pmod("key", F.lit(KINDS)).cast("int")
+    rank = F.row_number().over(Window.partitionBy("class", kind).orderBy(F.desc("often"), "key"))
+    ranked = open_.join(often, "key").withColumn("rank", rank).join(classes.select("class", "spare"), "class")
+    kept = F.col("rank") > F.coalesce(F.get("spare", kind), F.lit(0))
+    ranked = materialise(ranked.select("key", "class", kept.alias("kept")), "ranked")
+    # what no class of a key keeps is compared under other keys
+    open_ = ranked.join(ranked.where("kept").select("key").distinct(), "key", "left_semi").join(roots, "class")
+    open_ = materialise(open_.join(classes.select("class", "n", "sketch"), "class"), "open-sets")
     other = open_.select("key", *[F.col(c).alias("near" if c == "class" else f"near_{c}") for c in ("class", "root", "n", "sketch", "kept")])
     # of two that keep the key the larger is the class; else the one that keeps it
     once = ~F.col("near_kept") | (F.col("class") > F.col("near"))
@@ -392,7 +394,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, n, component_id) per row, and ``root`` for texts with words."""
     rows, members = rows_and_members(docs)
     classes = rows.where("n > 0").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.first("spare").alias("spare"),
     )
     classes = materialise(classes, "classes")
     roots = linked_classes(docs, classes, members)

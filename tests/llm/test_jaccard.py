@@ -67,10 +67,8 @@ def test_sketches_never_differ_in_more_bits_than_the_sets(seed, common, left, ri
     draw = random.Random(seed)
     shared = some(draw, common)
     a, b = shared | some(draw, left), shared | some(draw, right)
-    x, y = sorted((J.sketch_of(arr(a)), J.sketch_of(arr(b))), key=len)
-    if len(y) in (len(x), 4 * len(x)):
-        folded = np.bitwise_xor.reduce(y.view(np.uint64).reshape(-1, len(x)), axis=0)
-        assert int(np.bitwise_count(folded ^ x.view(np.uint64)).sum()) <= len(a ^ b)
+    x, y = J.sketch_of(arr(a)).view(np.uint64), J.sketch_of(arr(b)).view(np.uint64)
+    assert int(np.bitwise_count(x ^ y).sum()) <= len(a ^ b)
 
 
 def test_components_match_a_comparison_of_all_pairs(spark):
