@@ -135,7 +135,7 @@ EPOCH = "shard long, island int, item long, length long, bin int, offset long, f
 def _epoch(rows: DataFrame, capacity: int, epoch: int) -> DataFrame:
     """One epoch on every island. ``rows`` has own and guest bins, null in the first epoch."""
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("item", ignore_index=True)
         sizes = group["length"].tolist()
         elites = [_bins(group[c]) for c in ("own", "guest") if len(group) and group[c].notna().all()]
