@@ -104,21 +104,23 @@ def train(docs: DataFrame, labelled: DataFrame, most: int = 4000, longest: int =
     return fit(rows["_text"].to_pylist(), rows["_domain"].to_pylist())
 
 
-def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """``docs`` with ``_tokens`` and one posterior column ``_p0``, ``_p1`` … per domain, from the whole text."""
-    names, k = docs.columns, len(model.domains)
+def with_posteriors(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs``, ``_tokens``, and one posterior column ``_p0``, ``_p1`` … per domain.
+
+    Posteriors come from the whole text, which goes back to Spark only if it is to be kept.
+    """
+    k = len(model.domains)
     added = ["_tokens", *(f"_p{i}" for i in range(k))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = names.index("text")
         for batch in batches:
-            for i in range(0, len(batch), 500):
-                part = batch.slice(i, 500)
-                p, counts = posteriors(part.column(at).to_pylist(), model)
+            for i in range(0, len(batch), 200):
+                part = batch.slice(i, 200)
+                p, counts = posteriors(part.column("text").to_pylist(), model)
                 columns = [pa.array(counts, pa.int64()), *(pa.array(np.ascontiguousarray(p[:, j])) for j in range(k))]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*names, *added])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], [*keep, *added])
 
-    schema = docs.select("*", F.lit(0).cast("long").alias("_tokens"), *[F.lit(0.0).alias(c) for c in added[1:]]).schema
+    schema = docs.select(*keep, F.lit(0).cast("long").alias("_tokens"), *[F.lit(0.0).alias(c) for c in added[1:]]).schema
     return docs.mapInArrow(run, schema)
 
 
@@ -188,7 +190,7 @@ def mixing_rates(
     """
     model = train(docs, labelled, **bounds)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = materialise(with_posteriors(plain, model).drop("text"), "posteriors")
+    scored = materialise(with_posteriors(plain, model, ["doc_id"]), "posteriors")
     steps, _, _ = gradient_steps(scored, model, targets if model.weights else None, tokens, least)
     p = [F.col(f"_p{i}") for i in range(len(model.domains))]
     best = F.coalesce(*[F.when(x == (F.greatest(*p) if len(p) > 1 else p[0]), F.lit(d)) for x, d in zip(p, model.domains)])
@@ -205,10 +207,10 @@ def mixed(
     model = train(docs, labelled)
     columns = [F.col(c).alias(c if c in ("text", "doc_id") else f"_c{i}") for i, c in enumerate(docs.columns)]
     plain = docs.select(columns)
-    scored = materialise(with_posteriors(plain.select("doc_id", "text"), model).drop("text"), "posteriors")
+    scored = materialise(with_posteriors(plain.select("doc_id", "text"), model, ["doc_id"]), "posteriors")
     steps, _, _ = gradient_steps(scored, model, targets if model.weights else None, tokens, least)
     # the same model and steps give the same rates again, so the texts need not be joined to them
-    again = rated(with_posteriors(plain, model), steps, least)
+    again = rated(with_posteriors(plain, model, plain.columns), steps, least)
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     copies = again.where("_copies > 0").withColumn("_n", times)
     return copies.select(*[F.col(c if c in ("text", "doc_id") else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])

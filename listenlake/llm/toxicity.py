@@ -195,17 +195,19 @@ def train(
     return fit(list(zip(rows["_text"].to_pylist(), rows["_toxic"].to_pylist())))
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``toxic_score`` in 0 to 1, from the whole text alone; null text counts as empty."""
-    names = docs.columns
+def scores(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and ``toxic_score`` in 0 to 1, from the whole text alone.
+
+    A null text counts as empty. The text goes back to Spark only if it is to be kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = names.index("text")
         for batch in batches:
-            found = [score(x, model) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*names, "toxic_score"])
+            found = [score(x.as_py(), model) for x in batch.column("text")]
+            columns = [*(batch.column(c) for c in keep), pa.array(found, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "toxic_score"])
 
-    schema = StructType([*docs.schema.fields, StructField("toxic_score", DoubleType())])
+    schema = StructType([*docs.select(*keep).schema.fields, StructField("toxic_score", DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -217,7 +219,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
     other ones, nothing can be learnt and every row gets the share of toxic ones (0 with no labels at all).
     """
     model = train(docs, labels, **bounds)
-    found = scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    found = scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, ["doc_id"])
     return found.select(
         "doc_id", held_out().alias("held_out"), F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
@@ -228,5 +230,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFr
     """The rows of ``docs`` that score under ``limit``, with their columns."""
     model = train(docs, labels)
     columns = [F.col(c).alias(f"_{i}" if c != "text" else c) for i, c in enumerate(docs.columns)]
-    found = scores(docs.select(columns), model).where(F.col("toxic_score") < limit)
+    plain = docs.select(columns)
+    found = scores(plain, model, plain.columns).where(F.col("toxic_score") < limit)
     return found.select(*[F.col(f"_{i}" if c != "text" else c).alias(c) for i, c in enumerate(docs.columns)])
