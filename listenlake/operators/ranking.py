@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 # 2**12 neighbouring integer scores form one band
 BAND_BITS = 12
-# shuffle keys over which the rows of one score are spread when they fetch their rank
-SPREAD = 16
+# least number of shuffle keys over which the rows of one score are spread when they fetch their rank
+LEAST_SPREAD = 16
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -38,8 +38,10 @@ def rank_in_group(df: DataFrame, by: Sequence[str], score: str, name: str) -> Da
     4,096 neighbouring scores, and over bands. So no window ever holds more than one band or one
     row per band, and the group itself, which may be a third of all users, is never sorted.
     The ranks, few beside the rows, are repeated so that rows of one common score can fetch
-    theirs in several tasks.
+    theirs in several tasks, a tenth of all partitions: a score of which one task could not hold
+    the rows would have more than those.
     """
+    spread_over = max(LEAST_SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 10)
     counts = (
         df.groupBy(*by, score)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -58,8 +60,8 @@ def rank_in_group(df: DataFrame, by: Sequence[str], score: str, name: str) -> Da
         *[F.col(c).alias(f"_r_{c}") for c in [*by, score]],
         (F.col("_in_higher_bands") + F.col("_in_band_above") + 1).cast("int").alias(name),
     )
-    ranks = ranks.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int")
+    ranks = ranks.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(spread_over - 1))))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread_over)).cast("int")
     spread = df.withColumn("_salt", salt)
     on = null_safe(spread, ranks, [(c, f"_r_{c}") for c in [*by, score]])
     on &= spread["_salt"] == ranks["_copy"]

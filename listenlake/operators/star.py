@@ -20,13 +20,17 @@ class JoinSpec:
     alias: str
     cols: Sequence[str | Column]
     condition: str | Column | None = None
+    salted_on: tuple[str, str] | None = None
 
 
-def star_join(specs: Sequence[JoinSpec]) -> DataFrame:
+def star_join(specs: Sequence[JoinSpec], hot_share: float | None = None) -> DataFrame:
     """Root left-joined to every further table, columns in spec order.
 
     No broadcast hints: Spark broadcasts a table only after checking its size (statically and,
-    with adaptive execution, once more at run time) and sorts and merges otherwise.
+    with adaptive execution, once more at run time) and sorts and merges otherwise. A spec with
+    ``salted_on``, the root's column and its own that its condition sets equal, has the root's
+    frequent and missing keys dealt over all shuffle partitions first: those that hold more than
+    ``hot_share`` of the rows, by default more than the mean partition.
     """
     root, *others = specs
     if root.condition is not None or any(s.condition is None for s in others):
@@ -34,10 +38,41 @@ def star_join(specs: Sequence[JoinSpec]) -> DataFrame:
     joined = root.table.alias(root.alias)
     for spec in others:
         on = F.expr(spec.condition) if isinstance(spec.condition, str) else spec.condition
-        joined = joined.join(spec.table.alias(spec.alias), on, "left")
+        table = spec.table
+        if spec.salted_on:
+            key, own = spec.salted_on
+            share = hot_share if hot_share is not None else default_hot_share(root.table)
+            hot = hot_keys(root.table, [key], share)[key]
+            salts = int(root.table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            salt, copies = salting(F.col(f"{root.alias}.{key}"), F.col(own), hot, [F.col(f"{root.alias}.{c}") for c in root.table.columns], salts)
+            table = table.withColumn("_dim_salt", F.explode(copies))
+            on &= F.col(f"{spec.alias}._dim_salt") == salt
+        joined = joined.join(table.alias(spec.alias), on, "left")
     return joined.select(*[c for spec in specs for c in spec.cols])
 
 
+def default_hot_share(df: DataFrame) -> float:
+    """A key with more rows than the mean shuffle partition is hot; a hundred thousand keys at most are."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(1 / parts, 1e-5), 0.01)
+
+
+def salting(
+    fact_key: Column, dim_key: Column, hot: Sequence, spread_by: Sequence[str | Column], salts: int
+) -> tuple[Column, Column]:
+    """The salt of a fact row, and the salts under which a dimension row is repeated.
+
+    A missing key matches nothing wherever it goes, but all of them would go to one task.
+    """
+    spread_out, repeat = fact_key.isNull(), F.lit(False)
+    if hot:
+        spread_out |= fact_key.isin(hot)
+        repeat = dim_key.isin(hot)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    copies = F.when(repeat, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return F.when(spread_out, salt).otherwise(0), copies
+
+
 def hot_keys(df: DataFrame, cols: Sequence[str], support: float = 0.01) -> dict[str, list]:
     """Every value holding more than ``support`` of the rows, per column.
 
@@ -67,14 +102,8 @@ def left_join_salted(
     """
     hot = list(hot)
     salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a missing key matches nothing wherever it goes, but all of them would go to one task
-    spread_out, repeat = F.col(fact_key).isNull(), F.lit(False)
-    if hot:
-        spread_out |= F.col(fact_key).isin(hot)
-        repeat = F.col(dim_key).isin(hot)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = fact.withColumn("_salt", F.when(spread_out, salt).otherwise(0))
-    copies = F.when(repeat, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salt, copies = salting(F.col(fact_key), F.col(dim_key), hot, spread_by, salts)
+    salted = fact.withColumn("_salt", salt)
     repeated = dim.withColumn("_dim_salt", F.explode(copies))
     on = (salted[fact_key] == repeated[dim_key]) & (salted["_salt"] == repeated["_dim_salt"])
     return salted.join(repeated, on, "left").drop("_salt", "_dim_salt")

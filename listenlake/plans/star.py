@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from listenlake.functions import plays
 from listenlake.operators.sizes import BROADCAST_BYTES, fits_broadcast
-from listenlake.operators.star import hot_keys, left_join_salted
+from listenlake.operators.star import default_hot_share, hot_keys, left_join_salted
 
 Opener = Callable[[], DataFrame]
 
@@ -77,10 +77,7 @@ class Star:
         return self._fits[name]
 
     def _share(self) -> float:
-        if self.hot_share is not None:
-            return self.hot_share
-        parts = int(self.fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return min(max(1 / parts, 1e-5), 0.01)
+        return default_hot_share(self.fact) if self.hot_share is None else self.hot_share
 
     def hot(self, key: str) -> list:
         if key not in self._hot:

@@ -47,7 +47,7 @@ def track_clean(spark, sf_dir) -> DataFrame:
     )
 
 
-def star_join_config(spark, sf_dir) -> DataFrame:
+def _star_join(spark, sf_dir, hot_share: float | None, users=None, tracks=None) -> DataFrame:
     star = sample.star(spark, sf_dir)
     return star_join(
         [
@@ -57,17 +57,29 @@ def star_join_config(spark, sf_dir) -> DataFrame:
                 "dimuser",
                 ["dimuser.user_id", "dimuser.user_name"],
                 "dimuser.user_id = factstream.user_id",
+                users,
             ),
             JoinSpec(
                 star.track,
                 "dimtrack",
                 ["dimtrack.track_id", "dimtrack.track_name"],
                 "dimtrack.track_id = factstream.track_id",
+                tracks,
             ),
-        ]
+        ],
+        hot_share,
     )
 
 
+def star_join_config(spark, sf_dir) -> DataFrame:
+    return _star_join(spark, sf_dir, None)
+
+
+def star_join_config_salted(spark, sf_dir) -> DataFrame:
+    """The same with frequent and missing keys of both joins dealt over all partitions."""
+    return _star_join(spark, sf_dir, 0.001, ("user_id", "user_id"), ("track_id", "track_id"))
+
+
 def _kpi(build):
     return lambda spark, sf_dir: build(sample.star(spark, sf_dir))
 
@@ -116,6 +128,7 @@ QUERIES = {
     "category_mix": category_mix,
     "track_clean": track_clean,
     "star_join_config": star_join_config,
+    "star_join_config_salted": star_join_config_salted,
     "genre_subscription_kpi": _kpi(kpi.genre_subscription_kpi),
     "top_tracks_kpi": _kpi(kpi.top_tracks_kpi),
     "device_subscription_kpi": _kpi(kpi.device_subscription_kpi),
@@ -208,6 +221,9 @@ FROM part""",
     "star_join_config": _over(
         select="SELECT stream_id, listen_duration, user_id, user_name, track_id, track_name FROM base"
     ),
+    "star_join_config_salted": _over(
+        select="SELECT stream_id, listen_duration, user_id, user_name, track_id, track_name FROM base"
+    ),
     "genre_subscription_kpi": _over(_GENRE, select="SELECT * FROM genre_kpi"),
     "top_tracks_kpi": _over(_TRACKS, select="SELECT * FROM tracks_kpi"),
     "device_subscription_kpi": _over(_DEVICE, select="SELECT * FROM device_kpi"),

@@ -221,14 +221,22 @@ def cdc_scd1_track(spark, sf_dir) -> DataFrame:
 
 
 def cdc_scd1_date(spark, sf_dir) -> DataFrame:
-    """Days as they occur on order lines, many times each."""
+    """Days as they occur on order lines, many times each, in two batches that share most days."""
+    at = F.col("l_shipdate")
     events = _line_changes(spark, sf_dir).select(
         sample.date_key("l_shipdate").alias("date_key"),
-        F.to_date("l_shipdate").alias("date"),
-        F.month("l_shipdate").alias("month"),
-        F.year("l_shipdate").alias("year"),
+        F.to_date(at).alias("date"),
+        F.dayofmonth(at).alias("day"),
+        F.month(at).alias("month"),
+        F.year(at).alias("year"),
+        F.date_format(at, "E").alias("weekday"),
+        "l_linestatus",
     )
-    return cdc.apply_latest(None, events, ["date_key"], "date", ["month", "year"])
+    ties, target = ["day", "month", "year", "weekday"], None
+    for is_open in (F.col("l_linestatus") == "O", F.col("l_linestatus") != "O"):
+        batch = events.filter(is_open).drop("l_linestatus")
+        target = cdc.apply_latest(target, batch, ["date_key"], "date", ties)
+    return target
 
 
 def cdc_scd1_fact(spark, sf_dir) -> DataFrame:
@@ -343,8 +351,9 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, o_orde
     "cdc_scd1_date": """SELECT DISTINCT
        CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER)
          AS date_key,
-       CAST(l_shipdate AS DATE) AS date, CAST(month(l_shipdate) AS INTEGER) AS month,
-       CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem""",
+       CAST(l_shipdate AS DATE) AS date, CAST(day(l_shipdate) AS INTEGER) AS day,
+       CAST(month(l_shipdate) AS INTEGER) AS month, CAST(year(l_shipdate) AS INTEGER) AS year,
+       strftime(l_shipdate, '%a') AS weekday FROM lineitem""",
     "cdc_scd1_fact": f"WITH {LINES} SELECT {_FACT_COLS} FROM lines {_NEWEST_FACT}",
     "cdc_scd2_user": f"WITH {_CDC2} SELECT {_CDC2_COLS} FROM events1",
     "cdc_scd2_user_collapsed": _CDC2_COLLAPSED,
