@@ -28,6 +28,11 @@ class SourceSpec:
 
 @dataclass(frozen=True)
 class Landed:
+    """``rows`` is counted while the rows are written, so it may be too high if a task was run twice.
+
+    The mark is a maximum, which repeated tasks don't change.
+    """
+
     name: str
     rows: int
     mark: str | None
