@@ -122,13 +122,17 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size]
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """Train on (text, toxic) rows."""
+def fit(rows: list[tuple[str, int]], whole: tuple[int, int] | None = None) -> Model:
+    """Train on (text, toxic) rows, drawn from ``whole`` ordinary and toxic ones.
+
+    Where the two are drawn in other proportions than they occur, scores are set right by the odds.
+    """
     sides: list[list[Counter]] = [[], []]
     for text, toxic in rows:
         sides[toxic].append(Counter(w.strip(PUNCTUATION) for w in words_of(text)))
     ordinary, toxic = sides
-    share = len(toxic) / len(rows) if rows else 0.0
+    all_ordinary, all_toxic = whole or (len(ordinary), len(toxic))
+    share = all_toxic / max(all_ordinary + all_toxic, 1)
     segments = toxic_segments(toxic, ordinary) if toxic and ordinary else []
     if not segments:
         return Model(share=share)
@@ -149,7 +153,9 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (p - y) + ridge @ weights)
         weights -= step * min(1.0, 2 / max(np.abs(step).max(), 1e-9))
     slopes = weights[1:] / spread
-    return Model(model.ordinary, model.toxic, part, (weights[0] - slopes @ mean, *slopes), share)
+    drawn = math.log(len(toxic) / len(ordinary))
+    start = weights[0] - slopes @ mean + math.log(all_toxic / all_ordinary) - drawn
+    return Model(model.ordinary, model.toxic, part, (start, *slopes), share)
 
 
 @lru_cache(maxsize=2)
@@ -184,6 +190,7 @@ def train(
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
     known = known.where(F.col("_toxic").isin(0, 1) & F.col("_id").isNotNull() & ~held_out("_id"))
     known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
+    found = dict(known.groupBy("_toxic").count().collect())  # two rows at most
     drawn = [
         known.where(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
         for y, n in ((1, most_toxic), (0, most_ordinary))
@@ -192,7 +199,7 @@ def train(
     texts = docs.join(F.broadcast(drawn[0].unionByName(drawn[1])), docs.doc_id.cast("long") == F.col("_id"))
     texts = texts.where(F.length(text_of("text")) <= longest).dropDuplicates(["_id"])
     rows = texts.select("_id", text_of("text").alias("_text"), "_toxic").toArrow().sort_by("_id")
-    return fit(list(zip(rows["_text"].to_pylist(), rows["_toxic"].to_pylist())))
+    return fit(list(zip(rows["_text"].to_pylist(), rows["_toxic"].to_pylist())), (found.get(0, 0), found.get(1, 0)))
 
 
 def scores(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
