@@ -168,12 +168,17 @@ def keys_of(s: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, np.nd
 SKETCH_BITS = 1024
 
 
-def sketch_of(s: np.ndarray) -> np.ndarray:
+def sketch_of(s: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     """Parity sketch as 64-bit words: the bit of every hash that an odd number of shingles fall on is set."""
-    odd = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
+def wide_sketch_of(s: np.ndarray) -> np.ndarray | None:
+    """A sketch with a bit a shingle at least, for sets that are too large for the short one."""
+    return sketch_of(s, 1 << (len(s) - 1).bit_length()) if len(s) > SKETCH_BITS else None
+
+
 def class_of(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
@@ -197,7 +202,7 @@ class Seen(set):
 
 WIDE = (
     "class long, key long, near long,"
-    " doc struct<doc_id: long, tag: long, n: long, sketch: array<long>, spare: array<int>>"
+    " doc struct<doc_id: long, tag: long, n: long, sketch: array<long>, spare: array<int>, wide: array<long>>"
 )
 
 
@@ -214,6 +219,7 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
     fields = [
         pa.field("doc_id", pa.int64()), pa.field("tag", pa.int64()), pa.field("n", pa.int64()),
         pa.field("sketch", pa.list_(pa.int64())), pa.field("spare", pa.list_(pa.int32())),
+        pa.field("wide", pa.list_(pa.int64())),
     ]
 
     def members(key, member, near):
@@ -226,11 +232,12 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in batches:
-            counts, sketches, ids, spares, keys, given = [], [], [], [], [], []
+            counts, sketches, ids, spares, wides, keys, given = [], [], [], [], [], [], []
             for text in batch.column(2):
                 s = shingles(text.as_py())
                 counts.append(len(s))
                 sketches.append(sketch_of(s) if len(s) else None)
+                wides.append(wide_sketch_of(s))
                 ids.append(class_of(s) if len(s) else None)
                 found = keys_of(s) if len(s) else []
                 spare = np.zeros(KINDS, np.int32)
@@ -242,7 +249,7 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
                     given += [(len(k), ids[-1]) for _, _, k in found]
             columns = [
                 batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
-                pa.array(spares, pa.list_(pa.int32())),
+                pa.array(spares, pa.list_(pa.int32())), pa.array(wides, pa.list_(pa.int64())),
             ]
             # rows of documents meet no other rows under their key
             own = [pa.array(ids, pa.int64()), batch.column(1), pa.array([0] * len(batch), pa.int64())]
@@ -265,7 +272,7 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
 
 
 def rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, tag, n, sketch, spare, class) per row of ``docs``; and (key, class, near) of all keys with several classes.
+    """(doc_id, tag, n, sketch, spare, wide, class) per row of ``docs``; and (key, class, near) of all keys with several classes.
 
     ``near`` is a class of the same key: the smallest of those that go to where the key's rows meet, or
     the batch's first.
@@ -326,8 +333,8 @@ def similar(percent: int = PERCENT) -> Column:
 def may_be_similar(percent: int = PERCENT) -> Column:
     """By sizes and sketches alone, for columns n and sketch, near_n and near_sketch; false only if no link.
 
-    Sketches of one length for all sets keep this a plain expression. They tell sets of up to about
-    1,800 shingles apart; larger ones that share a key go on to be verified.
+    Sketches of one length for all sets keep this a plain expression, quick enough for a join. They tell
+    sets of up to about 1,800 shingles apart; ``wide_may_be_similar`` does so for larger ones.
     """
     c = F.col
     sizes = percent * F.greatest("n", "near_n") <= 100 * F.least("n", "near_n")
@@ -335,6 +342,20 @@ def may_be_similar(percent: int = PERCENT) -> Column:
     return sizes & (distance * (100 + percent) <= (100 - percent) * (c("n") + c("near_n")))
 
 
+def wide_may_be_similar(percent: int = PERCENT) -> Column:
+    """The same by the wide sketches of large sets. One of twice the length folds onto the shorter one."""
+    m = F.least(F.size("wide"), F.size("near_wide"))
+
+    def folded(name: str) -> Column:
+        upper = F.slice(name, m + 1, m)
+        return F.when(F.size(name) > m, F.zip_with(F.slice(name, 1, m), upper, lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(name))
+
+    bits = F.zip_with(folded("wide"), folded("near_wide"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    distance = F.aggregate(bits, F.lit(0), lambda a, x: a + x)
+    near = distance * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("near_n"))
+    return F.col("wide").isNull() | F.col("near_wide").isNull() | near
+
+
 def _with_sides(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs (class, near) with the given columns of both."""
     near = table.select(F.col("class").alias("near"), *[F.col(c).alias(f"near_{c}") for c in columns])
@@ -360,7 +381,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, members: DataFrame) -> D
     near = members.where(F.col("class") != F.col("near")).groupBy("class", "near").agg(F.count(F.lit(1)).alias("shared"))
     near = materialise(near, "near")
     # first one link for each class, with the representative that it shares most keys with
-    able = materialise(_with_sides(near, classes, ["n", "sketch"]).where(may_be_similar()).select("class", "near", "shared"), "able")
+    able = _with_sides(near, classes, ["n", "sketch", "wide"]).where(may_be_similar()).where(wide_may_be_similar())
+    able = materialise(able.select("class", "near", "shared"), "able")
     best = able.groupBy("class").agg(F.max(F.struct("shared", "near")).alias("best")).select("class", F.col("best.near").alias("near"))
     links = verified(docs, materialise(best, "best"))
     roots = _components(links, classes)
@@ -384,7 +406,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, members: DataFrame) -> D
     once = ~F.col("near_kept") | (F.col("class") > F.col("near"))
     pairs = open_.where("kept").join(other, (open_.key == other.key) & once & (F.col("root") != F.col("near_root")) & may_be_similar())
     pairs = pairs.select(F.greatest("class", "near").alias("class"), F.least("class", "near").alias("near")).distinct()
-    left = materialise(pairs, "left")
+    left = _with_sides(pairs, classes, ["n", "wide"]).where(wide_may_be_similar()).select("class", "near")
+    left = materialise(left, "left")
     if left.isEmpty():
         return roots
     return _components(links.unionByName(verified(docs, left)), classes)
@@ -395,7 +418,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     rows, members = rows_and_members(docs)
     classes = rows.where("n > 0").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        F.first("spare").alias("spare"),
+        F.first("spare").alias("spare"), F.first("wide").alias("wide"),
     )
     classes = materialise(classes, "classes")
     roots = linked_classes(docs, classes, members)

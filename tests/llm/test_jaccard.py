@@ -71,6 +71,17 @@ def test_sketches_never_differ_in_more_bits_than_the_sets(seed, common, left, ri
     assert int(np.bitwise_count(x ^ y).sum()) <= len(a ^ b)
 
 
+def test_wide_sketches_fold(spark):
+    draw = random.Random(8)
+    shared = some(draw, 2000)
+    sets = [shared | some(draw, n) for n in (10, 60, 300)] + [some(draw, 2040), some(draw, 1100)]
+    data = [(i, len(s), J.wide_sketch_of(arr(s)).tolist()) for i, s in enumerate(sets)]
+    one = spark.createDataFrame(data, "i int, n long, wide array<long>")
+    two = one.selectExpr("i AS j", "n AS near_n", "wide AS near_wide")
+    found = {(r.i, r.j) for r in one.join(two, one.i < two.j).where(J.wide_may_be_similar()).collect()}
+    assert found == {(0, 1), (0, 2), (1, 2)}
+
+
 def test_components_match_a_comparison_of_all_pairs(spark):
     texts = near_copies() + awkward() + [(900, "a b c d"), (901, "A  b C d"), (902, "a b c"), (903, "a b c d e")]
     found = J.near_groups(spark.createDataFrame(rows(texts), SCHEMA).repartition(5))
