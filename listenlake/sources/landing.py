@@ -88,16 +88,16 @@ def remember(store: StateLog, found: StructType) -> StructType:
     return schema
 
 
-def files_with_all_columns(batch: DataFrame, store: StateLog) -> DataFrame:
+def files_with_all_columns(batch: DataFrame, store: StateLog) -> DataFrame | None:
     """The rows of the files that a micro-batch was read from, read anew with every column they have.
 
     The stream's schema was fixed when it began; these files may have come later and hold more. The
-    list of files is bounded by ``max_files``.
+    list of files is bounded by ``max_files``. None if the files have no rows.
     """
     spark = batch.sparkSession
     files = [row[0] for row in batch.select("input_file_path").distinct().collect()]
     if not files:
-        return spark.createDataFrame([], stored_schema(store))
+        return None
     found = spark.read.option("mergeSchema", "true").parquet(*files).schema
     return spark.read.schema(remember(store, found)).parquet(*files)
 

@@ -32,7 +32,10 @@ def write_bronze(df: DataFrame, path: str, checkpoint: str, store: StateLog | No
         if fs.exists(spark, target):
             return
         staged = f"{path}/_staged/{name}-{batch_id}"
-        add_bronze_audit(files_with_all_columns(batch, store)).write.mode("overwrite").parquet(staged)
+        rows = files_with_all_columns(batch, store)
+        # an empty batch is written too, so that the table is there to be read
+        found = batch if rows is None else add_bronze_audit(rows)
+        found.write.mode("overwrite").parquet(staged)
         fs.rename(spark, staged, target)
 
     return writer.foreachBatch(write).start()

@@ -168,3 +168,12 @@ def test_a_failed_refresh_leaves_the_table_readable(spark, root):
     assert [r.id for r in gold.read_gold(spark, root).collect()] == [1]
     gold.write_gold(good.withColumn("id", F.lit(2).cast("long")), root, "year")
     assert [r.id for r in gold.read_gold(spark, root).collect()] == [2]
+
+
+def test_a_batch_without_rows_still_makes_a_table(spark, root):
+    layout = Layout(root)
+    land(spark, [], "id long", layout.landing("t"))
+    run_bronze(spark, layout, ["t"])
+    land(spark, [(1,)], "id long", layout.landing("t"))
+    run_bronze(spark, layout, ["t"])
+    assert [r.id for r in spark.read.parquet(layout.bronze("t")).collect()] == [1]
