@@ -386,6 +386,13 @@ def linked_classes(docs: DataFrame, classes: DataFrame, members: DataFrame) -> D
     best = able.groupBy("class").agg(F.max(F.struct("shared", "near")).alias("best")).select("class", F.col("best.near").alias("near"))
     links = verified(docs, materialise(best, "best"))
     roots = _components(links, classes)
+    # then the other representatives, where they may join components: pieces of one group become one here,
+    # so that its members needn't be compared with each other below
+    more = _with_sides(able.select("class", "near"), roots, ["root"]).where("root != near_root").select("class", "near")
+    more = materialise(more.distinct(), "more")
+    if not more.isEmpty():
+        links = links.unionByName(verified(docs, more))
+        roots = _components(links, classes)
     # keys whose classes are not all in one component yet: these classes are compared with each other
     apart = _with_sides(near.select("class", "near"), roots, ["root"]).where("root != near_root").select("class", "near")
     keys = members.join(materialise(apart, "apart"), ["class", "near"], "left_semi").select("key").distinct()
