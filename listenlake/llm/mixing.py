@@ -5,11 +5,12 @@ say how often each document is to be taken: nonnegative numbers r such that the
 each domain, the sum of r * tokens * posterior, match targets in the sense of least squares. They are
 found by projected gradient. One step needs one pass that adds up a total per domain; the rate of a
 document then follows from its own posterior. With errors weighted by the inverse of
-G = sum of tokens * p p' and rates by tokens, a step of one is the right length whatever the data.
+G = sum of tokens * p p' over the rows whose rate can move, and rates by tokens, few steps reach the targets.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -24,7 +25,7 @@ from listenlake.operators.durable import materialise
 
 TRIGRAMS, SHAPES = 2048, 6
 MOST_DOMAINS = 64
-STEPS, REWRITE = 24, 8
+STEPS, SLACK = 200, 1e-9
 
 
 @dataclass(frozen=True)
@@ -124,55 +125,99 @@ def with_posteriors(docs: DataFrame, model: Classifier, keep: list[str]) -> Data
     return docs.mapInArrow(run, schema)
 
 
-def _step(rate: Column, g: list[float], least: float) -> Column:
-    pull = sum((F.col(f"_p{i}") * F.lit(x) for i, x in enumerate(g)), F.lit(0.0))
-    return F.greatest(F.lit(float(least)), rate - pull)
+def _raw(pull: list[float]) -> Column:
+    """The rate before it is held at its floor."""
+    return F.lit(1.0) - sum((F.col(f"_p{i}") * F.lit(float(x)) for i, x in enumerate(pull)), F.lit(0.0))
 
 
-def gradient_steps(
+@dataclass(frozen=True)
+class Fit:
+    """``rate = max(least, 1 - pull * posterior)``; and targets and totals by domain."""
+
+    pull: list[float]
+    target: list[float]
+    totals: list[float]
+    met: bool
+    passes: int
+
+
+def fitted(
     scored: DataFrame, model: Classifier, targets: dict[str, float] | None, tokens: float | None, least: float, tolerance: float = 1e-4
-) -> tuple[list[list[float]], list[float], list[float]]:
-    """Steps that lead from a rate of 1 for all to the fitted rates; and targets and totals by domain.
+) -> Fit:
+    """Of all rates that meet the targets those that are nearest to 1, in squares weighed by tokens.
 
     ``targets`` weighs the domains, alike if not given; a domain that isn't named gets nothing. ``tokens`` is the
-    sum of the targets, by default that of the documents. Only numbers per domain reach the driver.
+    sum of the targets, by default that of the documents. Only numbers per domain reach the driver. Steps end
+    when the targets are met or no step leads nearer to them, of which a warning tells; if neither is so after
+    ``STEPS`` passes, an error is raised.
     """
     k = len(model.domains)
-    p = [F.col(f"_p{i}") for i in range(k)]
-    moments = [F.sum(F.col("_tokens") * p[i] * p[j]) for i in range(k) for j in range(i, k)]
-    total, *upper = scored.agg(F.sum("_tokens"), *moments).first()
+    total = scored.agg(F.sum("_tokens")).first()[0]
     if not total:
-        return [], [0.0] * k, [0.0] * k
-    gram = np.zeros((k, k))
-    gram[np.triu_indices(k)] = upper
-    gram = np.maximum(gram, gram.T)
-    weigh = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+        return Fit([0.0] * k, [0.0] * k, [0.0] * k, True, 0)
     share = np.array([1.0 if targets is None else float(targets.get(d, 0.0)) for d in model.domains])
     if share.sum() <= 0 or (share < 0).any():
         raise ValueError("targets need a positive sum over the domains and no negative weight")
-    target = share / share.sum() * float(tokens or total)
-    state, steps, rate = scored.withColumn("_rate", F.lit(1.0)), [], None
-    for turn in range(STEPS):
-        totals = np.array(state.agg(*[F.sum(F.col("_rate") * F.col("_tokens") * x) for x in p]).first(), float)
-        if np.abs(totals - target).sum() <= tolerance * target.sum() or (rate is not None and np.abs(totals - rate).sum() <= 1e-6 * total):
-            break
-        rate = totals
-        g = (weigh @ (totals - target)).tolist()
-        steps.append(g)
-        state = state.withColumn("_rate", _step(F.col("_rate"), g, least))
-        if (turn + 1) % REWRITE == 0:  # keeps expressions short
-            state = materialise(state, "rates")
-    return steps, target.tolist(), totals.tolist()
+    share = share / share.sum()
+    found = _descended(scored, total, float(tokens or total) / total * share, np.eye(k), least, tolerance)
+    if not found.met:
+        named = ", ".join(f"{d} {x:.0f} of {y:.0f}" for d, x, y in zip(model.domains, found.totals, found.target))
+        warnings.warn(f"no rates of at least {least:g} meet the targets; tokens by domain: {named}", stacklevel=2)
+    return found
+
 
+def _descended(scored: DataFrame, total: float, target: np.ndarray, basis: np.ndarray, least: float, tolerance: float) -> Fit:
+    """Projected gradient with steps added up before they are projected, so a rate stays one expression.
 
-def rated(scored: DataFrame, steps: list[list[float]], least: float) -> DataFrame:
+    ``target`` is in units of ``total``, and the errors that count are those along the columns of ``basis``. A step's
+    metric is G over the rows that are not held at the floor. It is shortened until the objective falls as
+    it should, which makes the descent end.
+    """
+    k = len(target)
+    p, unit = [F.col(f"_p{i}") for i in range(k)], F.col("_tokens") / F.lit(float(total))
+
+    def at(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        free, rate = F.col("_raw") >= least, F.greatest(F.lit(float(least)), F.col("_raw"))
+        cost = F.when(free, F.col("_raw") * F.col("_raw") / 2).otherwise(F.col("_raw") * least - least * least / 2)
+        rows = scored.withColumn("_raw", _raw((basis @ y).tolist()))
+        rows = rows.select(*p, (unit * cost).alias("_cost"), (unit * rate).alias("_taken"), F.when(free, unit).otherwise(0.0).alias("_free"))
+        moments = [F.sum(F.col("_free") * p[i] * p[j]) for i in range(k) for j in range(i, k)]
+        value, *sums = rows.agg(F.sum("_cost"), *[F.sum(F.col("_taken") * x) for x in p], *moments).first()
+        totals, gram = np.array(sums[:k], float), np.zeros((k, k))
+        gram[np.triu_indices(k)] = sums[k:]
+        return value, totals, basis.T @ np.maximum(gram, gram.T) @ basis, basis.T @ (totals - target)
+
+    y, passes = np.zeros(basis.shape[1]), 1
+    value, totals, gram, error = at(y)
+    slack = SLACK * gram  # at the start all rows are free
+    while True:
+        met = np.abs(error).sum() <= tolerance * totals.sum()
+        gradient = slack @ y - error
+        step = -np.linalg.pinv(gram + slack, rcond=1e-12, hermitian=True) @ gradient
+        slope = float(gradient @ step)
+        if met or -slope <= 1e-12 * max(1.0, abs(value)):
+            break
+        length = 1.0
+        while passes < STEPS:
+            near = y + length * step
+            found, passes = at(near), passes + 1
+            now = found[0] + (basis @ near) @ target + near @ slack @ near / 2
+            if now <= value + 1e-4 * length * slope:
+                break
+            bend = -slope * length * length / (2 * (now - value - slope * length))
+            length = max(0.1 * length, min(0.5 * length, bend))
+        else:
+            raise RuntimeError(f"rates have not settled after {passes} passes; errors by domain: {(basis @ error * total).tolist()}")
+        y, value, (_, totals, gram, error) = near, now, found
+    return Fit((basis @ y).tolist(), (target * total).tolist(), (totals * total).tolist(), bool(met), passes)
+
+
+def rated(scored: DataFrame, rates: Fit, least: float) -> DataFrame:
     """``scored`` with ``_rate`` and ``_copies``: the rate rounded up with the probability of its fraction.
 
     The chance is a hash of id and length, so it is the same in every run.
     """
-    out = scored.withColumn("_rate", F.lit(1.0))
-    for g in steps:
-        out = out.withColumn("_rate", _step(F.col("_rate"), g, least))
+    out = scored.withColumn("_rate", F.greatest(F.lit(float(least)), _raw(rates.pull)))
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "_tokens"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     return out.withColumn("_copies", F.floor(F.col("_rate") + chance))
 
@@ -191,10 +236,10 @@ def mixing_rates(
     model = train(docs, labelled, **bounds)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = materialise(with_posteriors(plain, model, ["doc_id"]), "posteriors")
-    steps, _, _ = gradient_steps(scored, model, targets if model.weights else None, tokens, least)
+    rates = fitted(scored, model, targets if model.weights else None, tokens, least)
     p = [F.col(f"_p{i}") for i in range(len(model.domains))]
     best = F.coalesce(*[F.when(x == (F.greatest(*p) if len(p) > 1 else p[0]), F.lit(d)) for x, d in zip(p, model.domains)])
-    return rated(scored, steps, least).select(
+    return rated(scored, rates, least).select(
         "doc_id", F.col("_tokens").alias("n_tokens"), best.alias("domain"), F.array(*p).alias("posterior"),
         F.col("_rate").alias("rate"), F.col("_copies").alias("copies"),
     )
@@ -208,9 +253,9 @@ def mixed(
     columns = [F.col(c).alias(c if c in ("text", "doc_id") else f"_c{i}") for i, c in enumerate(docs.columns)]
     plain = docs.select(columns)
     scored = materialise(with_posteriors(plain.select("doc_id", "text"), model, ["doc_id"]), "posteriors")
-    steps, _, _ = gradient_steps(scored, model, targets if model.weights else None, tokens, least)
-    # the same model and steps give the same rates again, so the texts need not be joined to them
-    again = rated(with_posteriors(plain, model, plain.columns), steps, least)
+    rates = fitted(scored, model, targets if model.weights else None, tokens, least)
+    # the same model and pull give the same rates again, so the texts need not be joined to them
+    again = rated(with_posteriors(plain, model, plain.columns), rates, least)
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     copies = again.where("_copies > 0").withColumn("_n", times)
     return copies.select(*[F.col(c if c in ("text", "doc_id") else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from fixtures import SCHEMA, awkward, rows
 
 from listenlake.llm import html as H
@@ -184,6 +185,25 @@ def test_mixing_meets_its_targets(spark):
     assert out.columns == docs.columns and set(times) == set(range(300)) and max(times.values()) > 1
 
 
+def soft_domains(spark, alpha, n=4000):
+    draw = np.random.default_rng(5)
+    rows = [(i, int(t), float(q), float(1 - q)) for i, (t, q) in enumerate(zip(draw.integers(20, 500, n), draw.beta(alpha, alpha, n)))]
+    return spark.createDataFrame(rows, "doc_id long, _tokens long, _p0 double, _p1 double").cache()
+
+
+def test_overlapping_domains_meet_their_targets(spark):
+    model = M.Classifier(("a", "b"), b"x")
+    for alpha, part in ((2, 0.85), (5, 0.8)):
+        scored = soft_domains(spark, alpha)
+        found = M.fitted(scored, model, {"a": part, "b": 1 - part}, None, 0.0)
+        rows = M.rated(scored, found, 0.0).collect()
+        totals = np.array([sum(r._rate * r._tokens * r[c] for r in rows) for c in ("_p0", "_p1")]) / sum(r._tokens for r in rows)
+        assert found.met and np.allclose(totals, [part, 1 - part], atol=1e-3) and min(r._rate for r in rows) == 0
+    with pytest.warns(UserWarning, match="meet the targets"):  # no document is of one domain alone
+        found = M.fitted(soft_domains(spark, 50), model, {"a": 1.0}, None, 0.0)
+    assert not found.met and found.totals[0] > 2 * found.totals[1]
+
+
 def test_mixing_awkward_rows(spark):
     docs = spark.createDataFrame(rows(awkward()), SCHEMA)
     none = spark.createDataFrame([], "doc_id long, domain string")
