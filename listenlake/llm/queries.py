@@ -60,9 +60,9 @@ MIX = {
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, domain) of labelled documents: language and quality class."""
+    """(doc_id, domain) of labelled documents: language and quality class; null if either is missing."""
     known = labels.select("doc_id", "quality")
-    return docs.select("doc_id", "lang").join(known, "doc_id").select("doc_id", F.concat_ws("/", "lang", "quality").alias("domain"))
+    return docs.select("doc_id", "lang").join(known, "doc_id").select("doc_id", F.concat("lang", F.lit("/"), "quality").alias("domain"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,11 +9,13 @@ from collections import Counter
 import numpy as np
 import pytest
 from fixtures import SCHEMA, awkward, rows
+from pyspark.sql import functions as F
 
 from listenlake.llm import html as H
 from listenlake.llm import mixing as M
 from listenlake.llm import secrets as S
 from listenlake.llm import toxicity as T
+from listenlake.llm.queries import labelled_domains
 
 MID = "/root/testdata/sf0.01"
 
@@ -213,3 +215,11 @@ def test_mixing_awkward_rows(spark):
     assert len(found) == docs.count() and all(np.isfinite(r.rate) and r.rate >= 0 for r in found)
     assert M.mixing_rates(docs.limit(0), odd).count() == 0
     assert M.mixed(docs, odd).columns == docs.columns
+
+
+def test_labels_without_language_or_quality_are_no_domain(spark):
+    docs = spark.createDataFrame([(1, "en"), (2, None), (3, "de")], "doc_id long, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, None)], "doc_id long, quality int")
+    assert {r.doc_id: r.domain for r in labelled_domains(docs, labels).collect()} == {1: "en/1", 2: None, 3: None}
+    text = docs.withColumn("text", F.lit("some words"))
+    assert M.train(text, labelled_domains(docs, labels)).domains == ("en/1",)
