@@ -34,7 +34,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say, and once at least: none is lost to the mix."""
+    """Documents as often as their rates say, and once at least: scarce domains are repeated until the mix is met."""
     known = queries.labelled_domains(docs, table(spark, sf_dir, "labels"))
     return mixed(docs, known, queries.MIX, least=1.0)
 

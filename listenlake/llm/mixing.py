@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -147,22 +147,34 @@ def fitted(
     """Of all rates that meet the targets those that are nearest to 1, in squares weighed by tokens.
 
     ``targets`` weighs the domains, alike if not given; a domain that isn't named gets nothing. ``tokens`` is the
-    sum of the targets, by default that of the documents. Only numbers per domain reach the driver. Steps end
-    when the targets are met or no step leads nearer to them, of which a warning tells; if neither is so after
-    ``STEPS`` passes, an error is raised.
+    sum of the targets, by default that of the documents. With a floor and no ``tokens``, the sum grows as far as it must for
+    rates above the floor to meet the weights, and a domain that isn't named keeps what it has. Only numbers per
+    domain reach the driver. Steps end when the targets are met or no step leads nearer to them, of which a
+    warning tells; if neither is so after ``STEPS`` passes, an error is raised.
     """
     k = len(model.domains)
-    total = scored.agg(F.sum("_tokens")).first()[0]
+    sums = scored.agg(F.sum("_tokens"), *[F.sum(F.col("_tokens") * F.col(f"_p{i}")) for i in range(k)]).first()
+    total, own = sums[0], np.array(sums[1:], float)
     if not total:
         return Fit([0.0] * k, [0.0] * k, [0.0] * k, True, 0)
     share = np.array([1.0 if targets is None else float(targets.get(d, 0.0)) for d in model.domains])
     if share.sum() <= 0 or (share < 0).any():
         raise ValueError("targets need a positive sum over the domains and no negative weight")
-    share = share / share.sum()
-    found = _descended(scored, total, float(tokens or total) / total * share, np.eye(k), least, tolerance)
+    share, named = share / share.sum(), np.flatnonzero(share)
+    if least and tokens is None:
+        # errors count across the direction of the weights only, so that the sum is free
+        across = np.zeros((k, len(named) - 1))
+        across[named] = np.linalg.svd(share[named][None])[2][1:].T
+        found = _descended(scored, total, np.zeros(k), across, least, tolerance) if len(named) > 1 else Fit([0.0] * k, [], own.tolist(), True, 0)
+        if found.met:
+            totals = np.array(found.totals)
+            return replace(found, target=np.where(share > 0, share * totals[named].sum(), totals).tolist())
+        tokens = max(total, least * (own[named] / share[named]).max())
+    target = float(tokens or total) / total * share
+    found = _descended(scored, total, target, np.eye(k), least, tolerance)
     if not found.met:
-        named = ", ".join(f"{d} {x:.0f} of {y:.0f}" for d, x, y in zip(model.domains, found.totals, found.target))
-        warnings.warn(f"no rates of at least {least:g} meet the targets; tokens by domain: {named}", stacklevel=2)
+        listed = ", ".join(f"{d} {x:.0f} of {y:.0f}" for d, x, y in zip(model.domains, found.totals, found.target))
+        warnings.warn(f"no rates of at least {least:g} meet the targets; tokens by domain: {listed}", stacklevel=2)
     return found
 
 

@@ -15,7 +15,7 @@ from listenlake.llm import html as H
 from listenlake.llm import mixing as M
 from listenlake.llm import secrets as S
 from listenlake.llm import toxicity as T
-from listenlake.llm.queries import labelled_domains
+from listenlake.llm.queries import MIX, labelled_domains
 
 MID = "/root/testdata/sf0.01"
 
@@ -206,6 +206,34 @@ def test_overlapping_domains_meet_their_targets(spark):
     assert not found.met and found.totals[0] > 2 * found.totals[1]
 
 
+def test_the_total_grows_where_every_document_is_kept(spark):
+    model, scored = M.Classifier(("a", "b"), b"x"), soft_domains(spark, 2)
+    found = M.fitted(scored, model, {"a": 0.8, "b": 0.2}, None, 1.0)
+    rows = M.rated(scored, found, 1.0).collect()
+    taken = np.array([sum(r._rate * r._tokens * r[c] for r in rows) for c in ("_p0", "_p1")])
+    assert found.met and np.allclose(taken / taken.sum(), [0.8, 0.2], atol=1e-3) and min(r._rate for r in rows) == 1
+    assert taken.sum() > 2 * sum(r._tokens for r in rows)  # half of them are b's
+
+
+def test_the_mixing_stage_meets_its_mix(spark):
+    import corpus_pipeline
+
+    docs, seen = spark.read.parquet(f"{MID}/documents.parquet"), []
+    real = M.fitted
+    M.fitted = lambda *a, **b: seen.append(real(*a, **b)) or seen[-1]
+    try:
+        out = corpus_pipeline.mixing(spark, docs, MID)
+    finally:
+        M.fitted = real
+    (found,) = seen
+    domains = M.train(docs, labelled_domains(docs, spark.read.parquet(f"{MID}/labels.parquet"))).domains
+    assert set(domains) == set(MIX)
+    totals = np.array(found.totals)
+    assert np.allclose(totals / totals.sum(), [MIX[d] for d in domains], atol=1e-3)
+    words = F.sum(F.size(F.split(F.trim("text"), r"\s+")))
+    assert abs(out.agg(words).first()[0] / totals.sum() - 1) < 0.05  # whole copies give the same total
+
+
 def test_mixing_awkward_rows(spark):
     docs = spark.createDataFrame(rows(awkward()), SCHEMA)
     none = spark.createDataFrame([], "doc_id long, domain string")
