@@ -20,6 +20,7 @@ from listenlake.operators.keys import hash_sk
 from listenlake.operators.quarantine import to_quarantine, write_quarantine
 from listenlake.operators.rules import (
     REASON,
+    VALID,
     Rule,
     apply_rules,
     count_measures,
@@ -158,6 +159,7 @@ def apply_user_history_batch(
     batch: DataFrame,
     batch_id: int,
     table: SnapshotTable,
+    quarantine: str,
     rules: Sequence[Rule] = quality.user_rules(),
     stream: str | None = None,
 ) -> None:
@@ -165,12 +167,14 @@ def apply_user_history_batch(
 
     The result does not depend on how events are cut into batches. Users are stored by a hash of
     their id, so a batch reads and rewrites only the buckets of its users; the list of these is
-    bounded by their number.
+    bounded by their number. Events that have no time only are logged as rows of ``DimUserHistory``;
+    those that break the other rules are logged as rows of ``DimUser``.
     """
     head = table.head()
     if table.applied(head, batch_id, stream):
         return
-    valid = split_valid(apply_rules(batch, (*rules, quality.USER_SEQUENCE_RULE)))[0]
+    known_good = split_valid(apply_rules(batch, rules))[0].drop(VALID, REASON)
+    valid, _ = _valid_rows(known_good, batch_id, "DimUserHistory", "user_id", (quality.USER_SEQUENCE_RULE,), quarantine)
     names = [f.name for f in table.schema if f.name not in (START_AT, END_AT, OPENS)]
     events = add_silver_audit(valid).select(*names)
     bucket = F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).cast("string")

@@ -67,7 +67,7 @@ class SilverLayer:
                 guard="updated_at" if sequenced else None,
             ),
             "DimUserHistory": partial(
-                silver.apply_user_history_batch, table=self.user_history, rules=quality.user_rules(plans)
+                silver.apply_user_history_batch, table=self.user_history, quarantine=log, rules=quality.user_rules(plans)
             ),
             "FactStream": partial(
                 silver.apply_fact_batch, facts=self.facts, quarantine=log, grain=fact_grain, sequenced=sequenced

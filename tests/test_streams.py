@@ -154,3 +154,21 @@ def test_one_run_takes_sources_to_sql_views(spark, tmp_path):
     again = warehouse_run.run(spark, layout, specs, plans=PLANS)
     assert [step.rows for step in again] == [0] * len(specs)
     assert spark.sql("SELECT count(*) AS n FROM factstream").first().n == facts
+
+
+def test_user_events_without_a_time_are_logged(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    rows = [(1, "Long name 1", None), (2, "Long name 2", "2024-01-02 00:00:00"), (None, "Long name 3", None)]
+    events = spark.createDataFrame(rows, "user_id long, user_name string, at string").select(
+        "user_id", "user_name", F.lit("DE").alias("country"), F.lit("Free").alias("subscription_type"),
+        F.lit("2024-01-01").cast("date").alias("start_date"), F.col("at").cast("timestamp").alias("updated_at"),
+    )
+    events.write.parquet(layout.landing("DimUser"))
+    run_bronze(spark, layout, ["DimUser"])
+    layer = SilverLayer(spark, layout)
+    layer.run(["DimUser", "DimUserHistory"])
+    assert [r.user_id for r in layer.user_history.read().collect()] == [2]
+    log = spark.read.parquet(layout.quarantine()).collect()
+    assert sorted((r.source_table, r.natural_key, r.dq_fail_reason) for r in log) == [
+        ("DimUser", None, "Missing user_id"), ("DimUserHistory", "1", "Missing updated_at"),
+    ]
