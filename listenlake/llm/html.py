@@ -51,6 +51,7 @@ PIECE = re.compile(r"[a-z]+")
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
 SECTION = frozenset("nav header footer aside form article main section".split())
 BITS, TURNS = 14, 2
+SAYS, LEAST_WORDS = r"(?i)<(article|main)[\s/>]", 8
 
 
 @dataclass
@@ -376,18 +377,32 @@ def labels_by_markup(page: Page) -> list[int] | None:
     return out
 
 
+def not_beside(page: Page) -> list[bool]:
+    """Whether a node lies in no element that is named or made for what stands beside an article."""
+    beside, out = {w for names in BESIDE.values() for w in names}, []
+    for i, tag in enumerate(page.tags):
+        p = page.parents[i]
+        out.append((p < 0 or out[p]) and tag not in ("nav", "header", "footer", "aside", "form") and not beside & set(page.names[i]))
+    return out
+
+
 def train(htmls: list[str], layouts: int = 3) -> Model:
+    """Fit on pages that say by their markup what their article is, and on pages laid out anew from the texts of all."""
     pages, labels = [], []
     drawn = random.Random(7)
     for html in htmls:
         page = parsed(html)
         y = labels_by_markup(page)
-        if y is None:
-            continue
-        pages.append(page)
-        labels.append(y)
-        paragraphs = [t for i, t in page.blocks if y[i]]
-        phrases = [t[:60] for i, t in page.blocks if not y[i]] or ["more"]
+        if y is not None:
+            pages.append(page)
+            labels.append(y)
+            paragraphs = [t for i, t in page.blocks if y[i]]
+            phrases = [t[:60] for i, t in page.blocks if not y[i]] or ["more"]
+        else:  # which texts are the article's isn't known, and needn't be: their labels come with the layout
+            free = not_beside(page)
+            like = [free[i] and (page.tags[i] == "p" or len(t.split()) >= LEAST_WORDS) for i, t in page.blocks]
+            paragraphs = [t for (_, t), x in zip(page.blocks, like) if x] or [t for _, t in page.blocks]
+            phrases = [t[:60] for (_, t), x in zip(page.blocks, like) if not x] or ["more"]
         if not paragraphs:
             continue
         escaped = [t.replace("&", "&amp;").replace("<", "&lt;") for t in paragraphs]
@@ -418,13 +433,19 @@ def main_texts(htmls: list[str], model: Model) -> list[str]:
 
 
 def sample(pages: DataFrame, most: int = 300, longest: int = 100_000) -> list[str]:
-    """At most ``most`` pages of up to ``longest`` code points, drawn by a hash of id and html."""
+    """At most ``most`` pages of up to ``longest`` code points, drawn by a hash of id and html.
+
+    Pages with an article or main element come first, as they have labels; others fill up what these leave.
+    """
     plain = pages.select(F.xxhash64(F.col("page_id").cast("long"), "html").alias("h"), text_of("html").alias("html"))
-    plain = plain.where((F.length("html") <= longest) & (F.length("html") > 0))
-    last = plain.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    if last is None:
-        return []
-    return sorted(r.html for r in plain.where(F.col("h") <= last).select("html").limit(most).toLocalIterator())
+    plain = plain.where((F.length("html") <= longest) & (F.length("html") > 0)).withColumn("says", F.col("html").rlike(SAYS))
+    out: list[str] = []
+    for says in (True, False):
+        side, left = plain.where(F.col("says") == says), most - len(out)
+        last = side.select("h").orderBy("h").limit(left).agg(F.max("h")).first()[0] if left > 0 else None
+        if last is not None:
+            out += [r.html for r in side.where(F.col("h") <= last).select("html").limit(left).toLocalIterator()]
+    return sorted(out)
 
 
 def main_text(pages: DataFrame, **bounds: int) -> DataFrame:
@@ -433,7 +454,7 @@ def main_text(pages: DataFrame, **bounds: int) -> DataFrame:
     Needs ``page_id`` and ``html``, and ``url`` if there is one; other columns are ignored. A page without any text,
     null html included, has an empty text. Markup that doesn't nest is read as browsers read it, as far as
     blocks go. Null ids and repeated rows are treated like all others; an empty table gives no rows. If no page
-    says by its markup what its article is, nothing can be learnt and all visible text is returned.
+    says by its markup what its article is, the model learns from pages laid out anew from the texts alone.
     """
     model = train(sample(pages, **bounds))
     names = ["page_id", "url", "text", "n_chars"]

@@ -154,6 +154,25 @@ def test_main_text_of_given_pages_and_of_other_layouts(spark):
     assert right > 0.95 * blocks
 
 
+def test_rare_or_missing_article_elements_are_enough(spark):
+    kind = "page_id long, html string, url string"
+    plain = [(i, f"<div class=nav>menu {i}</div><p>some text of page {i}</p>", "u") for i in range(60)]
+    rare = [(100 + i, f"<ARTICLE><p>what page {i} says</p></ARTICLE>", "u") for i in range(2)]
+    drawn = H.sample(spark.createDataFrame(plain + rare, kind), most=5)
+    assert sum("ARTICLE" in x for x in drawn) == 2 and len(drawn) == 5
+    real = [r.html for r in spark.read.parquet(f"{MID}/pages.parquet").orderBy("page_id").limit(60).collect()]
+    bare = [re.sub(r"(?i)<(/?)(?:article|main)\b", r"<\1div", x) for x in real]
+    found = H.main_text(spark.createDataFrame([(i, x, "u") for i, x in enumerate(bare)], kind)).collect()
+    right = every = 0
+    for r in found:
+        page = H.parsed(real[r.page_id])
+        y = H.labels_by_markup(page)
+        texts = r.text.split("\n\n")
+        right += sum((t in texts) == bool(y[i]) for i, t in page.blocks)
+        every += len(page.blocks)
+    assert right > 0.95 * every
+
+
 def test_pages_that_are_awkward(spark):
     data = [(1, None, "u"), (2, "", "u"), (None, "<p>x</p>", None), (3, "<article>" + "<p>word</p>" * 20000 + "</article>", "u"), (3, "<p>x", "u"), (3, "<p>x", "u")]
     found = H.main_text(spark.createDataFrame(data, "page_id long, html string, url string")).collect()
