@@ -30,10 +30,11 @@ from listenlake.llm.columns import text_of
 # How the elements of HTML behave.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span"
-    " strike strong sub sup time tt u var wbr br".split()
+    " strike strong sub sup time tt u var wbr br object math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded"
+    " mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style noscript template title textarea svg math iframe object select option datalist".split())
+HIDDEN = frozenset("head script style noscript template title textarea svg iframe select option datalist annotation annotation-xml".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section"
@@ -182,13 +183,14 @@ def node_slots(page: Page) -> list[list[int]]:
         linked[p] += linked[i]
         paragraphs[p] += paragraphs[i]
     whole, depth, out = max(words[0], 1), [0] * n, []
-    inside: list[tuple[str, ...]] = [()] * n
+    inside: list[frozenset[str]] = [frozenset()] * n
     for i in range(n):
         p, tag = page.parents[i], page.tags[i]
         if i:
             depth[i] = depth[p] + 1
             # a node is also known by the named elements that it lies in
-            inside[i] = (*inside[p], *page.names[i], *((tag,) if tag in SECTION else ()))[-12:]
+            more = {*page.names[i], *((tag,) if tag in SECTION else ())}
+            inside[i] = inside[p] if more <= inside[p] else inside[p] | more
         own, links = page.words[i], 4 * linked[i] // max(words[i], 1)
         slots = [
             _slot("tag", tag), _slot("own", _size(own)), _slot("words", _size(words[i])), _slot("links", (links, words[i] > 0)),
@@ -197,7 +199,7 @@ def node_slots(page: Page) -> list[list[int]]:
             _slot("tag own", (tag, _size(own) // 2)), _slot("tag links", (tag, links)),
         ]
         slots += [_slot("name", w) for w in page.names[i]]
-        slots += [_slot("inside", w) for w in set(inside[p] if i else ())]
+        slots += [_slot("inside", w) for w in (inside[p] if i else ())]
         out.append(slots)
     return out
 

@@ -154,6 +154,18 @@ def test_main_text_of_given_pages_and_of_other_layouts(spark):
     assert right > 0.95 * blocks
 
 
+def test_deep_blocks_know_all_that_encloses_them():
+    deep = "".join(f'<div class="comment-list__item--depth-{x}">' for x in "abcdefgh")
+    page = H.parsed(f'<aside class="comments"><div class="sidebar">{deep}<p>x</p></div></aside>')
+    slots = H.node_slots(page)[page.tags.index("p")]
+    assert {H._slot("inside", w) for w in ("aside", "comments", "sidebar", "comment", "h")} <= set(slots)
+
+
+def test_formulas_and_fallback_texts_are_seen():
+    html = "<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><object data=a>a <b>drawing</b></object><svg><text>no</text></svg>"
+    assert [t for _, t in H.parsed(html).blocks] == ["so x=2 holds", "a drawing"]
+
+
 def test_rare_or_missing_article_elements_are_enough(spark):
     kind = "page_id long, html string, url string"
     plain = [(i, f"<div class=nav>menu {i}</div><p>some text of page {i}</p>", "u") for i in range(60)]
