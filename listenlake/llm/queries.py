@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlake.llm import sql
+from listenlake.llm.chat import chat_digests
 from listenlake.llm.columns import table
 from listenlake.llm.exact import exact_groups
 from listenlake.llm.html import main_text
 from listenlake.llm.jaccard import near_groups
+from listenlake.llm.merkle import manifest
 from listenlake.llm.mixing import mixing_rates
 from listenlake.llm.packing import packed
+from listenlake.llm.phrases import phrases
 from listenlake.llm.quality import quality_rules
 from listenlake.llm.secrets import secrets
 from listenlake.llm.tokens import document_tokens
@@ -74,6 +77,27 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+# The conversation that is formatted beside those of the table, and what both its turns say.
+SPECIAL_CONVERSATION, CONTROL_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.createDataFrame(
+        [(SPECIAL_CONVERSATION, i, role, CONTROL_TEXT) for i, role in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select(own.columns)
+    return chat_digests(turns.unionByName(own))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -85,10 +109,15 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLES = {
     "op1_exact_dedup": sql.EXACT,
     "op3_ngram_jaccard_join": sql.JACCARD,
     "op8_quality_rules": sql.QUALITY,
+    "op11_phrase_mining": sql.PHRASES,
+    "op12_merkle_manifest": sql.MERKLE,
 }

@@ -25,13 +25,16 @@ class Encoder:
 
     ``byte_bpe_50k.tiktoken`` holds the vocabulary of ``byte_bpe_50k.json``; both give the same ids, this
     one several times faster. With ``special`` the text of the end marker becomes its id, as it does by
-    default with the other file; without, it is ordinary text.
+    default with the other file; without, it is ordinary text. ``controls`` are strings without blanks that become
+    single ids after those of the vocabulary; ``pieces`` has the bytes of every id, and ``widths`` how many they are.
     """
 
-    def __init__(self, ranks_path: str, special: bool = True):
+    def __init__(self, ranks_path: str, special: bool = True, controls: tuple[str, ...] = ()):
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        marks = {END_OF_TEXT: END_OF_TEXT_ID}
+        marks = {END_OF_TEXT: END_OF_TEXT_ID} | {text: END_OF_TEXT_ID + 1 + i for i, text in enumerate(controls)}
+        self.pieces = [piece for piece, _ in sorted((ranks | {m.encode(): i for m, i in marks.items()}).items(), key=lambda x: x[1])]
+        self.widths = np.array([len(piece) for piece in self.pieces])
         bpe = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
         allowed = set(marks) if special else set()
         self._ids = lambda text: bpe.encode(text, allowed_special=allowed, disallowed_special=())
@@ -60,3 +63,9 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(ranks_path: str | None = None, special: bool = True) -> Encoder:
     return Encoder(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), special)
+
+
+@lru_cache(maxsize=1)
+def marked_encoder(controls: tuple[str, ...], ranks_path: str | None = None) -> Encoder:
+    """An encoder to which ``controls`` are single ids."""
+    return Encoder(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), controls=controls)
