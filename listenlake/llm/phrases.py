@@ -224,7 +224,7 @@ def bits_of(hashes: DataFrame, places: int = PLACES) -> np.ndarray:
     return out[: places // 8]
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, share: float = SHARE, places: int = PLACES) -> DataFrame:
+def frequent_phrases(docs: DataFrame, least: int = LEAST, share: float = SHARE, places: int = PLACES, few: float = FEW) -> DataFrame:
     """(lang, phrase, f) of all phrases of 1 to 5 words with f of ``least`` or more, and of the empty phrase, exactly."""
     spark, texts = docs.sparkSession, _plain(docs)
     known, out = Known(spark, bits_of(proposed(texts, least, share), places)), None
@@ -240,14 +240,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, share: float = SHARE,
             return out
         total = out.where("phrase = ''").agg(F.sum("f")).first()[0]
         known.sent.destroy()
-        known = Known(spark, known.now | bits_of(failed, places), known.now, seen <= FEW * total)
+        known = Known(spark, known.now | bits_of(failed, places), known.now, seen <= few * total)
 
 
 # ranks are given in two steps, the first over so many parts of a language
 PARTS = 64
 
 
-def phrases(docs: DataFrame, least: int = LEAST, top: int = TOP, share: float = SHARE, places: int = PLACES) -> DataFrame:
+def phrases(docs: DataFrame, least: int = LEAST, top: int = TOP, share: float = SHARE, places: int = PLACES, few: float = FEW) -> DataFrame:
     """Each language's collocations: lang, rank, phrase, a, l, r, n, score, as the contract of the query defines them.
 
     Needs ``lang`` and ``text``; other columns, whatever their names, are ignored. A null text is empty, a null
@@ -255,7 +255,7 @@ def phrases(docs: DataFrame, least: int = LEAST, top: int = TOP, share: float =
     read in one go, at about fifteen times its size in memory. Ties in score and count are settled by the phrase, so ranks
     are the same in every run. A language without a phrase has no rows, nor has an empty table.
     """
-    known = frequent_phrases(docs, least, share, places)
+    known = frequent_phrases(docs, least, share, places, few)
     f = known.where("phrase <> ''")
     total = known.where("phrase = ''").select("lang", F.col("f").alias("n"))
     many = f.where(F.instr("phrase", " ") > 0).select("lang", "phrase", F.col("f").alias("a"))
