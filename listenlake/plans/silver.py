@@ -30,6 +30,7 @@ from listenlake.operators.rules import (
 from listenlake.operators.scd import CURRENT, scd1_merge, scd2_merge
 from listenlake.operators.sizes import fits_broadcast
 from listenlake.plans import quality
+from listenlake.sources.buckets import PER_BUCKET, Buckets
 from listenlake.sources.snapshot import PART, SnapshotTable
 
 AUDIT_DDL = """
@@ -64,9 +65,10 @@ TRACK_DDL = f"""
 
 DATE_DDL = "date_key int, date date, day int, month int, year int, weekday string"
 
-# part names of the user table: current rows are rewritten per batch, history only grows
-USER_CURRENT, USER_HISTORY = "current", "history"
-WHOLE = "all"
+# part names of the user table: current rows lie in buckets of their key, history only grows
+USER_CURRENT, USER_HISTORY = "current-", "history"
+# batches of up to so many keys ask the filters of the fact's parts where their keys lie
+FEW_KEYS = 20_000
 
 
 @contextmanager
@@ -104,9 +106,12 @@ def apply_user_batch(
     tiebreak: Sequence[str] = (),
     gap_free: bool = True,
     stream: str | None = None,
+    per_bucket: int = PER_BUCKET,
 ) -> dict[str, int] | None:
     """Check, keep the newest event per user, and merge as type 2.
 
+    Current rows are stored in buckets of their key, of which a batch reads and rewrites those of its users.
+
     ``tiebreak`` names batch columns that settle which of two events of one time is the newer;
     after them the content decides.
     """
@@ -125,8 +130,11 @@ def apply_user_batch(
         )
         with persisted(newest) as source:
             numbered = head.facts.get("max_sk", 0)
+            buckets = Buckets.touched(
+                users, head, source, ["user_id"], USER_CURRENT, per_bucket, others=[USER_HISTORY]
+            )
             change = scd2_merge(
-                users.read([USER_CURRENT], head),
+                buckets.read(),
                 source,
                 ["user_id"],
                 fixed.USER_TRACKED_COLS,
@@ -137,22 +145,20 @@ def apply_user_batch(
                 gap_free=gap_free,
                 small=fits_broadcast(source),
             )
-            part = F.when(F.col(CURRENT), USER_CURRENT).otherwise(USER_HISTORY)
-            rows = change.rows.withColumn(PART, part)
-            written = Observation()
+            part = F.when(F.col(CURRENT), buckets.part()).otherwise(USER_HISTORY)
+
+            def facts(written: DataFrame) -> dict[str, int]:
+                highest = written.agg(F.max("user_sk")).first()[0]
+                return {"max_sk": max(numbered, highest or 0), **buckets.facts(written)}
+
             users.publish(
-                rows.observe(written, F.max("user_sk").alias("max_sk")),
-                batch_id,
-                replaces=[USER_CURRENT],
-                facts=lambda: {"max_sk": max(numbered, written.get["max_sk"] or 0)},
-                head=head,
-                stream=stream,
+                change.rows.withColumn(PART, part), batch_id, replaces=buckets.names, facts=facts, head=head, stream=stream
             )
     return counts
 
 
-# parts of a table that is stored by a hash of its key
-BUCKETS = 64
+# buckets of histories that were stored before their number could grow
+FIXED_BUCKETS = 64
 
 
 def apply_user_history_batch(
@@ -162,12 +168,12 @@ def apply_user_history_batch(
     quarantine: str,
     rules: Sequence[Rule] = quality.user_rules(),
     stream: str | None = None,
+    per_bucket: int = PER_BUCKET,
 ) -> None:
     """Apply valid user events as a sequenced type 2 history, whatever order they come in.
 
-    The result does not depend on how events are cut into batches. Users are stored by a hash of
-    their id, so a batch reads and rewrites only the buckets of its users; the list of these is
-    bounded by their number. Events that have no time only are logged as rows of ``DimUserHistory``;
+    The result does not depend on how events are cut into batches. Users are stored in buckets of
+    their id, so a batch reads and rewrites only the buckets of its users. Events that have no time only are logged as rows of ``DimUserHistory``;
     those that break the other rules are logged as rows of ``DimUser``.
     """
     head = table.head()
@@ -177,16 +183,18 @@ def apply_user_history_batch(
     valid, _ = _valid_rows(known_good, batch_id, "DimUserHistory", "user_id", (quality.USER_SEQUENCE_RULE,), quarantine)
     names = [f.name for f in table.schema if f.name not in (START_AT, END_AT, OPENS)]
     events = add_silver_audit(valid).select(*names)
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).cast("string")
-    touched = [row[PART] for row in events.select(bucket.alias(PART)).distinct().collect()]
-    if not touched:
-        return
-    known = table.read(touched, head) if head.version else None
-    history = apply_history(
-        known, events, ["user_id"], "updated_at", fixed.USER_TRACKED_COLS, settled=True,
-        except_cols=(*AUDIT, "updated_at"),
-    )
-    table.publish(history.withColumn(PART, bucket), batch_id, replaces=touched, head=head, stream=stream)
+    with persisted(events) as source:
+        if source.isEmpty():
+            return
+        buckets = Buckets.touched(table, head, source, ["user_id"], "", per_bucket, before=FIXED_BUCKETS)
+        history = apply_history(
+            buckets.read() if buckets.names else None, source, ["user_id"], "updated_at", fixed.USER_TRACKED_COLS,
+            settled=True, except_cols=(*AUDIT, "updated_at"),
+        )
+        table.publish(
+            history.withColumn(PART, buckets.part()), batch_id, replaces=buckets.names, facts=buckets.facts, head=head,
+            stream=stream,
+        )
 
 
 # digits of a date key that name the part its fact is stored in
@@ -221,7 +229,8 @@ def apply_fact_batch(
     """Check, keep the newest event per stream, and upsert as type 1.
 
     A changed date moves a row to another part, so the parts rewritten are those of the batch and
-    those in which the batch's keys lie now. Other parts are not read beyond key and date.
+    those in which the batch's keys lie now. Where those are is read from key and date: of all parts for
+    a large batch, of those whose filter may hold a key of a small one.
     ``grain`` must stay the same for the life of the table.
 
     A later batch overwrites the columns that may change, unless ``guard`` refuses older events.
@@ -243,7 +252,10 @@ def apply_fact_batch(
             small = fits_broadcast(source)
             wanted = source.select("stream_id")
             wanted = F.broadcast(wanted) if small else wanted
-            lying = facts.read(head=head).join(wanted, "stream_id", "left_semi")
+            # the filters leave out most parts, and what they let through is looked up
+            ask = small and facts.key and source.count() <= FEW_KEYS
+            may = facts.parts_of(wanted, head) if ask else None
+            lying = facts.read(may, head).join(wanted, "stream_id", "left_semi")
             part = fact_part(grain)
             hit = source.select(part.alias(PART)).union(lying.select(part.alias(PART)))
             touched = [row[PART] for row in hit.distinct().collect()]
@@ -292,8 +304,10 @@ def apply_dimension_batch(
     key: str,
     sequence_by: str,
     stream: str | None = None,
+    per_bucket: int = PER_BUCKET,
 ) -> None:
-    """Sequenced type 1 application of one staged batch."""
+    """Sequenced type 1 application of one staged batch. Rows are stored in buckets of their key, of which a batch
+    rewrites those of its keys."""
     head = table.head()
     if table.applied(head, batch_id, stream):
         return
@@ -302,7 +316,11 @@ def apply_dimension_batch(
     stamps = ("silver_ingest_timestamp", "bronze_ingest_timestamp", "input_file_path")
     content = [c for c in names if c not in (key, sequence_by, *stamps)]
     with persisted(keep_latest(staged, [key], [sequence_by], content)) as newest:
-        target = table.read(head=head) if head.version else None
+        buckets = Buckets.touched(table, head, newest, [key], "", per_bucket)
+        target = buckets.read() if buckets.names else None
         small = target is not None and fits_broadcast(newest)
         merged = apply_latest(target, newest, [key], sequence_by, content, small)
-        table.publish(merged.withColumn(PART, F.lit(WHOLE)), batch_id, head=head, stream=stream)
+        table.publish(
+            merged.withColumn(PART, buckets.part()), batch_id, replaces=buckets.names, facts=buckets.facts, head=head,
+            stream=stream,
+        )

@@ -15,13 +15,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from listenlake.sources import fs
+from listenlake.sources.partfilters import FILTER_DDL, PART, part_filters, parts_that_may_hold
 from listenlake.sources.state import StateLog
 
-PART = "part"
-
 
 @dataclass(frozen=True)
 class Commit:
@@ -30,6 +29,7 @@ class Commit:
     parts: Mapping[str, list[str]]
     facts: Mapping[str, int] = field(default_factory=dict)
     stream: str | None = None
+    filters: Mapping[str, list[str]] = field(default_factory=dict)
 
 
 class OtherStream(RuntimeError):
@@ -40,10 +40,14 @@ NOTHING = Commit(version=0, batch_id=-1, parts={})
 
 
 class SnapshotTable:
-    """``schema`` leaves out the part column, which only names folders; without one, files tell it."""
+    """``schema`` leaves out the part column, which only names folders; without one, files tell it.
+
+    With a ``key``, every commit keeps a filter of the keys of each part beside the data (see ``parts_of``).
+    """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType | str | None = None):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType | str | None = None, key: str | None = None):
         self.spark = spark
+        self.key = key
         self.root = root.rstrip("/")
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.log = StateLog(spark, f"{self.root}/_commits")
@@ -78,12 +82,23 @@ class SnapshotTable:
             return self.spark.range(0).select(*nulls)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def parts_of(self, keys: DataFrame, head: Commit) -> list[str]:
+        """Parts that may hold a key of the frame, which has to be small; parts without a filter are among them."""
+        paths = [f"{self.root}/{p}" for found in head.filters.values() for p in found]
+        unknown = [p for p in head.parts if p not in head.filters]
+        if not paths:
+            return unknown
+        # a folder is named after its part
+        name = F.element_at(F.split(F.element_at(F.split("_metadata.file_path", "/"), -2), "="), -1)
+        filters = self.spark.read.schema(FILTER_DDL).parquet(*paths).select("*", F.url_decode(name).alias(PART))
+        return unknown + parts_that_may_hold(filters, keys, self.key)
+
     def publish(
         self,
         rows: DataFrame,
         batch_id: int,
         replaces: Iterable[str] | None = None,
-        facts: Callable[[], Mapping[str, int]] = dict,
+        facts: Callable[[DataFrame], Mapping[str, int]] = lambda written: {},
         head: Commit | None = None,
         rebalance: bool = False,
         stream: str | None = None,
@@ -91,8 +106,8 @@ class SnapshotTable:
         """Write ``rows``, which carry a ``part`` column, and commit.
 
         Parts in ``replaces`` lose their old folders (all parts if it is None); the other parts
-        keep theirs and gain the new rows. ``facts`` is asked once the rows are written; what it
-        gives is kept with this commit and later ones. ``rebalance`` is for many parts: it costs
+        keep theirs and gain the new rows. ``facts`` is asked once the rows are written, and gets them as
+        they lie in the files, with their part; what it gives is kept with this commit and later ones. ``rebalance`` is for many parts: it costs
         a shuffle, which gathers small parts into few files and splits parts that are too large.
         """
         head = head or self.head()
@@ -106,14 +121,28 @@ class SnapshotTable:
             sized = sized.hint("rebalance", F.col(PART))
         sized.write.mode("overwrite").partitionBy(PART).parquet(target)
         dropped = set(head.parts) if replaces is None else {str(p) for p in replaces}
-        parts = {p: list(paths) for p, paths in head.parts.items() if p not in dropped}
+        parts = self._placed(head.parts, dropped, folder)
+        # names of parts stay text, whatever they look like
+        written = self.spark.read.schema(StructType([*self.schema, StructField(PART, StringType())])).parquet(target)
+        filters = {}
+        if self.key:
+            made = folder.replace("data/", "filters/")
+            found = part_filters(written.select(PART, self.key), self.key)
+            found.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/{made}")
+            filters = self._placed(head.filters, dropped, made)
+        known = {**head.facts, **facts(written)}
+        commit = Commit(head.version + 1, batch_id, parts, known, stream or head.stream, filters)
+        self.log.append(json.loads(json.dumps(commit.__dict__)), commit.version)
+        return commit
+
+    def _placed(self, before: Mapping[str, list[str]], dropped: set[str], folder: str) -> dict[str, list[str]]:
+        """The folders of each part after a version: those of the parts that are not dropped, and the new ones."""
+        parts = {p: list(paths) for p, paths in before.items() if p not in dropped}
         prefix = f"{PART}="
-        for name in fs.children(self.spark, target):
+        for name in fs.children(self.spark, f"{self.root}/{folder}"):
             if name.startswith(prefix):
                 parts.setdefault(name[len(prefix) :], []).append(f"{folder}/{name}")
-        commit = Commit(head.version + 1, batch_id, parts, {**head.facts, **facts()}, stream or head.stream)
-        self.log.append(json.loads(json.dumps(commit.__dict__)), commit.version)
-        return commit
+        return parts
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete data folders that none of the newest ``keep`` commits names.
@@ -124,14 +153,15 @@ class SnapshotTable:
         kept = [Commit(**entry) for entry in self.log.recent(keep)]
         if not kept:
             return []
-        named = {path for commit in kept for paths in commit.parts.values() for path in paths}
+        named = {path for commit in kept for held in (commit.parts, commit.filters) for paths in held.values() for path in paths}
         gone = []
-        for version in fs.children(self.spark, f"{self.root}/data"):
-            if int(version.removeprefix("v=").partition("-")[0]) > kept[0].version:
-                continue
-            for part in fs.children(self.spark, f"{self.root}/data/{version}"):
-                path = f"data/{version}/{part}"
-                if part.startswith(f"{PART}=") and path not in named:
-                    fs.delete(self.spark, f"{self.root}/{path}")
-                    gone.append(path)
+        for top in ("data", "filters"):
+            for version in fs.children(self.spark, f"{self.root}/{top}"):
+                if int(version.removeprefix("v=").partition("-")[0]) > kept[0].version:
+                    continue
+                for part in fs.children(self.spark, f"{self.root}/{top}/{version}"):
+                    path = f"{top}/{version}/{part}"
+                    if part.startswith(f"{PART}=") and path not in named:
+                        fs.delete(self.spark, f"{self.root}/{path}")
+                        gone.append(path)
         return gone

@@ -53,7 +53,7 @@ class SilverLayer:
         self.max_files = max_files
         self.users = self._table("DimUser", silver.USER_DDL)
         self.user_history = self._table("DimUserHistory", silver.USER_HISTORY_DDL)
-        self.facts = self._table("FactStream", silver.FACT_DDL)
+        self.facts = self._table("FactStream", silver.FACT_DDL, "stream_id")
         self.artists = self._table("DimArtist", silver.ARTIST_DDL)
         self.tracks = self._table("DimTrack", silver.TRACK_DDL)
         self.dates = self._table("DimDate", silver.DATE_DDL)
@@ -95,8 +95,8 @@ class SilverLayer:
             ),
         }
 
-    def _table(self, name: str, ddl: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, self.layout.silver(name), ddl)
+    def _table(self, name: str, ddl: str, key: str | None = None) -> SnapshotTable:
+        return SnapshotTable(self.spark, self.layout.silver(name), ddl, key)
 
     def tables(self) -> list[SnapshotTable]:
         return [self.users, self.user_history, self.facts, self.artists, self.tracks, self.dates]
