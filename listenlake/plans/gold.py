@@ -1,4 +1,4 @@
-"""Full refresh of the KPI tables."""
+"""Refresh of the KPI tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlake.plans.kpi import KPIS, stamp
+from listenlake.plans.rollup import KpiState
 from listenlake.plans.star import Star
 from listenlake.sources.snapshot import PART, SnapshotTable
 
@@ -31,11 +32,14 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return SnapshotTable(spark, path).read()
 
 
-def refresh(star: Star, path_of: Callable[[str], str]) -> None:
+def refresh(star: Star, path_of: Callable[[str], str], state: KpiState | None = None) -> None:
     """Rewrite every KPI table. ``path_of`` maps a table name to its folder.
 
     Each table reads the few fact columns it needs; a stored wide view would be larger than the
-    fact itself. The star measures its dimensions and hot keys once, for all tables.
+    fact itself. The star measures its dimensions and hot keys once, for all tables. With ``state``, only the parts
+    of the fact are read that were written since the last refresh.
     """
+    if state:
+        state.refresh()
     for name, build in KPIS.items():
-        write_gold(stamp(build(star)), path_of(name), PARTITIONED_BY.get(name))
+        write_gold(stamp(state.kpi(name) if state else build(star)), path_of(name), PARTITIONED_BY.get(name))

@@ -3,11 +3,18 @@
 Each joins only the dimensions its measures need, groups on keys, and attaches descriptive
 columns afterwards where they depend on the key alone. All aggregates combine on the map side; a
 distinct count adds the counted key to the first shuffle, so a hot group is spread by it.
+
+A table is made in two steps: sums per group, which add up over any parts of the fact, and measures from
+sums. So the sums may also be kept per part and be put together again (see ``rollup``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import partial
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlake import fixed
@@ -17,38 +24,88 @@ from listenlake.operators.ranking import rank_in_group
 from listenlake.plans.star import Star, base_fact, tracks_with_artist
 
 GOLD_TIMESTAMP = "gold_ingest_timestamp"
+USERS = "users"
 
 
-def genre_subscription_kpi(star: Star) -> DataFrame:
-    """Engagement per genre and plan."""
-    known = base_fact(star, ["user", "track", "artist"]).dropna(
-        subset=["genre", "subscription_type"]
-    )
-    meaningful = F.col("is_meaningful_play") == 1
-    return known.groupBy("genre", "subscription_type").agg(
-        F.count("stream_id").alias("total_streams"),
-        F.countDistinct("user_id").alias("unique_users"),
-        m.mean("listen_duration").alias("avg_listen_sec"),
-        m.flagged(meaningful).alias("meaningful_plays"),
-        m.flagged(plays.is_abandoned(F.col("listen_duration"))).alias("abandoned_count"),
-        m.share_pct(meaningful, "stream_id").alias("meaningful_play_rate_pct"),
+@dataclass(frozen=True)
+class Kpi:
+    """How a KPI table comes about.
+
+    ``plays`` gives the fact rows that count, with extra fact columns if asked; ``sums`` are aggregates that add up;
+    ``finish`` makes the table from keys, sums and, where ``distinct`` says so, the number of users per group.
+    ``needs`` lists the dimension columns that keys and sums depend on.
+    """
+
+    plays: Callable[[Star, Sequence[str]], DataFrame]
+    keys: tuple[str, ...]
+    sums: Callable[[], Mapping[str, Column]]
+    finish: Callable[[Star, DataFrame], DataFrame]
+    needs: Mapping[str, tuple[str, ...]]
+    distinct: bool = True
+
+    def __call__(self, star: Star) -> DataFrame:
+        aggregates = [c.alias(name) for name, c in self.sums().items()]
+        if self.distinct:
+            aggregates.append(F.countDistinct("user_id").alias(USERS))
+        return self.finish(star, self.plays(star, ()).groupBy(*self.keys).agg(*aggregates))
+
+
+def _abandoned() -> Column:
+    return m.flagged(plays.is_abandoned(F.col("listen_duration")))
+
+
+def _meaningful() -> Column:
+    return m.flagged(F.col("is_meaningful_play") == 1)
+
+
+def _listening(*dims: str) -> dict[str, Column]:
+    """Sums and counts of what averages are taken of."""
+    cols = {"listen": "listen_duration", **({"duration": "duration_sec"} if "track" in dims else {})}
+    return {f"{n}_sum": F.sum(c) for n, c in cols.items()} | {f"{n}_count": F.count(c) for n, c in cols.items()}
+
+
+def _average(name: str) -> Column:
+    return F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_count"))
+
+
+def _known(dims: Sequence[str], columns: Sequence[str], star: Star, extra: Sequence[str]) -> DataFrame:
+    return base_fact(star, dims, extra).dropna(subset=list(columns))
+
+
+def _genre(star: Star, sums: DataFrame) -> DataFrame:
+    return sums.select(
+        "genre",
+        "subscription_type",
+        "total_streams",
+        F.col(USERS).alias("unique_users"),
+        F.round(_average("listen"), 2).alias("avg_listen_sec"),
+        "meaningful_plays",
+        "abandoned_count",
+        m.percent(F.col("meaningful_plays"), F.col("total_streams")).alias("meaningful_play_rate_pct"),
     )
 
 
-def top_tracks_kpi(star: Star) -> DataFrame:
-    """Listening per track. Names, artist and genre join the grouped rows, not the plays."""
-    listen, duration = F.col("listen_duration"), F.col("duration_sec")
-    per_track = (
-        base_fact(star, ["track"])
-        .filter(F.col("track_name").isNotNull())
-        .groupBy("track_id")
-        .agg(
-            F.count("stream_id").alias("total_streams"),
-            F.countDistinct("user_id").alias("unique_listeners"),
-            m.hours("listen_duration").alias("total_listen_hrs"),
-            m.completion_pct("listen_duration", "duration_sec").alias("avg_completion_pct"),
-            m.share_pct(plays.is_skipped(listen, duration), "stream_id").alias("skip_rate_pct"),
-        )
+# Engagement per genre and plan.
+genre_subscription_kpi = Kpi(
+    partial(_known, ["user", "track", "artist"], ["genre", "subscription_type"]),
+    ("genre", "subscription_type"),
+    lambda: {
+        "total_streams": F.count("stream_id"), **_listening(), "meaningful_plays": _meaningful(), "abandoned_count": _abandoned(),
+    },
+    _genre,
+    {"user": ("user_id", "subscription_type"), "track": ("track_id", "artist_id", "duration_sec"), "artist": ("artist_id", "genre")},
+)
+
+
+def _tracks(star: Star, sums: DataFrame) -> DataFrame:
+    """Names, artist and genre join the grouped rows, not the plays."""
+    per_track = sums.select(
+        "track_id",
+        "total_streams",
+        F.col(USERS).alias("unique_listeners"),
+        F.round(F.col("listen_sum") / m.SECONDS_PER_HOUR, 3).alias("total_listen_hrs"),
+        m.percent(_average("listen"), _average("duration")).alias("avg_completion_pct"),
+        m.percent(F.col("skipped"), F.col("total_streams")).alias("skip_rate_pct"),
     )
     names = tracks_with_artist(star).select(
         F.col("t_track_id").alias("track_id"),
@@ -61,54 +118,68 @@ def top_tracks_kpi(star: Star) -> DataFrame:
     )
 
 
-def device_subscription_kpi(star: Star) -> DataFrame:
-    """Usage per plan and device. An abandoned play needs no track, so only users are joined."""
-    known = base_fact(star, ["user"]).dropna(subset=["device_type", "subscription_type"])
-    abandoned = plays.is_abandoned(F.col("listen_duration"))
-    return known.groupBy("subscription_type", "device_type").agg(
-        F.count("stream_id").alias("total_streams"),
-        F.countDistinct("user_id").alias("unique_users"),
-        m.mean("listen_duration").alias("avg_listen_sec"),
-        m.share_pct(abandoned, "stream_id").alias("abandon_rate_pct"),
-    )
+# Listening per track.
+top_tracks_kpi = Kpi(
+    partial(_known, ["track"], ["track_name"]),
+    ("track_id",),
+    lambda: {
+        "total_streams": F.count("stream_id"), **_listening("track"),
+        "skipped": m.flagged(plays.is_skipped(F.col("listen_duration"), F.col("duration_sec"))),
+    },
+    _tracks,
+    {"track": ("track_id", "track_name", "duration_sec")},
+)
 
 
-def monthly_trend_kpi(star: Star) -> DataFrame:
-    """Activity per calendar month, in calendar order."""
-    listeners = F.countDistinct("user_id")
-    return (
-        base_fact(star, ["track", "date"])
-        .filter(F.col("year").isNotNull())
-        .groupBy("year", "month")
-        .agg(
-            F.count("stream_id").alias("total_streams"),
-            listeners.alias("active_users"),
-            m.hours("listen_duration").alias("total_listen_hrs"),
-            m.completion_pct("listen_duration", "duration_sec").alias("avg_completion_pct"),
-            F.round(F.try_divide(F.count("stream_id"), listeners), 2).alias("streams_per_user"),
-        )
-        .orderBy("year", "month")
+def _device(star: Star, sums: DataFrame) -> DataFrame:
+    return sums.select(
+        "subscription_type",
+        "device_type",
+        "total_streams",
+        F.col(USERS).alias("unique_users"),
+        F.round(_average("listen"), 2).alias("avg_listen_sec"),
+        m.percent(F.col("abandoned"), F.col("total_streams")).alias("abandon_rate_pct"),
     )
 
 
-def user_engagement_kpi(
-    star: Star, cuts=fixed.TIER_CUTS, floor: str = fixed.TIER_FLOOR
-) -> DataFrame:
+# Usage per plan and device. An abandoned play needs no track, so only users are joined.
+device_subscription_kpi = Kpi(
+    partial(_known, ["user"], ["device_type", "subscription_type"]),
+    ("subscription_type", "device_type"),
+    lambda: {"total_streams": F.count("stream_id"), **_listening(), "abandoned": _abandoned()},
+    _device,
+    {"user": ("user_id", "subscription_type")},
+)
+
+
+def _months(star: Star, sums: DataFrame) -> DataFrame:
+    return sums.select(
+        "year",
+        "month",
+        "total_streams",
+        F.col(USERS).alias("active_users"),
+        F.round(F.col("listen_sum") / m.SECONDS_PER_HOUR, 3).alias("total_listen_hrs"),
+        m.percent(_average("listen"), _average("duration")).alias("avg_completion_pct"),
+        F.round(F.try_divide(F.col("total_streams"), F.col(USERS)), 2).alias("streams_per_user"),
+    ).orderBy("year", "month")
+
+
+# Activity per calendar month, in calendar order.
+monthly_trend_kpi = Kpi(
+    partial(_known, ["track", "date"], ["year"]),
+    ("year", "month"),
+    lambda: {"total_streams": F.count("stream_id"), **_listening("track")},
+    _months,
+    {"track": ("track_id", "duration_sec"), "date": ("date_key", "year", "month")},
+)
+
+
+def _users(star: Star, per_user: DataFrame, cuts=fixed.TIER_CUTS, floor: str = fixed.TIER_FLOOR) -> DataFrame:
     """Score card per user: counts, score, tier and rank inside the plan.
 
     Plays are grouped by user key before the user table is joined, so that join moves one row
     per user. ``rank_in_tier`` ranks inside the plan, as readers of the table expect of it.
     """
-    per_user = (
-        base_fact(star, ["track"])
-        .filter(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(
-            F.count("stream_id").alias("total_streams"),
-            m.flagged(F.col("is_meaningful_play") == 1).alias("meaningful_plays"),
-            m.flagged(plays.is_abandoned(F.col("listen_duration"))).alias("abandoned"),
-        )
-    )
     names = star.user.select(
         "user_sk",
         F.col("user_id").alias("_user_id"),
@@ -141,12 +212,26 @@ def user_engagement_kpi(
     return rank_in_group(scored, ["subscription_type"], "engagement_score", "rank_in_tier")
 
 
+engagement = Kpi(
+    partial(_known, ["track"], ["user_id"]),
+    ("user_id",),
+    lambda: {"total_streams": F.count("stream_id"), "meaningful_plays": _meaningful(), "abandoned": _abandoned()},
+    _users,
+    {"track": ("track_id", "duration_sec")},
+    distinct=False,
+)
+
+
+def user_engagement_kpi(star: Star, cuts=fixed.TIER_CUTS, floor: str = fixed.TIER_FLOOR) -> DataFrame:
+    return replace(engagement, finish=partial(_users, cuts=cuts, floor=floor))(star)
+
+
 KPIS = {
     "genre_subscription_kpi": genre_subscription_kpi,
     "top_tracks_kpi": top_tracks_kpi,
     "device_subscription_kpi": device_subscription_kpi,
     "monthly_trend_kpi": monthly_trend_kpi,
-    "user_engagement_kpi": user_engagement_kpi,
+    "user_engagement_kpi": engagement,
 }
 
 

@@ -115,8 +115,8 @@ def tracks_with_artist(star: Star) -> DataFrame:
     return track.join(artist, F.col("t_artist_id") == F.col("a_artist_id"), "left")
 
 
-def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
-    """One row per fact row with the columns of the asked dimensions.
+def base_fact(star: Star, dims: Sequence[str] = DIMS, extra: Sequence[str] = ()) -> DataFrame:
+    """One row per fact row with the columns of the asked dimensions, and ``extra`` columns of the fact.
 
     Leaving a dimension out leaves its columns out. That is safe because a left join on a unique
     key neither drops nor repeats fact rows.
@@ -127,7 +127,7 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
     facts = _prefixed(
         star.fact,
         "f_",
-        ["stream_id", "user_id", "track_id", "date_key", "listen_duration", "device_type"],
+        ["stream_id", "user_id", "track_id", "date_key", "listen_duration", "device_type", *extra],
     )
     listen, duration = F.col("f_listen_duration"), F.col("t_duration_sec")
     out = {
@@ -180,4 +180,5 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS) -> DataFrame:
         date = _prefixed(star.date, "d_", calendar)
         wide = _attach(star, wide, "date", date, "f_date_key", "d_date_key")
         out |= {c: F.col(f"d_{c}") for c in calendar}
-    return wide.select(*[out[name].alias(name) for name in WIDE_COLS if name in out])
+    more = [F.col(f"f_{c}").alias(c) for c in extra]
+    return wide.select(*[out[name].alias(name) for name in WIDE_COLS if name in out], *more)

@@ -82,15 +82,25 @@ class SnapshotTable:
             return self.spark.range(0).select(*nulls)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def _named(self, rows: DataFrame) -> DataFrame:
+        """Rows with their part, which names the folder of their file."""
+        folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        return rows.select("*", F.url_decode(F.element_at(F.split(folder, "="), -1)).alias(PART))
+
+    def parted(self, parts: Iterable[str] | None = None, head: Commit | None = None) -> DataFrame:
+        """As ``read``, with the part of each row."""
+        head = head or self.head()
+        if not (head.parts if parts is None else set(parts) & set(head.parts)):
+            return self.read([], head).withColumn(PART, F.lit(""))
+        return self._named(self.read(parts, head))
+
     def parts_of(self, keys: DataFrame, head: Commit) -> list[str]:
         """Parts that may hold a key of the frame, which has to be small; parts without a filter are among them."""
         paths = [f"{self.root}/{p}" for found in head.filters.values() for p in found]
         unknown = [p for p in head.parts if p not in head.filters]
         if not paths:
             return unknown
-        # a folder is named after its part
-        name = F.element_at(F.split(F.element_at(F.split("_metadata.file_path", "/"), -2), "="), -1)
-        filters = self.spark.read.schema(FILTER_DDL).parquet(*paths).select("*", F.url_decode(name).alias(PART))
+        filters = self._named(self.spark.read.schema(FILTER_DDL).parquet(*paths))
         return unknown + parts_that_may_hold(filters, keys, self.key)
 
     def publish(

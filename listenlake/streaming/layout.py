@@ -37,6 +37,9 @@ class Layout:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def kpi_state(self) -> str:
+        return f"{self.root}/state/kpi/{self.run}"
+
     def checkpoint(self, layer: str, name: str) -> str:
         run = f"/{self.run}" if layer == "silver" else ""
         return f"{self.root}/checkpoints/{layer}{run}/{name}"

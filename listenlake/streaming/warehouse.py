@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from listenlake import fixed
 from listenlake.operators.durable import clear_scratch
 from listenlake.plans import catalog, gold
+from listenlake.plans.rollup import KpiState
 from listenlake.sources.extract import Landed, SourceSpec, ingest_all
 from listenlake.streaming.bronze import run_bronze
 from listenlake.streaming.layout import Layout
@@ -36,7 +37,7 @@ def run(
     star = catalog.register_silver(
         spark, layer.users, layer.facts, layer.artists, layer.tracks, layer.dates
     )
-    gold.refresh(star, layout.gold)
+    gold.refresh(star, layout.gold, KpiState(spark, layer.facts, star, layout.kpi_state()))
     catalog.register_gold(spark, layout.gold)
     layer.vacuum(keep)
     # every result is in a table by now
