@@ -36,7 +36,7 @@ FEW = 1 / 16
 # places of the filter: 16 MB of bits, whatever the size of the data
 PLACES = 1 << 27
 # bytes of text that are counted together before they go to Spark's own aggregation
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 
 _BYTES = pa.large_binary()
 _KIND = np.zeros(256, "u1")
