@@ -1,14 +1,17 @@
 """Phrase mining by a sample, its negative border and full counts.
 
-A sample proposes phrases. A full pass then counts, exactly, the proposed ones and their negative border:
-all phrases that were not proposed though both their parts (all but the last word, all but the first) were. Every
-word belongs to one of the two. If no phrase of the border turns out to be frequent, nothing can have been
-missed. Otherwise the border has failed there: what is frequent joins the known phrases, and another pass counts the
-border that this opens, until none fails. A phrase of k words is known after k passes at the latest. Where
-the failures have few occurrences, one pass also counts what their extensions would open, and so is the last.
-
-The known phrases go to the tasks as bits at places given by a 64-bit hash, a filter of fixed size. Phrases that
-share a bit only make a pass count more than it must; counts are kept by the phrases themselves, so they are exact.
+A sample proposes phrases. A full pass then counts the proposed ones and their negative border: all phrases that
+were not proposed though both their parts (all but the last word, all but the first) were. Every word belongs to one
+of the two. If no phrase of the border turns out to be frequent, nothing can have been missed. Otherwise the border
+has failed there: what is frequent joins the known phrases, and another pass counts the border that this opens, until
+none fails. A phrase of k words is known after k passes at the latest.
+
+These passes count 64-bit hashes, most of which are rare: two phrases of one hash can only count too much. A last
+pass counts what has passed by the phrases themselves, so that the result is exact. Where the failures have few
+occurrences, it also counts all that they and their extensions open, and no pass is needed between.
+
+Known and frequent phrases go to the tasks as bits at places given by their hash, filters of fixed size. Phrases
+that share a bit only make a pass count more than it must.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -33,8 +35,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 SHARE, LOWERED, SEED = 1 / 16, 0.4, 11
 # share of all words up to which the failures of a border may occur if all that they open is to be counted at once
 FEW = 1 / 16
-# places of the filter: 16 MB of bits, whatever the size of the data
-PLACES = 1 << 27
+# places of a filter: 8 MB of bits, whatever the size of the data
+PLACES = 1 << 26
 # bytes of text that are counted together before they go to Spark's own aggregation
 CHUNK = 2 << 20
 
@@ -79,10 +81,13 @@ class Words:
         self.seeds = _hashes(self.langs)[self.lang] if len(starts) else self.hashes
 
     def rolled(self) -> Iterator[np.ndarray]:
-        """For 1 word, 2 words and so on: a hash of the phrase that begins at each word, piece borders ignored."""
+        """For 1 word, 2 words and so on: a hash of the phrase that begins at each word, piece borders ignored.
+
+        The lowest three bits are the number of words.
+        """
         h = _mixed(self.seeds * _STEP + self.hashes)
         for k in range(1, LONGEST + 1):
-            yield h
+            yield h & ~np.uint64(7) | np.uint64(k)
             h = _mixed(h[:-1] * _STEP + self.hashes[k:])
 
     def phrases(self, k: int, at: np.ndarray) -> pa.Array:
@@ -92,7 +97,8 @@ class Words:
 
     def grouped(self, k: int, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places where distinct phrases of ``k`` words begin, one each, and how often they do among ``at``."""
-        codes, found = pd.factorize(h[at])
+        coded = pa.array(h[at]).dictionary_encode()
+        codes, found = coded.indices.to_numpy(), coded.dictionary
         first = np.empty(len(found), at.dtype)
         first[codes[::-1]] = at[::-1]
         same = self.lang[at] == self.lang[first[codes]]
@@ -111,30 +117,41 @@ def _held(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype("u1")) & np.uint8(1) != 0
 
 
-def counted(words: Words, known: np.ndarray | None, before: np.ndarray | None = None, deep: bool = False) -> Iterator[tuple]:
-    """(k, places, counts, hashes) of the phrases of k words whose parts are both ``known``, but were not both ``before``.
+def border(words: Words, known: np.ndarray | None, before: np.ndarray | None = None) -> Iterator[np.ndarray]:
+    """Hashes, as they occur, of the phrases whose parts are both ``known``, but were not both ``before``.
 
-    Without ``known`` these are all phrases; without ``before``, all words are among them. With ``deep``, phrases
-    that are counted here may be parts of others, as nothing says yet that they are rare.
+    Without ``known`` these are all phrases; without ``before``, all words are among them.
     """
-    open_, was = None, None
+    open_ = was = None
     for k, h in enumerate(words.rolled(), 1):
-        n = len(h)
-        if not n:
-            return
-        inside = words.pieces[:n] == words.pieces[k - 1 :]
+        take = words.pieces[: len(h)] == words.pieces[k - 1 :]
         if k > 1 and known is not None:
-            inside &= open_[:-1] & open_[1:]
-        new = inside
+            take &= open_[:-1] & open_[1:]
+        if known is not None:
+            open_ = take & _held(known, h)
         if before is not None:
-            new = np.zeros(n, bool) if k == 1 else inside & ~(was[:-1] & was[1:])
-        at = np.flatnonzero(new)
-        if len(at):
-            first, counts = words.grouped(k, at, h)
-            yield k, first, counts, h[first]
+            take &= ~(was[:-1] & was[1:]) if k > 1 else False
+            was = _held(before, h)
+        yield h[take]
+
+
+def exact(words: Words, wanted: np.ndarray, known: np.ndarray | None, before: np.ndarray | None) -> Iterator[tuple]:
+    """(k, places, counts) of the ``wanted`` phrases of k words.
+
+    With ``known`` and ``before``, of all that a ``border`` of them holds as well. What that holds may be part of others,
+    as nothing says yet that it is rare.
+    """
+    open_ = was = None
+    for k, h in enumerate(words.rolled(), 1):
+        inside = words.pieces[: len(h)] == words.pieces[k - 1 :]
+        take = inside & _held(wanted, h)
         if known is not None:
-            open_ = inside & (_held(known, h) | new) if deep else inside & _held(known, h)
-            was = None if before is None else _held(before, h)
+            new = np.zeros(len(h), bool) if k == 1 else inside & open_[:-1] & open_[1:] & ~(was[:-1] & was[1:])
+            open_, was = inside & (_held(known, h) | new), _held(before, h)
+            take |= new
+        at = np.flatnonzero(take)
+        if len(at):
+            yield k, *words.grouped(k, at, h)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
@@ -156,62 +173,49 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), text_of(F.col("text").cast("string")).alias("text"))
 
 
-class Known:
-    """The filter that a pass goes by, and the one of the pass before, as the tasks get them."""
-
-    def __init__(self, spark, now: np.ndarray, before: np.ndarray | None = None, deep: bool = False):
-        self.now, self.deep = now, deep
-        self.sent = spark.sparkContext.broadcast((now, before, deep))
-
-
-def counts(texts: DataFrame, known: Known) -> DataFrame:
-    """(lang, phrase, f) of all phrases that the pass counts; f of the empty phrase is the number of words."""
-    sent = known.sent
+def tallied(texts: DataFrame, least: float, known: np.ndarray | None, before: np.ndarray | None = None) -> DataFrame:
+    """(hash, f) of what ``border`` gives, where f is ``least`` or more; hash 0 has the number of words."""
+    sent = texts.sparkSession.sparkContext.broadcast((known, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before, deep = sent.value
+        now, then = sent.value
         for words in _chunks(batches):
-            if before is None and len(words.ids):
-                n = np.bincount(words.lang, minlength=len(words.langs))
-                yield pa.RecordBatch.from_arrays([words.langs.cast(pa.string()), pa.array([""] * len(n)), pa.array(n)], ["lang", "phrase", "f"])
-            for k, at, f, _ in counted(words, now, before, deep):
-                langs = words.langs.take(pa.array(words.lang[at])).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([langs, words.phrases(k, at), pa.array(f)], ["lang", "phrase", "f"])
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([len(words.ids)])], ["hash", "f"])
+            for h in border(words, now, then):
+                found, f = pa.array(h.view("i8")).value_counts().flatten()
+                yield pa.RecordBatch.from_arrays([found, f], ["hash", "f"])
 
-    found = texts.mapInArrow(run, "lang string, phrase string, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    found = texts.mapInArrow(run, "hash long, f long")
+    return found.groupBy("hash").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("hash") == 0))
 
 
-def proposed(texts: DataFrame, least: int, share: float) -> DataFrame:
-    """(hash) of the phrases that are frequent in a sample of the rows."""
+def counts(texts: DataFrame, least: int, wanted: np.ndarray, known: np.ndarray | None, before: np.ndarray | None) -> DataFrame:
+    """(lang, phrase, f) of what ``exact`` gives, where f is ``least`` or more; f of the empty phrase is the number of words."""
+    sent = texts.sparkSession.sparkContext.broadcast((wanted, known, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _chunks(batches):
-            for _, _, f, h in counted(words, None):
-                yield pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(f)], ["hash", "f"])
+            n = np.bincount(words.lang, minlength=len(words.langs))
+            yield pa.RecordBatch.from_arrays([words.langs.cast(pa.string()), pa.array([""] * len(n)), pa.array(n)], ["lang", "phrase", "f"])
+            for k, at, f in exact(words, *sent.value):
+                langs = words.langs.take(pa.array(words.lang[at])).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([langs, words.phrases(k, at), pa.array(f)], ["lang", "phrase", "f"])
 
-    found = texts.sample(share, SEED).mapInArrow(run, "hash long, f long")
-    return found.groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= max(2, LOWERED * share * least)).select("hash")
+    found = texts.mapInArrow(run, "lang string, phrase string, f long")
+    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
-def failures(frequent: DataFrame, known: Known) -> DataFrame:
+def failures(tally: DataFrame, known: np.ndarray) -> DataFrame:
     """(hash, f) of frequent phrases that were not known and may be parts of others."""
-    sent = known.sent
+    sent = tally.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = sent.value[0]
         for batch in batches:
-            # a phrase has no break, and so is a text of one piece
-            words = Words(*batch.columns[:2])
-            starts = np.flatnonzero(np.diff(words.texts, prepend=-1))
-            width = np.diff(starts, append=len(words.ids))
-            out = np.zeros(len(starts), "u8")
-            for k, h in enumerate(words.rolled(), 1):
-                out[width == k] = h[starts[width == k]]
-            failed = (width < LONGEST) & ~_held(now, out)
-            yield pa.RecordBatch.from_arrays([pa.array(out[failed].view("i8")), batch.column(2).filter(pa.array(failed))], ["hash", "f"])
+            h = batch.column(0).to_numpy().view("u8")
+            k = h & np.uint64(7)
+            yield batch.filter(pa.array((k > 0) & (k < LONGEST) & ~_held(sent.value, h)))
 
-    return frequent.where("phrase <> ''").mapInArrow(run, "hash long, f long")
+    return tally.mapInArrow(run, "hash long, f long")
 
 
 def bits_of(hashes: DataFrame, places: int = PLACES) -> np.ndarray:
@@ -226,21 +230,21 @@ def bits_of(hashes: DataFrame, places: int = PLACES) -> np.ndarray:
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, share: float = SHARE, places: int = PLACES, few: float = FEW) -> DataFrame:
     """(lang, phrase, f) of all phrases of 1 to 5 words with f of ``least`` or more, and of the empty phrase, exactly."""
-    spark, texts = docs.sparkSession, _plain(docs)
-    known, out = Known(spark, bits_of(proposed(texts, least, share), places)), None
+    texts = _plain(docs)
+    proposed = tallied(texts.sample(share, SEED), max(2, LOWERED * share * least), None)
+    known, before, wanted = bits_of(proposed, places), None, np.uint8(0)
     while True:
-        found = materialise(counts(texts, known).where((F.col("f") >= least) | (F.col("phrase") == "")), "phrases")
-        out = found if out is None else out.unionByName(found)
-        if known.deep:
-            known.sent.destroy()
-            return out
-        failed = materialise(failures(found, known), "border")
-        seen = failed.agg(F.sum("f")).first()[0]
+        tally = materialise(tallied(texts, least, known, before), "phrase-hashes")
+        wanted = wanted | bits_of(tally, places)
+        failed = materialise(failures(tally, known), "border")
+        seen, total = failed.agg(F.sum("f")).first()[0], tally.where("hash = 0").agg(F.sum("f")).first()[0]
         if seen is None:
-            return out
-        total = out.where("phrase = ''").agg(F.sum("f")).first()[0]
-        known.sent.destroy()
-        known = Known(spark, known.now | bits_of(failed, places), known.now, seen <= few * total)
+            known = before = None  # closed: no border is left
+            break
+        known, before = known | bits_of(failed, places), known
+        if seen <= few * total:
+            break
+    return materialise(counts(texts, least, wanted, known, before), "phrases")
 
 
 # ranks are given in two steps, the first over so many parts of a language

@@ -77,6 +77,16 @@ def test_a_long_text_and_an_empty_table(spark):
     assert phrases.phrases(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_no_phrase_of_a_pass_is_lost_to_a_shared_hash(spark, monkeypatch):
+    # all hashes alike: nothing can be told apart before the last pass
+    monkeypatch.setattr(phrases, "_mixed", lambda h: h * np.uint64(0))
+    words = phrases.Words(pa.array(["en"]), pa.array(["a b a b c"]))
+    bits = np.full(4, 255, "u1")
+    assert [h.tolist() for h in phrases.border(words, bits)] == [[k] * (6 - k) for k in range(1, 6)]
+    found = {p: n for k, at, f in phrases.exact(words, bits, None, None) for p, n in zip(words.phrases(k, at).to_pylist(), f)}
+    assert found["a b"] == 2 and found["a"] == 2 and found["a b a b c"] == 1 and len(found) == 3 + 3 + 3 + 2 + 1
+
+
 # -- manifest
 
 
