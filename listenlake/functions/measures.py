@@ -1,7 +1,6 @@
-"""Aggregate expressions the KPI tables are made of.
+"""Expressions the KPI tables are made of.
 
-All of them are declarative aggregates with a fixed-width buffer, so Spark combines them on
-the map side before any shuffle.
+The aggregate is declarative with a fixed-width buffer, so Spark combines it on the map side before any shuffle.
 """
 
 from __future__ import annotations
@@ -19,20 +18,3 @@ def flagged(condition: Column) -> Column:
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part, whole) * 100, digits)
-
-
-def share_pct(condition: Column, counted: str) -> Column:
-    return percent(flagged(condition), F.count(counted))
-
-
-def mean(col: str, digits: int = 2) -> Column:
-    return F.round(F.avg(col), digits)
-
-
-def hours(seconds: str, digits: int = 3) -> Column:
-    return F.round(F.sum(seconds) / SECONDS_PER_HOUR, digits)
-
-
-def completion_pct(listen: str, duration: str) -> Column:
-    """Ratio of the two averages; each average skips its own nulls."""
-    return percent(F.avg(listen), F.avg(duration))
