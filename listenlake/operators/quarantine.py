@@ -18,6 +18,7 @@ def to_quarantine(
     Rule helper columns are left out of the JSON, since the log has its own reason column.
     """
     record = F.struct(*[c for c in invalid.columns if c not in HELPERS])
+    # The six columns of the log.
     return invalid.select(
         F.lit(source_table).alias("source_table"),
         F.col(key).cast("string").alias("natural_key"),

@@ -6,6 +6,8 @@ distinct count adds the counted key to the first shuffle, so a hot group is spre
 
 A table is made in two steps: sums per group, which add up over any parts of the fact, and measures from
 sums. So the sums may also be kept per part and be put together again (see ``rollup``).
+
+Fixed values: the columns of the five tables, their keys among them, are what readers of the tables rely on.
 """
 
 from __future__ import annotations

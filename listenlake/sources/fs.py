@@ -23,12 +23,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop))
 
 
-def rename(spark: SparkSession, path: str, target: str) -> None:
-    """Move a folder to a name that doesn't exist yet; one step on file systems that have folders."""
+def rename(spark: SparkSession, path: str, target: str, last: str) -> None:
+    """Move a folder to a name that doesn't exist yet; the file named ``last`` comes after all others.
+
+    Moving is one step on file systems that have folders; others copy file by file, and may break off between.
+    """
     fs, hadoop = _open(spark, path)
-    into = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(into.getParent())
-    if not fs.rename(hadoop, into):
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(at(target).getParent())
+    marked = at(f"{path}/{last}")
+    held = at(f"{path}.{last}")
+    # the mark waits beside the folder; one of an earlier move that broke off may still be there
+    fs.delete(held, False)
+    if not (fs.rename(marked, held) and fs.rename(hadoop, at(target)) and fs.rename(held, at(f"{target}/{last}"))):
         raise OSError(f"{path} could not be renamed to {target}")
 
 

@@ -3,6 +3,9 @@
 Used for watermarks, remembered schemas and table commits. An entry is one text file in a folder
 of its own; it exists once Spark has marked that folder complete, so a crash in the middle leaves
 the entry before it in force.
+
+A log has one writer at a time, as has a table that commits to it: an entry that is there is never written over, but
+nothing keeps two writers from looking at the same instant. One stream with one checkpoint per table sees to that.
 """
 
 from __future__ import annotations
