@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -16,6 +17,11 @@ class Layout:
     root: str
     run: str = "r0"
 
+    def next_run(self) -> Layout:
+        """The layout of the generation after this one: r0, r1 and so on."""
+        name, number = re.fullmatch(r"(.*?)(\d*)", self.run).groups()
+        return replace(self, run=f"{name}{int(number or 0) + 1}")
+
     def landing(self, name: str) -> str:
         return f"{self.root}/landing/{name}"
 
