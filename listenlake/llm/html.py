@@ -15,6 +15,8 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -42,11 +44,13 @@ CLOSES_P = frozenset(
 )
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol dl table body html".split())
+P_SCOPES = frozenset("#root html table td th caption button object template applet marquee".split())
 TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
     r"|<([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*|[^>]*)>",
     re.DOTALL,
 )
+OPEN_COMMENT = re.compile(r"()()<!--.*\Z", re.DOTALL)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECE = re.compile(r"[a-z]+")
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
@@ -82,9 +86,15 @@ class Page:
 
 
 def parsed(html: str) -> Page:
-    """The page as a tree of block elements; inline elements only tell which words are links."""
+    """The page as a tree of block elements; inline elements only tell which words are links.
+
+    Each step takes time by what it reads or closes, so that broken markup of any kind is read in linear time.
+    """
     page = Page()
     stack = [page.open("#root", "", -1)]
+    # where in the stack each tag is open, lowest first; and where a search for an open p, or for an item, stops
+    at_tag: dict[str, list[int]] = defaultdict(list)
+    p_scopes, scopes = [0], [0]
     texts: list[str] = []
     links, linked_words = 0, 0
 
@@ -105,7 +115,12 @@ def parsed(html: str) -> Page:
         nonlocal links
         flush()
         links = 0
-        del stack[upto:]
+        while len(stack) > upto:
+            tag = page.tags[stack.pop()]
+            at_tag[tag].pop()
+            for held, kinds in ((p_scopes, P_SCOPES), (scopes, SCOPES)):
+                if tag in kinds:
+                    held.pop()
 
     def add(text: str) -> None:
         nonlocal linked_words
@@ -115,20 +130,21 @@ def parsed(html: str) -> Page:
             if links:
                 linked_words += len(text.split())
 
-    at, raw_end = 0, None
-    while m := TAG.search(html, at):
+    # behind the last > no tag can end, and a comment without an end runs to the end of the page
+    at, last, raw_end = 0, html.rfind(">"), None
+    while (m := TAG.search(html, at, last + 1)) or (m := OPEN_COMMENT.search(html, max(at, last))):
         add(html[at : m.start()])
         at = m.end()
         end, tag = m[1], m[2]
+        if html.startswith("<!--", m.start()) and not html.endswith("-->", m.start() + 4, at):
+            at = len(html)
         if end:
             end = end.lower()
             if end == "a":
                 links = max(links - 1, 0)
             elif end not in INLINE:
-                for k in range(len(stack) - 1, 0, -1):
-                    if page.tags[stack[k]] == end:
-                        close(k)
-                        break
+                if at_tag[end]:
+                    close(at_tag[end][-1])
                 else:
                     flush()
         elif tag:
@@ -138,18 +154,19 @@ def parsed(html: str) -> Page:
             elif tag == "a":
                 links = 1
             elif tag not in INLINE:
-                if tag in CLOSES_P and "p" in (page.tags[i] for i in stack[-3:]):
-                    close(max(k for k in range(len(stack)) if page.tags[stack[k]] == "p"))
-                ended = ENDED_BY.get(tag, ())
-                for k in range(len(stack) - 1, 0, -1):
-                    open_ = page.tags[stack[k]]
-                    if open_ in ended:
-                        close(k)
-                    elif open_ in SCOPES:
-                        break
+                if tag in CLOSES_P and at_tag["p"] and at_tag["p"][-1] > p_scopes[-1]:
+                    close(at_tag["p"][-1])
+                # all open items of its kind that no list or table shields
+                found = [k for x in ENDED_BY.get(tag, ()) for k in at_tag[x][bisect_right(at_tag[x], scopes[-1]) :]]
+                if found:
+                    close(min(found))
                 flush()
                 node = page.open(tag, m[3] or "", stack[-1])
                 if tag not in VOID:
+                    at_tag[tag].append(len(stack))
+                    for held, kinds in ((p_scopes, P_SCOPES), (scopes, SCOPES)):
+                        if tag in kinds:
+                            held.append(len(stack))
                     stack.append(node)
                 if tag in RAW and (raw_end := re.compile(rf"</{tag}", re.IGNORECASE).search(html, at)):
                     at = raw_end.start()
@@ -173,8 +190,11 @@ def _size(n: int) -> int:
     return n.bit_length()
 
 
-def node_slots(page: Page) -> list[list[int]]:
-    """Features of every node."""
+def node_slots(page: Page) -> tuple[list[list[int]], list[list[int]]]:
+    """Features of every node, and those that a node gives to all nodes below it.
+
+    What a node lies in, the names of all elements around it, is said once where a name first occurs on the way down.
+    """
     n = len(page.tags)
     words, linked, paragraphs = page.words[:], page.linked[:], [int(t == "p") for t in page.tags]
     for i in range(n - 1, 0, -1):
@@ -182,15 +202,19 @@ def node_slots(page: Page) -> list[list[int]]:
         words[p] += words[i]
         linked[p] += linked[i]
         paragraphs[p] += paragraphs[i]
-    whole, depth, out = max(words[0], 1), [0] * n, []
-    inside: list[frozenset[str]] = [frozenset()] * n
+    whole, depth, own_slots, given = max(words[0], 1), [0] * n, [], []
+    way: list[tuple[int, set[str]]] = []  # the open nodes and the names that each has added
+    around: set[str] = set()
     for i in range(n):
         p, tag = page.parents[i], page.tags[i]
+        while way and way[-1][0] != p:
+            around -= way.pop()[1]
         if i:
             depth[i] = depth[p] + 1
-            # a node is also known by the named elements that it lies in
-            more = {*page.names[i], *((tag,) if tag in SECTION else ())}
-            inside[i] = inside[p] if more <= inside[p] else inside[p] | more
+        more = ({*page.names[i], *((tag,) if tag in SECTION else ())} if i else set()) - around
+        around |= more
+        way.append((i, more))
+        given.append([_slot("inside", w) for w in sorted(more)])
         own, links = page.words[i], 4 * linked[i] // max(words[i], 1)
         slots = [
             _slot("tag", tag), _slot("own", _size(own)), _slot("words", _size(words[i])), _slot("links", (links, words[i] > 0)),
@@ -198,10 +222,13 @@ def node_slots(page: Page) -> list[list[int]]:
             _slot("place", 6 * i // n), _slot("marks", min(8 * page.marks[i] // max(own, 1), 6) if own else "none"),
             _slot("tag own", (tag, _size(own) // 2)), _slot("tag links", (tag, links)),
         ]
-        slots += [_slot("name", w) for w in page.names[i]]
-        slots += [_slot("inside", w) for w in (inside[p] if i else ())]
-        out.append(slots)
-    return out
+        own_slots.append(slots + [_slot("name", w) for w in page.names[i]])
+    return own_slots, given
+
+
+def _flat(slots: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All slots in one array, and the node of each."""
+    return np.array([s for row in slots for s in row], int), np.repeat(np.arange(len(slots)), [len(row) for row in slots])
 
 
 @dataclass(frozen=True)
@@ -214,26 +241,43 @@ class Forest:
     """Nodes of many pages in one set of arrays, ordered for message passing level by level."""
 
     def __init__(self, pages: list[Page]):
-        slots, parents, kinds, offset = [], [], [], 0
+        slots, given, parents, kinds, offset = [], [], [], [], 0
         for page in pages:
-            slots += node_slots(page)
+            for all_, own in zip((slots, given), node_slots(page)):
+                all_ += own
             parents += [p + offset if p >= 0 else -1 for p in page.parents]
             kinds += [int(t in SECTION) for t in page.tags]
             offset += len(page.tags)
         self.n = offset
         self.parents, self.kinds = np.array(parents, int), np.array(kinds, int)
-        self.flat = np.array([s for row in slots for s in row], int)
-        self.owner = np.repeat(np.arange(self.n), [len(row) for row in slots])
+        (self.flat, self.owner), (self.given, self.giver) = _flat(slots), _flat(given)
         depth = np.zeros(self.n, int)
         for i in range(self.n):
             if parents[i] >= 0:
                 depth[i] = depth[parents[i]] + 1
-        self.levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)] if self.n else []
+        order = np.argsort(depth, kind="stable")
+        self.levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1) if self.n else []
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each node's features, those given by the nodes around it included."""
+        passed = np.bincount(self.giver, weights[self.given], self.n)
+        around = np.zeros(self.n)
+        for level in self.levels[1:]:
+            parents = self.parents[level]
+            around[level] = around[parents] + passed[parents]
+        return np.bincount(self.owner, weights[self.flat], self.n) + around
+
+    def summed(self, x: np.ndarray) -> np.ndarray:
+        """By slot, the sum of ``x`` over the nodes that have it: the transpose of ``scores``."""
+        below = np.zeros(self.n)
+        for level in self.levels[:0:-1]:
+            np.add.at(below, self.parents[level], below[level] + x[level])
+        return np.bincount(self.flat, x[self.owner], 1 << BITS) + np.bincount(self.given, below[self.giver], 1 << BITS)
 
     def marginals(self, weights: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of node states, and of (parent, child) states; messages as log potentials."""
         unary = np.zeros((self.n, 2))
-        unary[:, 1] = np.bincount(self.owner, weights[self.flat], self.n)
+        unary[:, 1] = self.scores(weights)
         up, sent = unary.copy(), np.zeros((self.n, 2))
         for level in self.levels[:0:-1]:
             x = edges[self.kinds[level]] + up[level][:, None, :]  # parent state, child state
@@ -264,7 +308,7 @@ def train_model(pages: list[Page], labels: list[list[int]], epochs: int = 150) -
     np.add.at(truth, (forest.kinds[child], y[forest.parents[child]].astype(int), y[child].astype(int)), 1.0)
     for _ in range(epochs):
         one, pair = forest.marginals(weights, edges)
-        gradient = np.bincount(forest.flat, (y - one)[forest.owner], 1 << BITS) / len(pages) - 1e-3 * weights
+        gradient = forest.summed(y - one) / len(pages) - 1e-3 * weights
         expected = np.zeros_like(edges)
         np.add.at(expected, forest.kinds[child], pair[child])
         edge_gradient = (truth - expected) / len(pages) - 1e-3 * edges

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -100,8 +101,21 @@ def test_decoding_finds_the_best_tags():
     assert tagger.decoded(0, len(tokens), tokens, gaps, file) == list(best)
 
 
+def all_slots(page):
+    """Features of every node, with those given by the nodes it lies in."""
+    own, given = H.node_slots(page)
+    out = []
+    for i, slots in enumerate(own):
+        p, around = page.parents[i], []
+        while p >= 0:
+            around += given[p]
+            p = page.parents[p]
+        out.append(slots + around)
+    return out
+
+
 def brute_marginals(page, weights, edges):
-    slots, n = H.node_slots(page), len(page.tags)
+    slots, n = all_slots(page), len(page.tags)
     total, one = 0.0, np.zeros(n)
     for y in np.ndindex(*[2] * n):
         z = sum(weights[slots[i]].sum() for i in range(n) if y[i])
@@ -154,10 +168,49 @@ def test_main_text_of_given_pages_and_of_other_layouts(spark):
     assert right > 0.95 * blocks
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " * 350_000, '<a href="' * 110_000, "<a href='" * 110_000 + ">", "<!-- x " * 150_000, "<!-- x> " * 120_000, "</p" * 300_000, "</x>" * 250_000,
+        "<" * 10**6, "<p>" * 300_000, "<li>" * 200_000, "<div>" * 5_000 + "</x>" * 150_000, "<div>" * 5_000 + "<li>a" * 100_000, "<!" * 500_000,
+        "<table>" * 400 + "<td>x" * 90_000, "<p>" + "<b>" * 250_000 + "<div>" * 1_000, "&" * 10**6, "<script>" * 120_000, '<a "\'>' * 160_000,
+    ],
+)
+def test_broken_pages_are_read_in_linear_time(html):
+    H.parsed("<p>warm")
+    begun = time.process_time()
+    H.parsed(html)
+    assert time.process_time() - begun < 6  # about a second on an idle machine
+
+
+def test_pages_of_any_depth_take_memory_by_their_size():
+    page = H.parsed("".join(f'<div class="{w}">' for w in names_of(5_000)) + "<p>deep")
+    own, given = H.node_slots(page)
+    assert sum(map(len, own)) + sum(map(len, given)) < 40 * len(page.tags)
+    weights, edges = np.zeros(1 << H.BITS), np.zeros((2, 2, 2))
+    weights[given[1]] = 1.0
+    one, _ = H.Forest([page]).marginals(weights, edges)
+    assert one[-1] > 0.7
+
+
+def names_of(n):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return ["".join(letters[i // 26**k % 26] for k in range(4)) for i in range(n)]
+
+
+def test_text_after_an_unclosed_comment_is_part_of_it():
+    assert [t for _, t in H.parsed("<p>a<!-- b <i>c</i> d").blocks] == ["a"]
+    assert [t for _, t in H.parsed("<p>a<!-- b --> c<!-- d").blocks] == ["a c"]
+    # an open paragraph ends at a block however deep it is, but not one outside a table cell
+    page = H.parsed("<p>a<span><custom><custom><custom>b<div>c</div><table><tr><td>d<div>e</div></table>")
+    assert [t for _, t in page.blocks] == ["a", "b", "c", "d", "e"]
+    assert "p" not in [page.tags[p] for t, p in zip(page.tags, page.parents) if t == "div"]
+
+
 def test_deep_blocks_know_all_that_encloses_them():
     deep = "".join(f'<div class="comment-list__item--depth-{x}">' for x in "abcdefgh")
     page = H.parsed(f'<aside class="comments"><div class="sidebar">{deep}<p>x</p></div></aside>')
-    slots = H.node_slots(page)[page.tags.index("p")]
+    slots = all_slots(page)[page.tags.index("p")]
     assert {H._slot("inside", w) for w in ("aside", "comments", "sidebar", "comment", "h")} <= set(slots)
 
 
