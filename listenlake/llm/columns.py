@@ -25,3 +25,8 @@ def once(*cols: Column) -> Column:
     below such a step; a plain select may be merged into its consumer and computed again each time.
     """
     return F.array(F.struct(*cols))
+
+
+def tagged(docs: DataFrame, tag: Column) -> DataFrame:
+    """(_row, _tag): every row as one value, whose names can't clash with any, and what the row is known by."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), tag.alias("_tag"))

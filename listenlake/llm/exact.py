@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlake.llm.columns import WHITE, text_of
+from listenlake.llm.columns import WHITE, tagged, text_of
 from listenlake.operators.durable import materialise
 
 BLOCK = 4096
@@ -140,5 +140,5 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     stay = _grouped(docs, BLOCK, "xxhash64(block)").where("kept")
     stay = stay.select(tag(F.col("points"), F.col("text_sha256")).alias("_tag"))
     text = text_of("text")
-    tagged = docs.withColumn("_tag", tag(F.length(text), F.sha2(normalised(text), 256)))
-    return tagged.join(stay, "_tag", "left_semi").dropDuplicates(["_tag"]).select(docs.columns)
+    rows = tagged(docs, tag(F.length(text), F.sha2(normalised(text), 256)))
+    return rows.join(stay, "_tag", "left_semi").dropDuplicates(["_tag"]).select("_row.*")

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listenlake.llm.components import components
-from listenlake.llm.columns import text_of
+from listenlake.llm.columns import tagged, text_of
 from listenlake.operators.durable import materialise
 
 SHINGLE = 5
@@ -457,5 +457,4 @@ def drop_near(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag")
     first = known.where("n > 0").groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.tag").alias("_tag"))
     stay = materialise(first.unionByName(known.where("n = 0").select(F.col("tag").alias("_tag"))).distinct(), "kept")
-    tagged = docs.withColumn("_tag", _tag())
-    return tagged.join(stay, "_tag", "left_semi").dropDuplicates(["_tag"]).select(docs.columns)
+    return tagged(docs, _tag()).join(stay, "_tag", "left_semi").dropDuplicates(["_tag"]).select("_row.*")

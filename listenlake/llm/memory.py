@@ -1,9 +1,12 @@
-"""A memory of computed values that is bounded and keeps what is asked for often."""
+"""A memory of computed values that is bounded and keeps what is asked for often, and what a worker keeps at all."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Hashable
 
+import pyarrow as pa
+
 
 class Memory(dict):
     """``memory[key]`` is ``compute(key)``; at most twice ``most`` values are held.
@@ -26,3 +29,21 @@ class Memory(dict):
                 self.clear()
             self[key] = found
         return found
+
+
+_held: dict = {}
+
+
+def held(kind: str, key: Hashable, make: Callable[[], object]):
+    """``make()``, or what it gave when this worker was last asked for the same ``kind`` and ``key``.
+
+    Worker processes live on from stage to stage. A worker keeps the things of one kind only, two at most, and
+    gives back what an earlier stage of another kind has left.
+    """
+    if (kind, key) not in _held:
+        if len(_held) >= 2 or any(other != kind for other, _ in _held):
+            _held.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+        _held[kind, key] = make()
+    return _held[kind, key]

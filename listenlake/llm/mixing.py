@@ -11,7 +11,6 @@ G = sum of tokens * p p' over the rows whose rate can move, and rates by tokens,
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
 
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlake.llm.columns import text_of
+from listenlake.llm.columns import tagged, text_of
 from listenlake.operators.durable import materialise
 
 TRIGRAMS, SHAPES = 2048, 6
@@ -99,30 +98,31 @@ def train(docs: DataFrame, labelled: DataFrame, most: int = 4000, longest: int =
     known = labelled.select(F.col("doc_id").cast("long").alias("_id"), F.col("domain").cast("string").alias("_domain"))
     known = known.where("_id IS NOT NULL AND _domain IS NOT NULL").groupBy("_id").agg(F.min("_domain").alias("_domain"))
     drawn = known.orderBy(F.xxhash64("_id"), "_id").limit(most)
-    texts = docs.join(F.broadcast(drawn), docs.doc_id.cast("long") == F.col("_id"))  # of a fixed number of rows
-    texts = texts.where(F.length(text_of("text")) <= longest).dropDuplicates(["_id"])
-    rows = texts.select("_id", text_of("text").alias("_text"), "_domain").toArrow().sort_by("_id")
+    plain = docs.select(F.col("doc_id").cast("long").alias("_id"), text_of("text").alias("_text"))
+    texts = plain.where(F.length("_text") <= longest).join(F.broadcast(drawn), "_id")  # of a fixed number of rows
+    rows = texts.dropDuplicates(["_id"]).select("_id", "_text", "_domain").toArrow().sort_by("_id")
     return fit(rows["_text"].to_pylist(), rows["_domain"].to_pylist())
 
 
-def with_posteriors(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs``, ``_tokens``, and one posterior column ``_p0``, ``_p1`` … per domain.
+def weighed(text: Column, model: Classifier) -> Column:
+    """Tokens of a text and its posterior of each domain, from the whole text alone, which is all that goes to Python."""
 
-    Posteriors come from the whole text, which goes back to Spark only if it is to be kept.
-    """
-    k = len(model.domains)
-    added = ["_tokens", *(f"_p{i}" for i in range(k))]
+    @F.arrow_udf("array<double>")
+    def run(texts: pa.Array) -> pa.Array:
+        found = []
+        for i in range(0, len(texts), 200):
+            p, counts = posteriors(texts.slice(i, 200).to_pylist(), model)
+            found += np.column_stack([counts, p]).tolist()
+        return pa.array(found, pa.list_(pa.float64()))
+
+    return run(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, len(batch), 200):
-                part = batch.slice(i, 200)
-                p, counts = posteriors(part.column("text").to_pylist(), model)
-                columns = [pa.array(counts, pa.int64()), *(pa.array(np.ascontiguousarray(p[:, j])) for j in range(k))]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], [*keep, *added])
 
-    schema = docs.select(*keep, F.lit(0).cast("long").alias("_tokens"), *[F.lit(0.0).alias(c) for c in added[1:]]).schema
-    return docs.mapInArrow(run, schema)
+def with_posteriors(docs: DataFrame, text: Column, model: Classifier) -> DataFrame:
+    """``docs`` with ``_tokens``, and one posterior column ``_p0``, ``_p1`` … per domain."""
+    found = docs.withColumn("_found", weighed(text, model))
+    posterior = [F.get("_found", F.lit(i + 1)).alias(f"_p{i}") for i in range(len(model.domains))]
+    return found.select(*docs.columns, F.get("_found", F.lit(0)).cast("long").alias("_tokens"), *posterior)
 
 
 def _raw(pull: list[float]) -> Column:
@@ -247,7 +247,7 @@ def mixing_rates(
     """
     model = train(docs, labelled, **bounds)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = materialise(with_posteriors(plain, model, ["doc_id"]), "posteriors")
+    scored = materialise(with_posteriors(plain, F.col("text"), model).drop("text"), "posteriors")
     rates = fitted(scored, model, targets if model.weights else None, tokens, least)
     p = [F.col(f"_p{i}") for i in range(len(model.domains))]
     best = F.coalesce(*[F.when(x == (F.greatest(*p) if len(p) > 1 else p[0]), F.lit(d)) for x, d in zip(p, model.domains)])
@@ -262,12 +262,11 @@ def mixed(
 ) -> DataFrame:
     """``docs`` with every row as often as its rate says, with its columns."""
     model = train(docs, labelled)
-    columns = [F.col(c).alias(c if c in ("text", "doc_id") else f"_c{i}") for i, c in enumerate(docs.columns)]
-    plain = docs.select(columns)
-    scored = materialise(with_posteriors(plain.select("doc_id", "text"), model, ["doc_id"]), "posteriors")
+    plain = tagged(docs, F.col("doc_id").cast("long")).withColumnRenamed("_tag", "doc_id")
+    posterior = with_posteriors(plain, F.col("_row.text"), model)
+    scored = materialise(posterior.drop("_row"), "posteriors")
     rates = fitted(scored, model, targets if model.weights else None, tokens, least)
     # the same model and pull give the same rates again, so the texts need not be joined to them
-    again = rated(with_posteriors(plain, model, plain.columns), rates, least)
+    again = rated(posterior, rates, least).where("_copies > 0")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    copies = again.where("_copies > 0").withColumn("_n", times)
-    return copies.select(*[F.col(c if c in ("text", "doc_id") else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return again.select("_row", times.alias("_n")).select("_row.*")

@@ -7,17 +7,16 @@ starts a new part. So a text is cut at such blanks, and the ids of what follows
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 
-from listenlake.llm.memory import Memory
+from listenlake.llm.memory import Memory, held
 
 # Fixed value: the text that the vocabulary keeps as one id.
 END_OF_TEXT, END_OF_TEXT_ID = "<|endoftext|>", 50256
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 
 class Encoder:
@@ -26,15 +25,16 @@ class Encoder:
     ``byte_bpe_50k.tiktoken`` holds the vocabulary of ``byte_bpe_50k.json``; both give the same ids, this
     one several times faster. With ``special`` the text of the end marker becomes its id, as it does by
     default with the other file; without, it is ordinary text. ``controls`` are strings without blanks that become
-    single ids after those of the vocabulary; ``pieces`` has the bytes of every id, and ``widths`` how many they are.
+    single ids after those of the vocabulary; ``widths`` has the number of bytes of every id.
     """
 
     def __init__(self, ranks_path: str, special: bool = True, controls: tuple[str, ...] = ()):
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         marks = {END_OF_TEXT: END_OF_TEXT_ID} | {text: END_OF_TEXT_ID + 1 + i for i, text in enumerate(controls)}
-        self.pieces = [piece for piece, _ in sorted((ranks | {m.encode(): i for m, i in marks.items()}).items(), key=lambda x: x[1])]
-        self.widths = np.array([len(piece) for piece in self.pieces])
+        pieces = [piece for piece, _ in sorted((ranks | {m.encode(): i for m, i in marks.items()}).items(), key=lambda x: x[1])]
+        self.widths = np.array([len(piece) for piece in pieces])
+        self._bytes, self._starts = np.frombuffer(b"".join(pieces), "u1"), np.cumsum(self.widths) - self.widths
         bpe = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
         allowed = set(marks) if special else set()
         self._ids = lambda text: bpe.encode(text, allowed_special=allowed, disallowed_special=())
@@ -59,13 +59,19 @@ class Encoder:
             first, *words = [*joined, " ".join(parts)]
         return b"".join([self._packed(first), *map(self._words.__getitem__, words)])
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        widths = self.widths[ids]
+        # for every byte, how far its place in the vocabulary is from its place in the text
+        shift = np.repeat(self._starts[ids] - (np.cumsum(widths) - widths), widths)
+        return self._bytes[np.arange(len(shift)) + shift].tobytes()
+
 
-@lru_cache(maxsize=2)
 def encoder(ranks_path: str | None = None, special: bool = True) -> Encoder:
-    return Encoder(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), special)
+    path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return held("encoder", (path, special), lambda: Encoder(path, special))
 
 
-@lru_cache(maxsize=1)
 def marked_encoder(controls: tuple[str, ...], ranks_path: str | None = None) -> Encoder:
     """An encoder to which ``controls`` are single ids."""
-    return Encoder(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), controls=controls)
+    path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return held("marked encoder", (path, controls), lambda: Encoder(path, controls=controls))

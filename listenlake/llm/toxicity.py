@@ -15,19 +15,16 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from listenlake.llm.columns import text_of
-from listenlake.llm.memory import Memory
+from listenlake.llm.memory import Memory, held
 
 OPENING = b" the of and to  the of and to "
 PUNCTUATION = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
@@ -36,7 +33,7 @@ COMMON_BYTES, TOXIC_BYTES = 4096, 4096
 MOST_SAVED = 8
 SHARES = (0.25, 0.4, 0.55, 0.7)
 CLASSES = (MOST_SAVED + 1) * (len(SHARES) + 1)
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 @dataclass(frozen=True)
@@ -103,13 +100,11 @@ def _ratio(k1: int, n1: int, k0: int, n0: int) -> float:
     return 2 * (fit(k1, n1, k1 / n1) + fit(k0, n0, k0 / n0) - fit(k1, n1, both) - fit(k0, n0, both))
 
 
-def toxic_segments(toxic: list[Counter], ordinary: list[Counter]) -> list[bytes]:
-    """Words that toxic rows hold far more often, the clearest first."""
-    inside, outside = (Counter(w for row in rows for w in row) for rows in (toxic, ordinary))
-    n1, n0 = len(toxic), len(ordinary)
+def toxic_segments(inside: Counter, n1: int, outside: Counter, n0: int) -> list[bytes]:
+    """Words that toxic rows hold far more often, the clearest first; given how many of ``n1`` toxic and ``n0`` ordinary rows hold them."""
     found = []
     for word, k in inside.items():
-        if 3 <= len(word) <= 64 and k >= 3 and k / n1 > 8 * outside[word] / n0:
+        if word and k >= 3 and k / n1 > 8 * outside[word] / n0:
             if (score := _ratio(k, n1, outside[word], n0)) > 20:
                 found.append((-score, word))
     return [w for _, w in sorted(found)]
@@ -122,25 +117,37 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size]
 
 
-def fit(rows: list[tuple[str, int]], whole: tuple[int, int] | None = None) -> Model:
+def fit(
+    rows: list[tuple[str, int]], whole: tuple[int, int] | None = None, common_bytes: int = COMMON_BYTES, toxic_bytes: int = TOXIC_BYTES
+) -> Model:
     """Train on (text, toxic) rows, drawn from ``whole`` ordinary and toxic ones.
 
+    The common part of the dictionaries has up to ``common_bytes``, the toxic one the clearest segments in ``toxic_bytes``.
+
     Where the two are drawn in other proportions than they occur, scores are set right by the odds.
     """
-    sides: list[list[Counter]] = [[], []]
+    # rows that hold a word, and rows themselves, as ordinary [0] and toxic [1]
+    held, n = (Counter(), Counter()), [0, 0]
     for text, toxic in rows:
-        sides[toxic].append(Counter(w.strip(PUNCTUATION) for w in words_of(text)))
-    ordinary, toxic = sides
-    all_ordinary, all_toxic = whole or (len(ordinary), len(toxic))
+        held[toxic].update({w.strip(PUNCTUATION) for w in words_of(text)})
+        n[toxic] += 1
+    all_ordinary, all_toxic = whole or n
     share = all_toxic / max(all_ordinary + all_toxic, 1)
-    segments = toxic_segments(toxic, ordinary) if toxic and ordinary else []
+    segments = toxic_segments(held[1], n[1], held[0], n[0]) if all(n) else []
     if not segments:
         return Model(share=share)
-    samples = [b" " + w + b" " for row in ordinary for w in list(row)[:60]]
-    common = _dictionary(samples, COMMON_BYTES)
+    del held
+    samples = [b" ".join([b"", *words_of(text), b""]) for text, toxic in rows if not toxic]
+    common = _dictionary(samples, common_bytes)
     # the clearest segments lie last, next to the opening
-    part = b"".join(b" " + w + b" " for w in reversed(segments))[-TOXIC_BYTES:]
-    filler = (b"".join(samples) * (len(part) // max(sum(map(len, samples)), 1) + 1))[: len(part)].ljust(len(part))
+    part = b"".join(b" " + w + b" " for w in reversed(segments))[-toxic_bytes:]
+    filler = b""
+    for sample in samples:
+        if len(filler) >= len(part):
+            break
+        filler += sample
+    del samples
+    filler = filler[: len(part)].ljust(len(part))
     model = Model(common + filler + OPENING, common + part + OPENING, part)
     windows = Windows(model)
     x = np.array([features(text, windows) for text, _ in rows])
@@ -153,20 +160,15 @@ def fit(rows: list[tuple[str, int]], whole: tuple[int, int] | None = None) -> Mo
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (p - y) + ridge @ weights)
         weights -= step * min(1.0, 2 / max(np.abs(step).max(), 1e-9))
     slopes = weights[1:] / spread
-    drawn = math.log(len(toxic) / len(ordinary))
+    drawn = math.log(n[1] / n[0])
     start = weights[0] - slopes @ mean + math.log(all_toxic / all_ordinary) - drawn
     return Model(model.ordinary, model.toxic, part, (start, *slopes), share)
 
 
-@lru_cache(maxsize=2)
-def _windows(model: Model) -> Windows:
-    return Windows(model)
-
-
 def score(text: str | None, model: Model) -> float:
     if not model.weights:
         return model.share
-    z = model.weights[0] + float(np.dot(features(text, _windows(model)), model.weights[1:]))
+    z = model.weights[0] + float(np.dot(features(text, held("windows", model, lambda: Windows(model))), model.weights[1:]))
     return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
 
 
@@ -196,26 +198,20 @@ def train(
         for y, n in ((1, most_toxic), (0, most_ordinary))
     ]
     # the sample has a fixed number of rows at most, so it may be broadcast and its texts be gathered
-    texts = docs.join(F.broadcast(drawn[0].unionByName(drawn[1])), docs.doc_id.cast("long") == F.col("_id"))
-    texts = texts.where(F.length(text_of("text")) <= longest).dropDuplicates(["_id"])
-    rows = texts.select("_id", text_of("text").alias("_text"), "_toxic").toArrow().sort_by("_id")
+    plain = docs.select(F.col("doc_id").cast("long").alias("_id"), text_of("text").alias("_text"))
+    texts = plain.where(F.length("_text") <= longest).join(F.broadcast(drawn[0].unionByName(drawn[1])), "_id")
+    rows = texts.dropDuplicates(["_id"]).select("_id", "_text", "_toxic").toArrow().sort_by("_id")
     return fit(list(zip(rows["_text"].to_pylist(), rows["_toxic"].to_pylist())), (found.get(0, 0), found.get(1, 0)))
 
 
-def scores(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``toxic_score`` in 0 to 1, from the whole text alone.
-
-    A null text counts as empty. The text goes back to Spark only if it is to be kept.
-    """
+def scored(text: Column, model: Model) -> Column:
+    """Score of a text in 0 to 1, from the whole text alone; a null counts as empty. Only the text goes to Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [score(x.as_py(), model) for x in batch.column("text")]
-            columns = [*(batch.column(c) for c in keep), pa.array(found, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "toxic_score"])
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([score(x.as_py(), model) for x in texts], pa.float64())
 
-    schema = StructType([*docs.select(*keep).schema.fields, StructField("toxic_score", DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return run(text)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
@@ -226,17 +222,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
     other ones, nothing can be learnt and every row gets the share of toxic ones (0 with no labels at all).
     """
     model = train(docs, labels, **bounds)
-    found = scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, ["doc_id"])
-    return found.select(
-        "doc_id", held_out().alias("held_out"), F.col("toxic_score").alias("score"),
-        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
-    )
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), scored(F.col("text"), model).alias("score"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score under ``limit``, with their columns."""
-    model = train(docs, labels)
-    columns = [F.col(c).alias(f"_{i}" if c != "text" else c) for i, c in enumerate(docs.columns)]
-    plain = docs.select(columns)
-    found = scores(plain, model, plain.columns).where(F.col("toxic_score") < limit)
-    return found.select(*[F.col(f"_{i}" if c != "text" else c).alias(c) for i, c in enumerate(docs.columns)])
+    """The rows of ``docs`` that score under ``limit``, with their columns, whatever their names."""
+    return docs.where(scored(F.col("text"), train(docs, labels)) < limit)

@@ -9,7 +9,8 @@ from conftest import SMALL
 from fixtures import SCHEMA, components, near_copies, rows
 from pyspark.sql import functions as F
 
-from listenlake.llm import toxicity, warc
+from listenlake.llm import exact, merkle, mixing, packing, quality, queries, secrets, tokens, toxicity, warc
+from listenlake.llm.jaccard import near_groups
 
 PAGES = [
     (1, "http://a", "<p>x</p>"), (2, "http://b", "<p>x</p>"), (3, None, None), (4, "https://c\r\nEvil: 1", ""), (5, "https://d", "WARC/1.0\r\n\r\n" * 3),
@@ -101,3 +102,30 @@ def test_the_pipeline_takes_clashing_columns_and_nulls(spark):
         docs = stage(spark, docs, SMALL)
         assert docs.columns == [x.split()[0] for x in SCHEMA.split(", ")]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= 4
+
+
+# names that operators use inside
+INNER = "_tag _id _toxic _domain _text _row _n _found _tokens _p0 _rate _copies _raw tag class root score best row level".split()
+
+
+def test_inner_names_of_the_caller_come_back_as_they_were(spark):
+    import corpus_pipeline
+
+    texts = [*near_copies(9, 3, 4), (None, "x y"), (3, "a b"), (3, "a b")]
+    data = [(*r[:5], *(f"{name} {i}" for name in INNER)) for i, r in enumerate(rows(texts))]
+    ddl = ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *(f"{name} string" for name in INNER)])
+    docs = spark.createDataFrame(data, ddl)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL)
+        found = docs.collect()
+        assert found and {tuple(r) for r in found} <= set(data), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= 3
+    docs = spark.createDataFrame(data, ddl)
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    known = queries.labelled_domains(docs, labels)
+    runs = [
+        exact.exact_groups, near_groups, tokens.document_tokens, secrets.secrets, quality.quality_rules, packing.packed, merkle.manifest,
+        lambda d: toxicity.toxicity(d, labels), lambda d: mixing.mixing_rates(d, known, queries.MIX),
+    ]
+    for run in runs:
+        assert run(docs).select("doc_id").distinct().count() == len({r[0] for r in data})
