@@ -85,11 +85,18 @@ def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, t in zip(columns, types)], list(names))
 
 
+def _values(column: pa.Array) -> list:
+    """Python values; lists as arrays."""
+    if pa.types.is_list(column.type):
+        return [x.values.to_numpy(zero_copy_only=False) for x in column]
+    return column.to_pylist()
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows, of which a few at a time are Python objects."""
     for batch in batches:
         for start in range(0, batch.num_rows, 64):
-            yield from zip(*(column.to_pylist() for column in batch.slice(start, 64).columns))
+            yield from zip(*map(_values, batch.slice(start, 64).columns))
 
 
 def _batches(rows: Iterator[tuple[tuple, int]], kind: str) -> Iterator[pa.RecordBatch]:
@@ -180,12 +187,12 @@ def read_back(segments: DataFrame, ranks_path: str | None = None) -> DataFrame:
     def read(rows: Iterator[tuple]) -> Iterator[tuple[tuple, int]]:
         encoder = marked_encoder(CONTROLS, ranks_path)
         for conv, part, at, whole, text, ids, mask in rows:
-            data = b"".join(map(encoder.pieces.__getitem__, ids))
+            data = encoder.decode(ids)
             if data != text.encode():
                 raise ValueError(f"the ids of conversation {conv} are not those of its text")
             turns = turns_of(text)
             said = "".join(f"{r}\n{t}\n" for r, t in turns)
-            loss = "".join(learnt(data, encoder.widths[np.array(ids, int)], np.array(mask, bool)))
+            loss = "".join(learnt(data, encoder.widths[ids], mask))
             counts = len(loss), len(text)
             if whole:
                 yield (conv, part, at, len(turns), _sha(said), counts[0], _sha(loss), counts[1], None, None), 0

@@ -167,7 +167,7 @@ def test_rendering_is_reversible_and_masks_are_exact(role, text):
     assert chat.turns_of(rendered) == turns
     encoder = marked_encoder(chat.CONTROLS)
     ids = np.frombuffer(encoder.encode(rendered), "<u4")
-    data = b"".join(encoder.pieces[i] for i in ids)
+    data = encoder.decode(ids)
     assert data.decode() == rendered
     mask = chat.masked(encoder.widths[ids], spans)
     wanted = [x for r, x in turns if r == "assistant" and x]
