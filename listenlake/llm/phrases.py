@@ -117,6 +117,18 @@ def _held(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype("u1")) & np.uint8(1) != 0
 
 
+def _opened(words: Words, k: int, h: np.ndarray, was: np.ndarray | None, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a pass with the filter ``before`` has counted phrases of ``k`` words, and where it let longer ones through.
+
+    ``was`` is the second of these for phrases of one word less. A phrase that shares its bit with a known one opened nothing
+    then if that pass had not come to it.
+    """
+    counted = words.pieces[: len(h)] == words.pieces[k - 1 :]
+    if k > 1:
+        counted &= was[:-1] & was[1:]
+    return counted, counted & _held(before, h)
+
+
 def border(words: Words, known: np.ndarray | None, before: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """Hashes, as they occur, of the phrases whose parts are both ``known``, but were not both ``before``.
 
@@ -130,8 +142,8 @@ def border(words: Words, known: np.ndarray | None, before: np.ndarray | None = N
         if known is not None:
             open_ = take & _held(known, h)
         if before is not None:
-            take &= ~(was[:-1] & was[1:]) if k > 1 else False
-            was = _held(before, h)
+            then, was = _opened(words, k, h, was, before)
+            take &= ~then
         yield h[take]
 
 
@@ -146,8 +158,9 @@ def exact(words: Words, wanted: np.ndarray, known: np.ndarray | None, before: np
         inside = words.pieces[: len(h)] == words.pieces[k - 1 :]
         take = inside & _held(wanted, h)
         if known is not None:
-            new = np.zeros(len(h), bool) if k == 1 else inside & open_[:-1] & open_[1:] & ~(was[:-1] & was[1:])
-            open_, was = inside & (_held(known, h) | new), _held(before, h)
+            then, was = _opened(words, k, h, was, before)
+            new = np.zeros(len(h), bool) if k == 1 else inside & open_[:-1] & open_[1:] & ~then
+            open_ = inside & (_held(known, h) | new)
             take |= new
         at = np.flatnonzero(take)
         if len(at):

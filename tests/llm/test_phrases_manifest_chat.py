@@ -87,6 +87,28 @@ def test_no_phrase_of_a_pass_is_lost_to_a_shared_hash(spark, monkeypatch):
     assert found["a b"] == 2 and found["a"] == 2 and found["a b a b c"] == 1 and len(found) == 3 + 3 + 3 + 2 + 1
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_a_phrase_that_shares_its_bit_opens_nothing_before_its_parts_are_known(few):
+    words = phrases.Words(pa.array(["en"]), pa.array(["q w e r"]))
+    one, two, three, _, _ = words.rolled()
+
+    def bits(*hashes):
+        out = np.zeros(1 << 17, "u1")
+        for h in hashes:
+            place = int(h) & (len(out) * 8 - 1)
+            out[place >> 3] |= 1 << (place & 7)
+        return out
+
+    # in the pass before, "q" was not known, so "q w" was not counted, though a bit of "before" says it was known
+    before = bits(*one[1:], *two)
+    known = before | bits(one[0])
+    assert [h.tolist() for h in phrases.border(words, before)][2] == [three[1]]
+    assert [h.tolist() for h in phrases.border(words, known, before)][1:3] == [[two[0]], [three[0]]]
+    if few:
+        found = {p for k, at, _ in phrases.exact(words, bits(), known, before) for p in words.phrases(k, at).to_pylist()}
+        assert {"q w", "q w e"} <= found
+
+
 # -- manifest
 
 
