@@ -79,11 +79,13 @@ class Star:
     def _share(self) -> float:
         return default_hot_share(self.fact) if self.hot_share is None else self.hot_share
 
-    def hot(self, key: str) -> list:
-        if key not in self._hot:
-            renamed = {"f_date_key": "date_key"}.get(key, key)
-            self._hot |= {key: hot_keys(self.fact, [renamed], self._share())[renamed]}
-        return self._hot[key]
+    def hot(self, *keys: str) -> list[list]:
+        """Hot values of every key; those not known yet are found by one pass over the fact."""
+        unknown = {key: {"f_date_key": "date_key"}.get(key, key) for key in keys if key not in self._hot}
+        if unknown:
+            found = hot_keys(self.fact, [*unknown.values()], self._share())
+            self._hot |= {key: found[name] for key, name in unknown.items()}
+        return [self._hot[key] for key in keys]
 
 
 def _prefixed(dim: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
@@ -95,7 +97,8 @@ def _attach(
 ) -> DataFrame:
     if star.fits(name, dim):
         return wide.join(F.broadcast(dim), F.col(key) == F.col(dim_key), "left")
-    return left_join_salted(wide, dim, key, dim_key, star.hot(key), spread_by=["f_stream_id"])
+    (hot,) = star.hot(key)
+    return left_join_salted(wide, dim, key, dim_key, hot, spread_by=["f_stream_id"])
 
 
 def tracks_with_artist(star: Star) -> DataFrame:
@@ -137,11 +140,12 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS, extra: Sequence[str] = ())
         "device_type": F.col("f_device_type"),
     }
     wide = facts.withColumnsRenamed({"f_user_id": "user_id", "f_track_id": "track_id"})
+    arms = []
     if "user" in dims:
         user = _prefixed(
             star.user, "u_", ["user_sk", "user_id", "user_name", "country", "subscription_type"]
         )
-        wide = _attach(star, wide, "user", user, "user_id", "u_user_id")
+        arms.append(("user", user, "user_id", "u_user_id"))
         out |= {
             "user_sk": F.col("u_user_sk"),
             "user_name": F.col("u_user_name"),
@@ -157,7 +161,7 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS, extra: Sequence[str] = ())
             ),
             "track",
         )
-        wide = _attach(star, wide, name, arm, "track_id", "t_track_id")
+        arms.append((name, arm, "track_id", "t_track_id"))
         out |= {
             "track_sk": F.col("t_track_sk"),
             "track_id": F.col("t_track_id"),
@@ -178,7 +182,11 @@ def base_fact(star: Star, dims: Sequence[str] = DIMS, extra: Sequence[str] = ())
     if "date" in dims:
         calendar = ["date_key", "date", "day", "month", "year", "weekday"]
         date = _prefixed(star.date, "d_", calendar)
-        wide = _attach(star, wide, "date", date, "f_date_key", "d_date_key")
+        arms.append(("date", date, "f_date_key", "d_date_key"))
         out |= {c: F.col(f"d_{c}") for c in calendar}
+    # the keys of all arms that are joined by shuffle are looked at together
+    star.hot(*[key for name, dim, key, _ in arms if not star.fits(name, dim)])
+    for arm in arms:
+        wide = _attach(star, wide, *arm)
     more = [F.col(f"f_{c}").alias(c) for c in extra]
     return wide.select(*[out[name].alias(name) for name in WIDE_COLS if name in out], *more)
