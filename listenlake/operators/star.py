@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 class JoinSpec:
     """One table of a star: its alias, the columns it adds, and how it hangs on the tables before.
 
-    The first spec of a list is the root and has no condition.
+    The first spec of a list is the root and has no condition. ``spread_by`` names columns that tell its rows apart,
+    by which salted rows are dealt; without it, all columns do, and all are moved.
     """
 
     table: DataFrame
@@ -21,6 +22,7 @@ class JoinSpec:
     cols: Sequence[str | Column]
     condition: str | Column | None = None
     salted_on: tuple[str, str] | None = None
+    spread_by: Sequence[str] = ()
 
 
 def star_join(specs: Sequence[JoinSpec], hot_share: float | None = None) -> DataFrame:
@@ -36,15 +38,18 @@ def star_join(specs: Sequence[JoinSpec], hot_share: float | None = None) -> Data
     if root.condition is not None or any(s.condition is None for s in others):
         raise ValueError("the first table has no condition and every other one needs one")
     joined = root.table.alias(root.alias)
+    salted = list(dict.fromkeys(s.salted_on[0] for s in others if s.salted_on))
+    if salted:
+        # one pass for all keys
+        hot = hot_keys(root.table, salted, hot_share if hot_share is not None else default_hot_share(root.table))
+    spread_by = [F.col(f"{root.alias}.{c}") for c in root.spread_by or root.table.columns]
     for spec in others:
         on = F.expr(spec.condition) if isinstance(spec.condition, str) else spec.condition
         table = spec.table
         if spec.salted_on:
             key, own = spec.salted_on
-            share = hot_share if hot_share is not None else default_hot_share(root.table)
-            hot = hot_keys(root.table, [key], share)[key]
             salts = int(root.table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            salt, copies = salting(F.col(f"{root.alias}.{key}"), F.col(own), hot, [F.col(f"{root.alias}.{c}") for c in root.table.columns], salts)
+            salt, copies = salting(F.col(f"{root.alias}.{key}"), F.col(own), hot[key], spread_by, salts)
             table = table.withColumn("_dim_salt", F.explode(copies))
             on &= F.col(f"{spec.alias}._dim_salt") == salt
         joined = joined.join(table.alias(spec.alias), on, "left")

@@ -53,7 +53,7 @@ def _star_join(spark, sf_dir, hot_share: float | None, users=None, tracks=None)
     star = sample.star(spark, sf_dir)
     return star_join(
         [
-            JoinSpec(star.fact, "factstream", ["factstream.stream_id", "factstream.listen_duration"]),
+            JoinSpec(star.fact, "factstream", ["factstream.stream_id", "factstream.listen_duration"], spread_by=["stream_id"]),
             JoinSpec(
                 star.user,
                 "dimuser",
