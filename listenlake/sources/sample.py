@@ -6,6 +6,7 @@ supplier the artist.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +70,10 @@ FACT_COLS = (
 )
 
 
+# fact columns that only tell which play of a stream is the newest
+NOT_WIDE = ("stream_timestamp", "l_suppkey", "l_quantity", "l_extendedprice")
+
+
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     nation = table(spark, sf_dir, "nation")
@@ -127,7 +132,7 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(
-        *(partial(build, spark, sf_dir) for build in (fact, users, tracks, artists, dates))
-    )
+def star(spark: SparkSession, sf_dir: str, kept: Callable[[DataFrame], DataFrame] = lambda plays: plays) -> Star:
+    """``kept`` may store the fact, for stars that are read many times."""
+    dims = (partial(build, spark, sf_dir) for build in (users, tracks, artists, dates))
+    return Star(lambda: kept(fact(spark, sf_dir)), *dims)

@@ -11,7 +11,10 @@ from listenlake.operators.star import (
     left_join_salted,
     star_join,
 )
-from listenlake.plans.star import base_fact
+from listenlake.plans import star as star_plan
+from listenlake.plans.kpi import KPIS
+from listenlake.plans.star import Star, base_fact
+from listenlake.registry import gold as gold_queries
 from listenlake.sources import sample
 
 
@@ -86,3 +89,79 @@ def test_star_join_checks_its_specs(spark):
     assert sorted(tuple(r) for r in star_join(specs).fillna(-1).collect()) == [(0, -1), (1, 1), (2, 2)]
     with pytest.raises(ValueError):
         star_join([specs[1], specs[0]])
+
+
+def _odd_star(spark, **sizes):
+    """Missing keys, keys without a row, a user twice, missing plans and genres, a hot user."""
+    rng = random.Random(9)
+    plays = [(i, rng.choice([1, 1, 1, 2, 3, 4, 99, None]), rng.choice([10, 11, 12, 98, None]), 20240101, rng.choice([None, 0, 5, 40, 200]),
+              rng.choice(["web", "car", None])) for i in range(600)]
+    plays += [(None, 1, 10, None, 7, "web")]
+    fact = spark.createDataFrame(plays, "stream_id long, user_id long, track_id long, date_key int, listen_duration int, device_type string")
+    fact = fact.withColumn("unused", F.repeat(F.lit("x"), 20)).repartition(3)
+    users = [(1, 1, "a", "DE", "free"), (2, 2, "b", "FR", "paid"), (2, 2, "b", "FR", "paid"), (3, 3, "c", None, None), (4, 4, "d", "FR", "free"), (5, None, "e", "DE", "free")]
+    tracks = [(10, 10, "t", "x", 1, 100), (11, 11, "u", "x", 2, 50), (12, 12, None, "y", 3, None)]
+    artists = [(1, 1, "p", "rock", "DE"), (2, 2, "q", "pop", "FR"), (3, 3, "r", None, "FR")]
+    user = spark.createDataFrame(users, "user_sk long, user_id long, user_name string, country string, subscription_type string")
+    track = spark.createDataFrame(tracks, "track_id long, track_sk long, track_name string, album_name string, artist_id long, duration_sec int")
+    artist = spark.createDataFrame(artists, "artist_id long, artist_sk int, artist_name string, genre string, country string")
+    date = spark.createDataFrame([(20240101, None, 1, 1, 2024, "Monday")], "date_key int, date date, day int, month int, year int, weekday string")
+    return Star(lambda: fact, lambda: user, lambda: track, lambda: artist, lambda: date, **sizes)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_pass_finds_the_hot_keys_of_all_dimensions(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(star_plan, "hot_keys", lambda df, cols, share: asked.append(list(cols)) or hot_keys(df, cols, share))
+    star = _odd_star(spark, broadcast_bytes=0, hot_share=0.1)
+    salted = base_fact(star, ["user", "track", "artist"])
+    plain = base_fact(_odd_star(spark), ["user", "track", "artist"])
+    assert asked == [["user_id", "track_id"]]
+    assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_a_salted_star_join_moves_no_columns_that_nobody_asks_for(spark):
+    star = _odd_star(spark)
+
+    def joined(**more):
+        return star_join([
+            JoinSpec(star.fact, "f", ["f.stream_id"], **more),
+            JoinSpec(star.user, "u", ["u.user_name"], "u.user_id = f.user_id", ("user_id", "user_id")),
+            JoinSpec(star.track, "t", ["t.track_name"], "t.track_id = f.track_id", ("track_id", "track_id")),
+        ], 0.1)
+
+    slim = joined(spread_by=["stream_id"])
+    assert "repeat" not in _optimized(slim) and "unused" not in _optimized(slim)
+    assert sorted(map(repr, slim.collect())) == sorted(map(repr, joined().collect()))
+
+
+@pytest.mark.parametrize("name, dims, known", [
+    ("genre_subscription_kpi", ["user", "track", "artist"], ["genre", "subscription_type"]),
+    ("device_subscription_kpi", ["user"], ["device_type", "subscription_type"]),
+])
+def test_users_join_sums_per_user_rather_than_plays(spark, name, dims, known):
+    star, kpi = _odd_star(spark), KPIS[name]
+    plays = base_fact(star, dims).dropna(subset=known)
+    sums = [c.alias(n) for n, c in kpi.sums().items()]
+    want = kpi.finish(star, plays.groupBy(*kpi.keys).agg(*sums, F.countDistinct("user_id").alias("users")))
+    found = kpi(star)
+    assert found.dtypes == want.dtypes and found.count() > 1
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
+    plan = _optimized(found)
+    assert plan.index("Join ") < plan.rindex("Aggregate [")
+
+
+def test_a_refresh_reads_a_stored_fact(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def refresh(star, path_of):
+        raise Seen(_optimized(star.fact))
+
+    monkeypatch.setattr(gold_queries.gold, "refresh", refresh)
+    with pytest.raises(Seen) as seen:
+        gold_queries.gold_refresh(spark, SMALL)
+    assert "Join" not in str(seen.value) and "stream_id" in str(seen.value)
