@@ -16,7 +16,8 @@ from listenlake.llm.memory import Memory, held
 
 # Fixed value: the text that the vocabulary keeps as one id.
 END_OF_TEXT, END_OF_TEXT_ID = "<|endoftext|>", 50256
-REMEMBERED = 400_000
+# an encoder holds up to twice as many; every worker of an executor has one
+REMEMBERED = 250_000
 
 
 class Encoder:
