@@ -145,8 +145,9 @@ def _kept(name: str):
         first = right.where(~late).withColumn("date_key", moved)
         facts.publish(first.withColumn(PART, fact_part("month")), 0)
         state.refresh([name])
-        wrong = [p for p in facts.head().parts if p[:4] in (LATE, MOVED, WRONG)]
-        again = right.where(year.isin(LATE, MOVED, WRONG)).withColumn(PART, fact_part("month"))
+        # plays moved to a day that isn't real, as from February 29, lie in the part of such days
+        wrong = [p for p in facts.head().parts if p[:4] in (LATE, MOVED, WRONG) or p == "none"]
+        again = right.withColumn(PART, fact_part("month")).where(year.isin(LATE, MOVED, WRONG) | (F.col(PART) == "none"))
         facts.publish(again, 1, replaces=wrong)
         state.refresh([name])
         return state.kpi(name)
