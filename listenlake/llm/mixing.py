@@ -115,7 +115,9 @@ def weighed(text: Column, model: Classifier) -> Column:
             found += np.column_stack([counts, p]).tolist()
         return pa.array(found, pa.list_(pa.float64()))
 
-    return run(text)
+    # a filter on the result would else be moved below it with a call of its own: twice the work, by a second
+    # worker for each task, and workers and what they remember live on through the stages to come
+    return run.asNondeterministic()(text)
 
 
 def with_posteriors(docs: DataFrame, text: Column, model: Classifier) -> DataFrame:

@@ -299,6 +299,14 @@ def test_the_total_grows_where_every_document_is_kept(spark):
     assert taken.sum() > 2 * sum(r._tokens for r in rows)  # half of them are b's
 
 
+def test_texts_of_a_mix_go_to_one_worker_of_a_task(spark):
+    docs = spark.createDataFrame([(i, ("bob " if i % 2 else "zed ") * (i + 1)) for i in range(20)], "doc_id long, text string")
+    known = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, "z").otherwise("b").alias("domain"))
+    out = M.mixed(docs, known, {"b": 0.25, "z": 0.75}, least=1.0)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r.doc_id for r in out.collect()} == set(range(20))
+
+
 def test_the_mixing_stage_meets_its_mix(spark):
     import corpus_pipeline
 
