@@ -116,13 +116,19 @@ CUTS = (1, 1000)
 
 
 def _cut(spark, name: str, events: DataFrame, plans, read) -> DataFrame:
-    """The same landing, its events in no order over its files, taken in by one file at a time and all at once."""
-    found = []
+    """The same landing, its events in no order over its files, taken in by one file at a time and all at once.
+
+    Bronze has several files for a landed one that is large, as several tasks read it. Silver takes as many at a time,
+    so that there is a micro-batch for a landed file, however large it is.
+    """
+    found, source = [], SOURCES.get(name, name)
+    first = Layout(scratch_path(spark, "warehouse"))
+    events.repartition(SCRAMBLED_FILES, F.xxhash64(*events.columns)).write.parquet(first.landing(source))
     for files in CUTS:
-        layout = Layout(scratch_path(spark, "warehouse"))
-        events.repartition(SCRAMBLED_FILES, F.xxhash64(*events.columns)).write.parquet(layout.landing(SOURCES.get(name, name)))
-        run_bronze(spark, layout, [SOURCES.get(name, name)], max_files=files)
-        layer = SilverLayer(spark, layout, plans, max_files=files)
+        layout = Layout(scratch_path(spark, "warehouse"), feed=first.root)
+        run_bronze(spark, layout, [source], max_files=files)
+        landed, held = (len(spark.read.parquet(path).inputFiles()) for path in (layout.landing(source), layout.bronze(source)))
+        layer = SilverLayer(spark, layout, plans, max_files=-(-files * held // landed))
         layer.run([name])
         found.append(read(layer).withColumn("max_files", F.lit(files)))
     return found[0].unionByName(found[1])

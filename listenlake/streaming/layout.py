@@ -11,11 +11,12 @@ class Layout:
     """``run`` names the generation of the silver layer.
 
     A rebuild from bronze takes a new name: new tables go with new checkpoints, so all of bronze
-    is read again.
+    is read again. ``feed`` is the root of another layout whose landing folders feed this one too.
     """
 
     root: str
     run: str = "r0"
+    feed: str | None = None
 
     def next_run(self) -> Layout:
         """The layout of the generation after this one: r0, r1 and so on."""
@@ -23,7 +24,7 @@ class Layout:
         return replace(self, run=f"{name}{int(number or 0) + 1}")
 
     def landing(self, name: str) -> str:
-        return f"{self.root}/landing/{name}"
+        return f"{self.feed or self.root}/landing/{name}"
 
     def marks(self) -> str:
         return f"{self.root}/state/marks"
