@@ -69,6 +69,8 @@ DATE_DDL = "date_key int, date date, day int, month int, year int, weekday strin
 USER_CURRENT, USER_HISTORY = "current-", "history"
 # batches of up to so many keys ask the filters of the fact's parts where their keys lie
 FEW_KEYS = 20_000
+# rows of a batch that one task sorts at most, if the batch's files don't deal them so already
+TASK_ROWS = 500_000
 
 
 @contextmanager
@@ -87,13 +89,22 @@ def _valid_rows(
     """Log the invalid rows; return the valid ones and the row counts.
 
     The counts are taken while the log is written. The batch is not cached: reading its files a
-    second time is cheaper than keeping a raw copy of them.
+    second time is cheaper than keeping a raw copy of them. A file of repetitive rows holds millions of them in
+    one block, which one task reads and then sorts: where a task has over ``TASK_ROWS``, the valid rows are
+    spread evenly first.
     """
     checked = apply_rules(batch, rules)
     counted = Observation()
-    invalid = split_valid(checked.observe(counted, *count_measures()))[1]
-    write_quarantine(to_quarantine(invalid, name, key), quarantine, batch_id)
-    return split_valid(checked)[0].drop(REASON), counted.get
+    # the lower 33 bits of the id are the row's place in its task
+    placed = checked.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    counting = placed.observe(counted, *count_measures(), F.max("_place").alias("_last")).drop("_place")
+    write_quarantine(to_quarantine(split_valid(counting)[1], name, key), quarantine, batch_id)
+    counts = dict(counted.get)
+    valid, last = split_valid(checked)[0].drop(REASON), counts.pop("_last")
+    if last is not None and last >= TASK_ROWS:
+        # by place, as a key may be hot: the rows of one key stay spread until each task has reduced its own
+        valid = valid.repartition(max(1, -(-counts["valid_rows"] // TASK_ROWS)), F.monotonically_increasing_id())
+    return valid, counts
 
 
 def apply_user_batch(

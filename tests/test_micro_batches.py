@@ -1,8 +1,9 @@
-"""What a micro-batch of the silver layer costs: parts looked into, batches of a landed file."""
+"""What a micro-batch of the silver layer costs: rows of a task, parts looked into, batches of a landed file."""
 
 from pyspark.sql import functions as F
 
 from listenlake import fixed
+from listenlake.operators.rules import Rule
 from listenlake.plans import silver
 from listenlake.registry import ingest
 from listenlake.sources.snapshot import SnapshotTable
@@ -19,6 +20,22 @@ def plays(spark, rows):
     return df.withColumns({"input_file_path": F.lit("plays.parquet"), "ingest_timestamp": F.current_timestamp()})
 
 
+def test_rows_of_one_block_are_spread_over_tasks(spark, root, monkeypatch):
+    monkeypatch.setattr(silver, "TASK_ROWS", 100)
+    batch = plays(spark, [(i % 7, 20240101, i % 5) for i in range(1000)])
+    assert batch.rdd.getNumPartitions() == 1
+    rules = (Rule("none", "listen_duration = 0"),)
+    valid, counts = silver._valid_rows(batch, 0, "FactStream", "stream_id", rules, root)
+    assert counts == {"valid_rows": 800, "invalid_rows": 200, "soft_failures": 0}
+    per_task = [row.n for row in valid.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(per_task) == 800 and max(per_task) <= 200
+    few, _ = silver._valid_rows(batch.limit(90), 1, "FactStream", "stream_id", rules, root)
+    assert few.rdd.getNumPartitions() == 1
+    assert spark.read.parquet(root).columns == [
+        "natural_key", "raw_record", "dq_fail_reason", "quarantine_timestamp", "input_file_path", "source_table", "batch_id",
+    ]
+
+
 def test_parts_that_a_batch_rewrites_anyway_are_not_looked_into(spark, root, monkeypatch):
     table = SnapshotTable(spark, f"{root}/facts", silver.FACT_DDL, "stream_id")
     silver.apply_fact_batch(plays(spark, [(1, 20240105, 3), (2, 20240205, 3), (3, 20240305, 3)]), 0, table, f"{root}/log")
