@@ -31,6 +31,12 @@ class Memory(dict):
         return found
 
 
+def give_back() -> None:
+    """Return what nothing holds any more to the system, for what comes next in this process or beside it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 _held: dict = {}
 
 
@@ -43,7 +49,6 @@ def held(kind: str, key: Hashable, make: Callable[[], object]):
     if (kind, key) not in _held:
         if len(_held) >= 2 or any(other != kind for other, _ in _held):
             _held.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
+            give_back()
         _held[kind, key] = make()
     return _held[kind, key]

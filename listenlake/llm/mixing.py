@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.llm.columns import tagged, text_of
+from listenlake.llm.memory import give_back
 from listenlake.operators.durable import materialise
 
 TRIGRAMS, SHAPES = 2048, 6
@@ -101,7 +102,10 @@ def train(docs: DataFrame, labelled: DataFrame, most: int = 4000, longest: int =
     plain = docs.select(F.col("doc_id").cast("long").alias("_id"), text_of("text").alias("_text"))
     texts = plain.where(F.length("_text") <= longest).join(F.broadcast(drawn), "_id")  # of a fixed number of rows
     rows = texts.dropDuplicates(["_id"]).select("_id", "_text", "_domain").toArrow().sort_by("_id")
-    return fit(rows["_text"].to_pylist(), rows["_domain"].to_pylist())
+    model = fit(rows["_text"].to_pylist(), rows["_domain"].to_pylist())
+    del rows
+    give_back()
+    return model
 
 
 def weighed(text: Column, model: Classifier) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.llm.columns import text_of
-from listenlake.llm.memory import Memory, held
+from listenlake.llm.memory import Memory, give_back, held
 
 OPENING = b" the of and to  the of and to "
 PUNCTUATION = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
@@ -201,7 +201,10 @@ def train(
     plain = docs.select(F.col("doc_id").cast("long").alias("_id"), text_of("text").alias("_text"))
     texts = plain.where(F.length("_text") <= longest).join(F.broadcast(drawn[0].unionByName(drawn[1])), "_id")
     rows = texts.dropDuplicates(["_id"]).select("_id", "_text", "_toxic").toArrow().sort_by("_id")
-    return fit(list(zip(rows["_text"].to_pylist(), rows["_toxic"].to_pylist())), (found.get(0, 0), found.get(1, 0)))
+    model = fit(list(zip(rows["_text"].to_pylist(), rows["_toxic"].to_pylist())), (found.get(0, 0), found.get(1, 0)))
+    del rows
+    give_back()
+    return model
 
 
 def scored(text: Column, model: Model) -> Column:
