@@ -241,7 +241,7 @@ def apply_fact_batch(
 
     A changed date moves a row to another part, so the parts rewritten are those of the batch and
     those in which the batch's keys lie now. Where those are is read from key and date: of all parts that the batch
-    doesn't rewrite anyway for a large one, of those among them whose filter may hold a key of a small one.
+    doesn't rewrite anyway for a large one, of those whose filter may hold a key of a small one.
     ``grain`` must stay the same for the life of the table.
 
     A later batch overwrites the columns that may change, unless ``guard`` refuses older events.
@@ -265,13 +265,13 @@ def apply_fact_batch(
             wanted = F.broadcast(wanted) if small else wanted
             part = fact_part(grain)
             touched = [row[PART] for row in source.select(part.alias(PART)).distinct().collect()]
-            others = set(head.parts) - set(touched)
             # the filters leave out most parts, and what they let through is looked up
-            if others and small and facts.key and source.count() <= FEW_KEYS:
-                others &= set(facts.parts_of(wanted, head))
+            ask = small and facts.key and source.count() <= FEW_KEYS
+            others = set(facts.parts_of(wanted, head) if ask else head.parts) - (set() if ask else set(touched))
             if others:
                 lying = facts.read(others, head).join(wanted, "stream_id", "left_semi")
-                touched += [row[PART] for row in lying.select(part.alias(PART)).distinct().collect()]
+                moved = [row[PART] for row in lying.select(part.alias(PART)).distinct().collect()]
+                touched = sorted({*touched, *moved})
             merged = scd1_merge(
                 facts.read(touched, head),
                 source,
