@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from listenlake.llm.components import components
 from listenlake.llm.columns import tagged, text_of
+from listenlake.llm.memory import let_go, slices
 from listenlake.operators.durable import materialise
 
 SHINGLE = 5
@@ -211,9 +212,9 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
 
     A row of every document: its class and ``doc``, in which sketch and class are null for texts without
     words and ``spare`` counts, by kind, the keys that its class may leave out. And members of keys: class,
-    key, near. A task gives the keys of a class once. Of the classes that one batch holds under a key, the
-    first goes on as the batch's only row with a null ``near``; if there are several, all of them come as rows with the
-    first as ``near`` too. So a hot key sends one row a batch to where all rows of the key meet.
+    key, near. A task gives the keys of a class once. Of the classes that one slice of a batch holds under a key, the
+    first goes on as the slice's only row with a null ``near``; if there are several, all of them come as rows with the
+    first as ``near`` too. So a hot key sends one row a slice, two megabytes of texts, to where all rows of the key meet.
     """
     names = ["class", "key", "near", "doc"]
     fields = [
@@ -230,8 +231,9 @@ def sets_and_keys(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(found, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen = Seen()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             counts, sketches, ids, spares, wides, keys, given = [], [], [], [], [], [], []
             for text in batch.column(2):
                 s = shingles(text.as_py())
@@ -275,7 +277,7 @@ def rows_and_members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, tag, n, sketch, spare, wide, class) per row of ``docs``; and (key, class, near) of all keys with several classes.
 
     ``near`` is a class of the same key: the smallest of those that go to where the key's rows meet, or
-    the batch's first.
+    the slice's first.
     """
     meet = Window.partitionBy("key", "near")
     wide = sets_and_keys(docs).withColumns({"low": F.min("class").over(meet), "high": F.max("class").over(meet)})
@@ -312,8 +314,9 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         return bool(int(bits[place >> 6]) >> (place & 63) & 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen = Seen()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             sets = (shingles(text.as_py()) for text in batch.column(0))
             found = [(c, s.view(np.int64)) for s in sets if len(s) and may(c := class_of(s)) and seen.new(c)]
             classes, sets = [c for c, _ in found], [s for _, s in found]

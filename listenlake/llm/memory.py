@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 class Memory(dict):
@@ -52,3 +53,27 @@ def held(kind: str, key: Hashable, make: Callable[[], object]):
             give_back()
         _held[kind, key] = make()
     return _held[kind, key]
+
+
+def let_go() -> None:
+    """Give back what earlier stages have left in this worker, before one that keeps nothing there itself."""
+    if _held:
+        _held.clear()
+        give_back()
+
+
+AT_ONCE = 2_000_000  # bytes of texts
+
+
+def slices(batch: pa.RecordBatch, texts: int, most: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The whole batch in parts whose column of texts holds ``most`` bytes each, or one text; an empty batch as it is.
+
+    Spark bounds a batch by rows, so what is made of its texts at once would else grow with their length.
+    """
+    start, bytes_ = 0, 0
+    for i, size in enumerate(pc.binary_length(batch.column(texts)).to_pylist()):
+        if i > start and bytes_ + (size or 0) > most:
+            yield batch.slice(start, i - start)
+            start, bytes_ = i, 0
+        bytes_ += size or 0
+    yield batch.slice(start)

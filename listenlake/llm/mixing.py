@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.llm.columns import tagged, text_of
-from listenlake.llm.memory import give_back
+from listenlake.llm.memory import give_back, let_go
 from listenlake.operators.durable import materialise
 
 TRIGRAMS, SHAPES = 2048, 6
@@ -113,6 +113,7 @@ def weighed(text: Column, model: Classifier) -> Column:
 
     @F.arrow_udf("array<double>")
     def run(texts: pa.Array) -> pa.Array:
+        let_go()
         found = []
         for i in range(0, len(texts), 200):
             p, counts = posteriors(texts.slice(i, 200).to_pylist(), model)

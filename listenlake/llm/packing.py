@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.llm.columns import text_of
+from listenlake.llm.memory import let_go
 from listenlake.llm.tokenizer import encoder
 from listenlake.operators.durable import materialise
 
@@ -136,6 +137,7 @@ def _epoch(rows: DataFrame, capacity: int, epoch: int) -> DataFrame:
     """One epoch on every island. ``rows`` has own and guest bins, null in the first epoch."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         group = group.sort_values("item", ignore_index=True)
         sizes = group["length"].tolist()
         elites = [_bins(group[c]) for c in ("own", "guest") if len(group) and group[c].notna().all()]
