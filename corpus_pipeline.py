@@ -17,6 +17,8 @@ from listenlake.llm.packing import packed
 from listenlake.llm.toxicity import drop_toxic
 from listenlake.operators.durable import materialise
 
+REMEMBERED = 100_000  # words with their ids in packing
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under one half; the others go."""
@@ -41,7 +43,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and their place in it."""
-    return packed(docs)
+    # executors still hold what the stages before have grown to: time is left here, memory isn't
+    return packed(docs, remembered=REMEMBERED)
 
 
 STAGES = [

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 
 class Memory(dict):
@@ -50,7 +52,7 @@ def held(kind: str, key: Hashable, make: Callable[[], object]):
     if (kind, key) not in _held:
         if len(_held) >= 2 or any(other != kind for other, _ in _held):
             _held.clear()
-            give_back()
+        give_back()  # also what stages have left that keep nothing here
         _held[kind, key] = make()
     return _held[kind, key]
 
@@ -77,3 +79,23 @@ def slices(batch: pa.RecordBatch, texts: int, most: int = AT_ONCE) -> Iterator[p
             start, bytes_ = i, 0
         bytes_ += size or 0
     yield batch.slice(start)
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int = AT_ONCE) -> Iterator[None]:
+    """Arrow batches of what runs meanwhile hold about ``most`` bytes, or one row, unless the session has set a bound itself.
+
+    Else they are bounded by rows only: executor and worker each hold ten thousand texts at a time, or twice that
+    while a buffer grows or the next batch is read.
+    """
+    own = spark.conf.get(BATCH_BYTES, None)
+    if own is None:
+        spark.conf.set(BATCH_BYTES, str(most))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(BATCH_BYTES)

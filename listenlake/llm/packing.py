@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.llm.columns import text_of
-from listenlake.llm.memory import let_go
-from listenlake.llm.tokenizer import encoder
+from listenlake.llm.memory import let_go, small_batches
+from listenlake.llm.tokenizer import REMEMBERED, encoder
 from listenlake.operators.durable import materialise
 
 CAPACITY = 2048
@@ -32,11 +32,11 @@ SETTLED_WASTE = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces_of(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
+def pieces_of(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """Token pieces of every document: its ids and a closing 0, cut into ``capacity`` tokens from the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path).encode
+        encode = encoder(ranks_path, remembered=remembered).encode
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -203,13 +203,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return out
 
 
-def packed(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """Pack every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece.
 
     Needs ``doc_id`` and ``text``; other columns, whatever their names, are ignored. Null and empty texts
     are one closing id; null ids and repeated rows are packed like all others, a row each time it
     occurs. Only documents of over ``capacity`` tokens are cut, however long they are: all their pieces
-    but the first are full. An empty table gives no rows.
+    but the first are full. An empty table gives no rows. A worker holds up to twice ``remembered`` words with
+    their ids: fewer take less memory and more time, with the same result.
     """
-    pieces = materialise(pieces_of(docs, capacity, ranks_path).withColumn("item", F.monotonically_increasing_id()), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialise(pieces_of(docs, capacity, ranks_path, remembered).withColumn("item", F.monotonically_increasing_id()), "pieces")
     return pieces.join(pack(pieces, capacity), "item").drop("item")

@@ -29,7 +29,7 @@ class Encoder:
     single ids after those of the vocabulary; ``widths`` has the number of bytes of every id.
     """
 
-    def __init__(self, ranks_path: str, special: bool = True, controls: tuple[str, ...] = ()):
+    def __init__(self, ranks_path: str, special: bool = True, controls: tuple[str, ...] = (), remembered: int = REMEMBERED):
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         marks = {END_OF_TEXT: END_OF_TEXT_ID} | {text: END_OF_TEXT_ID + 1 + i for i, text in enumerate(controls)}
@@ -39,7 +39,7 @@ class Encoder:
         bpe = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
         allowed = set(marks) if special else set()
         self._ids = lambda text: bpe.encode(text, allowed_special=allowed, disallowed_special=())
-        self._words = Memory(lambda word: self._packed(" " + word), REMEMBERED)
+        self._words = Memory(lambda word: self._packed(" " + word), remembered)
 
     def _packed(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
@@ -67,9 +67,9 @@ class Encoder:
         return self._bytes[np.arange(len(shift)) + shift].tobytes()
 
 
-def encoder(ranks_path: str | None = None, special: bool = True) -> Encoder:
+def encoder(ranks_path: str | None = None, special: bool = True, remembered: int = REMEMBERED) -> Encoder:
     path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return held("encoder", (path, special), lambda: Encoder(path, special))
+    return held("encoder", (path, special, remembered), lambda: Encoder(path, special, remembered=remembered))
 
 
 def marked_encoder(controls: tuple[str, ...], ranks_path: str | None = None) -> Encoder:
